@@ -1,0 +1,28 @@
+"""Joins against a set that is usually, but not surely, small."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 500_000
+
+
+def keep_matching(
+    rows: DataFrame,
+    wanted: DataFrame,
+    keys: Sequence[str],
+    wanted_rows: int,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Rows whose keys are wanted.
+
+    The counted set is broadcast up to a limit, so wide rows (payload bytes)
+    stay where they were read; a larger one is joined by shuffling both.
+    """
+    keyed = wanted.select(*keys).distinct()
+    if wanted_rows <= broadcast_rows:
+        keyed = F.broadcast(keyed)
+    return rows.join(keyed, list(keys), "left_semi")
