@@ -27,7 +27,7 @@ from headway.schemas import (
     VEHICLE_KEYS,
     TableSpec,
 )
-from headway.session import scratch_dir
+from headway.session import scratch_dir, ship_package
 from headway.sources.archive import FeedInfo, extract_lines, stamp, typed
 from headway.sources.feed import decode
 from headway.plans.static import prepare
@@ -426,6 +426,7 @@ _QUERIES: dict[str, Query] = {
 def _in_utc(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ship_package(spark)
         return A.plain_times(query(spark, sf_dir))
 
     return run

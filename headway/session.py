@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -31,7 +33,30 @@ def build_session(
         builder = builder.master(master)
     for key, value in {**BASE_CONF, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    The decoding and state functions run there. Not needed where the package
+    is installed on the executors or passed as ``--py-files``.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).parent
+    held = tempfile.mkdtemp(prefix="headway-code-")
+    archive = shutil.make_archive(
+        f"{held}/{package.name}", "zip", package.parent, package.name
+    )
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
 
 
 @contextmanager
