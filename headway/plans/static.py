@@ -120,8 +120,10 @@ def run_static(
     staged = f"{static_root.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
     store = Store(spark, static_root)
     archives = read_archives(spark, [r["archive"] for r in new])
+    validity = STATIC["feed_info"]
+    members = {s.member for s in [validity, *specs.values()]}
     (
-        extract_lines(archives, [s.member for s in specs.values()])
+        extract_lines(archives, members)
         .withColumn("archive_key", F.md5("archive"))
         .write.partitionBy("archive_key", "member")
         .parquet(staged)
@@ -146,7 +148,7 @@ def run_static(
                 F.col("archive_key") == F.md5(F.lit(name))
             )
             try:
-                info = read_feed_info(lines, STATIC["feed_info"])
+                info = read_feed_info(lines, validity)
             except (KeyError, ValueError):
                 log.exception("%s has no validity, skipped", name)
                 continue

@@ -1,0 +1,112 @@
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from conftest import at
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from headway.functions.normalise import (
+    blank_to_null,
+    or_default,
+    or_zero,
+    zero_to_null,
+)
+from headway.functions.strict import strict_cast
+from headway.functions.times import (
+    epoch_to_timestamp,
+    retention_cutoff,
+    target_date,
+    target_date_col,
+)
+
+CASES = [
+    ("2026-01-01 15:00", "20260101"),
+    ("2025-12-31 15:00", "20251231"),
+    ("2026-01-31 15:00", "20260131"),
+    # The last and first hours of a day, in summer and in winter time.
+    ("2026-01-01 10:59", "20251231"),
+    ("2026-01-01 11:00", "20260101"),
+    ("2026-07-01 11:59", "20260630"),
+    ("2026-07-01 12:00", "20260701"),
+]
+
+
+@pytest.mark.parametrize("now, day", CASES)
+def test_target_date(now, day):
+    assert target_date(at(now)) == day
+
+
+def test_target_date_column_agrees(spark):
+    rows = [(now, day) for now, day in CASES]
+    df = spark.createDataFrame(rows, "now string, day string")
+    got = target_date_col(F.to_timestamp_ntz("now", F.lit("yyyy-MM-dd HH:mm")))
+    assert df.where(got == F.col("day")).count() == len(rows)
+
+
+def test_cutoff_uses_the_zone_of_now():
+    utc = at("2026-01-10 12:00")
+    assert retention_cutoff(utc, 7) == "20260103"
+    east = timezone(timedelta(hours=13))
+    assert retention_cutoff(utc.astimezone(east), 7) == "20260104"
+
+
+def test_null_and_default_rules(spark):
+    df = spark.createDataFrame(
+        [("", 0), ("x", 5), (None, None)], "t string, n int"
+    )
+    rows = df.select(
+        blank_to_null(F.col("t")),
+        or_default(F.col("t"), "NA"),
+        zero_to_null(F.col("n")),
+        or_zero(F.col("n")),
+    ).collect()
+    assert [tuple(r) for r in rows] == [
+        (None, "NA", None, 0),
+        ("x", "x", 5, 5),
+        (None, "NA", None, 0),
+    ]
+
+
+def test_epoch_beyond_range_is_null(spark):
+    df = spark.createDataFrame([(60,), (2**62,), (-(2**63),)], "s bigint")
+    got = [r[0] for r in df.select(epoch_to_timestamp(F.col("s")).cast("bigint")).collect()]
+    assert got == [60, None, None]
+
+
+@pytest.mark.parametrize(
+    "text, to, want",
+    [
+        ("0123", T.StringType(), "0123"),
+        ("25:10:00", T.StringType(), "25:10:00"),
+        ("", T.StringType(), None),
+        ("NA", T.StringType(), "NA"),
+        ("7", T.IntegerType(), 7),
+        (" 7 ", T.IntegerType(), 7),
+        ("7.0", T.IntegerType(), 7),
+        ("NA", T.IntegerType(), None),
+        ("", T.DoubleType(), None),
+        ("-36.5", T.DoubleType(), -36.5),
+    ],
+)
+def test_strict_cast(spark, text, to, want):
+    df = spark.createDataFrame([(text,)], "v string")
+    assert df.select(strict_cast(F.col("v"), to, "v")).first()[0] == want
+
+
+@pytest.mark.parametrize(
+    "text, to",
+    [
+        ("seven", T.IntegerType()),
+        ("7.5", T.IntegerType()),
+        ("3000000000", T.IntegerType()),
+        ("east", T.DoubleType()),
+    ],
+)
+def test_strict_cast_refuses(spark, text, to):
+    df = spark.createDataFrame([(text,)], "v string")
+    with pytest.raises(Exception, match="cannot read as"):
+        df.select(strict_cast(F.col("v"), to, "v")).collect()
+
+
+def test_naive_now_is_not_needed():
+    assert isinstance(target_date(datetime.now(timezone.utc)), str)
