@@ -242,6 +242,12 @@ def vector_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Give the Python steps every core when the input is a single file."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 _PACKED = "feed_id string, poll_time timestamp, content binary"
 _PACKED_ARROW = pa.schema(
     [
@@ -270,7 +276,7 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         "hour",
         F.unix_seconds("second").alias("stamp"),
     )
-    return rows.mapInArrow(_encode, _PACKED)
+    return _spread(rows).mapInArrow(_encode, _PACKED)
 
 
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -372,7 +378,7 @@ def stop_times_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
                 {"archive": ["orders.zip"], "content": [held.getvalue()]}
             )
 
-    return text.mapInArrow(pack, "archive string, content binary")
+    return _spread(text).mapInArrow(pack, "archive string, content binary")
 
 
 def customer_agencies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterable
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,7 @@ from headway.functions.times import target_date, utc_now
 from headway.operators.dedupe import dedupe, latest_state
 from headway.operators.merge import merge_stop_events
 from headway.schemas import PROCESSED, RAW, TRIP_KEYS, VEHICLE_KEYS
+from headway.session import side_by_side
 from headway.tables import read_table, replace_dates, table_exists
 
 log = logging.getLogger("headway.daily")
@@ -122,12 +124,22 @@ def run_daily(
     now: datetime | None = None,
     dates: Iterable[str] | None = None,
 ) -> dict[str, int]:
-    """All three tables, for the day before ``now`` or the given dates."""
+    """All three tables, for the day before ``now`` or the given dates.
+
+    The tables do not depend on each other and run side by side.
+    """
     now = now or utc_now()
     dates = sorted(dates) if dates is not None else None
-    args = (spark, raw_root, processed_root, now, dates)
-    return {
-        "vehicle_positions": process_vehicle_positions(*args),
-        "trip_updates": process_trip_updates(*args),
-        "stop_time_events": process_stop_time_events(*args),
+    steps = {
+        "vehicle_positions": process_vehicle_positions,
+        "trip_updates": process_trip_updates,
+        "stop_time_events": process_stop_time_events,
     }
+    done = side_by_side(
+        spark,
+        [
+            partial(step, spark, raw_root, processed_root, now, dates)
+            for step in steps.values()
+        ],
+    )
+    return dict(zip(steps, done))

@@ -10,13 +10,14 @@ import logging
 import re
 import uuid
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from headway.functions.times import retention_cutoff, utc_now
 from headway.schemas import LOAD_ID, RAW, TableSpec
-from headway.session import conf
+from headway.session import conf, side_by_side
 from headway.store import Store, partition_dir
 from headway.tables import (
     STAGING,
@@ -30,6 +31,7 @@ log = logging.getLogger("headway.maintenance")
 
 RETENTION_DAYS = 2
 TARGET_BYTES = 128 * 1024 * 1024
+_FILE_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 _MERGED = f"{LOAD_ID}=merged-"
 _POLL = re.compile(rf"{LOAD_ID}=poll-(.+)-(\d{{12}})")
@@ -148,10 +150,7 @@ def compact_table(
         .parquet(*[f"{path}/{folder}" for folder in remove])
         .withColumn(LOAD_ID, F.lit(f"merged-{run}"))
     )
-    size = {
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes)
-    }
-    with conf(spark, size):
+    with conf(spark, {_FILE_SIZE: str(target_bytes)}):
         write_clustered(rows, staged, spec.partition_by)
     days = [d for d in store.child_dirs(staged) if d.startswith("start_date=")]
     add = [f"{day}/{_MERGED}{run}" for day in days]
@@ -200,10 +199,14 @@ def run_maintenance(
 ) -> dict[str, tuple[int, int]]:
     """(writes merged, rows expired) for each raw table."""
     now = now or utc_now()
-    return {
-        table: (
+
+    def maintain(table: str) -> tuple[int, int]:
+        return (
             compact_table(spark, raw_root, table, target_bytes),
             expire_table(spark, raw_root, table, now, retention_days),
         )
-        for table in RAW
-    }
+
+    size = {_FILE_SIZE: str(target_bytes)}
+    with conf(spark, size):
+        done = side_by_side(spark, [partial(maintain, t) for t in RAW])
+    return dict(zip(RAW, done))

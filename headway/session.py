@@ -5,9 +5,11 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from pathlib import Path
+from typing import Any
 
 from pyspark.sql import SparkSession
 
@@ -75,6 +77,24 @@ def conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+# While a table is written; see ``headway.tables.write_clustered``.
+WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+def side_by_side(
+    spark: SparkSession, jobs: Sequence[Callable[[], Any]]
+) -> list[Any]:
+    """Run independent jobs at once, so one's tail does not idle the cluster.
+
+    The settings a job makes for its writes are made here first, as settings
+    belong to the session and not to a thread. The first failure is raised
+    after all have ended.
+    """
+    with conf(spark, WRITE_CONF), ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(job) for job in jobs]
+    return [r.result() for r in running]
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, removed when Spark ends.
 

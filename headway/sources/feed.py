@@ -9,6 +9,7 @@ spares a large deployment millions of small files.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -177,69 +178,101 @@ def decode(payload_rows: DataFrame) -> DataFrame:
 def _decode_batch(
     batch: pa.RecordBatch, schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:
+    """Entities of a batch of payloads, a bounded number at a time."""
     message_class = feed_message_class()
-    rows: list[dict] = []
-    for payload in batch.to_pylist():
-        content = payload.pop("content")
+    held: list[tuple[int, list]] = []
+    waiting = 0
+    for row, content in enumerate(batch.column("content")):
         try:
-            message = message_class.FromString(content)
-            # One Arrow build per payload, so that a number out of range
-            # rejects this payload alone.
-            decoded = [_entity(payload, e) for e in message.entity]
-            _check_ranges(message)
+            message = message_class.FromString(content.as_py())
         except Exception as error:  # noqa: BLE001 - any bad payload is data
-            decoded = [{**payload, "decode_error": f"{error}" or "unreadable"}]
-        for row in decoded:
-            rows.append(row)
-            if len(rows) == _ENTITIES_PER_BATCH:
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                rows = []
-    if rows:
-        yield pa.RecordBatch.from_pylist(rows, schema=schema)
-
-
-def _check_ranges(message) -> None:
-    """uint32 fields are stored as 32-bit signed integers."""
-    for entity in message.entity:
-        numbers = [entity.vehicle.trip.direction_id]
-        numbers.append(entity.trip_update.trip.direction_id)
-        numbers += [s.stop_sequence for s in entity.trip_update.stop_time_update]
-        if max(numbers) >= 2**31:
-            raise ValueError("number beyond 32 bits")
-
-
-def _fields(message, schema: T.StructType) -> dict:
-    """Scalar fields of a message, with the defaults of unset ones."""
-    return {name: getattr(message, name) for name in schema.names}
-
-
-def _stop(stop) -> dict:
-    return {
-        "stop_sequence": stop.stop_sequence,
-        "arrival": _fields(stop.arrival, STOP_EVENT),
-        "departure": _fields(stop.departure, STOP_EVENT),
-        "stop_id": stop.stop_id,
-        "schedule_relationship": stop.schedule_relationship,
-    }
-
-
-def _entity(payload: dict, entity) -> dict:
-    row = {**payload, "entity_id": entity.id, "is_deleted": entity.is_deleted}
-    if entity.HasField("vehicle"):
-        seen = entity.vehicle
-        row["vehicle"] = {
-            "trip": _fields(seen.trip, TRIP),
-            "position": _fields(seen.position, POSITION),
-            "timestamp": min(seen.timestamp, _MAX_LONG),
-            "vehicle": _fields(seen.vehicle, VEHICLE),
-            "occupancy_status": seen.occupancy_status,
-        }
-    if entity.HasField("trip_update"):
-        trip = entity.trip_update
-        row["trip_update"] = {
-            "trip": _fields(trip.trip, TRIP),
-            "stop_time_update": [_stop(s) for s in trip.stop_time_update],
-            "vehicle": _fields(trip.vehicle, VEHICLE),
-            "timestamp": min(trip.timestamp, _MAX_LONG),
-        }
-    return row
+            yield _failed(batch, row, error, schema)
+            continue
+        held.append((row, list(message.entity)))
+        waiting += len(message.entity)
+        if waiting >= _ENTITIES_PER_BATCH:
+            yield from _build(batch, held, schema)
+            held, waiting = [], 0
+    if held:
+        yield from _build(batch, held, schema)
+
+
+def _build(
+    batch: pa.RecordBatch, held: list[tuple[int, list]], schema: pa.Schema
+) -> Iterator[pa.RecordBatch]:
+    """Entity columns of some payloads.
+
+    A number outside its column's range rejects its payload and no other.
+    """
+    try:
+        yield _entities(batch, held, schema)
+    except (OverflowError, pa.ArrowInvalid) as error:
+        if len(held) == 1:
+            yield _failed(batch, held[0][0], error, schema)
+        else:
+            for one in held:
+                yield from _build(batch, [one], schema)
+
+
+def _failed(
+    batch: pa.RecordBatch, row: int, error: Exception, schema: pa.Schema
+) -> pa.RecordBatch:
+    payload = batch.slice(row, 1).drop_columns(["content"]).to_pylist()[0]
+    reason = f"{type(error).__name__}: {error}"
+    return pa.RecordBatch.from_pylist(
+        [{**payload, "decode_error": reason}], schema=schema
+    )
+
+
+def _entities(
+    batch: pa.RecordBatch, held: list[tuple[int, list]], schema: pa.Schema
+) -> pa.RecordBatch:
+    entities = [e for _, found in held for e in found]
+    rows = pa.array([row for row, found in held for _ in found], pa.int64())
+    columns = []
+    for field in schema:
+        if field.name in ("vehicle", "trip_update"):
+            column = _optional(entities, field)
+        elif field.name == "entity_id":
+            column = pa.array([e.id for e in entities], field.type)
+        elif field.name == "is_deleted":
+            column = _column(entities, field)
+        elif field.name == "decode_error":
+            column = pa.nulls(len(entities), field.type)
+        else:
+            column = batch.column(field.name).take(rows).cast(field.type)
+        columns.append(column)
+    return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+def _optional(entities: Sequence, field: pa.Field) -> pa.Array:
+    """A nested message of those entities that have it, NULL for others."""
+    having = [e for e in entities if e.HasField(field.name)]
+    place = iter(range(len(having)))
+    places = [next(place) if e.HasField(field.name) else None for e in entities]
+    return _column(having, field).take(pa.array(places, pa.int32()))
+
+
+def _column(messages: Sequence, field: pa.Field) -> pa.Array:
+    """One field of many messages, nested as the schema says.
+
+    Reading an unset field gives its default, also inside unset messages.
+    """
+    values = [getattr(m, field.name) for m in messages]
+    if pa.types.is_struct(field.type):
+        children = [_column(values, child) for child in field.type]
+        return pa.StructArray.from_arrays(children, fields=list(field.type))
+    if pa.types.is_list(field.type):
+        ends = accumulate((len(v) for v in values), initial=0)
+        items = [item for v in values for item in v]
+        item_type = field.type.value_type
+        children = [_column(items, child) for child in item_type]
+        return pa.ListArray.from_arrays(
+            pa.array(ends, pa.int32()),
+            pa.StructArray.from_arrays(children, fields=list(item_type)),
+            type=field.type,
+        )
+    if field.name == "timestamp":
+        # Unsigned in the feed; what does not fit is far from any poll.
+        values = [min(v, _MAX_LONG) for v in values]
+    return pa.array(values, field.type)
