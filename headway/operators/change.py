@@ -18,8 +18,8 @@ def consecutive_skip(
     """Rows whose ``value`` differs from the previous row of their source.
 
     A, A, B, A keeps three rows. ``order`` is a total order within a source
-    and ``chunk`` must not decrease along it (the hour of the first order
-    column, say).
+    and ``chunk`` must not decrease along it: the hour or the minute of the
+    first order column, say, the finer the busier a source may be.
 
     One window per source would put a source in one task. Instead rows are
     compared within (source, chunk), and only the first row of each chunk is

@@ -79,7 +79,7 @@ def _consecutive_skip(spark: SparkSession, sf: str) -> DataFrame:
         "user_id",
         ["ts", "event_id"],
         "event_type",
-        F.date_trunc("hour", F.col("ts")),
+        F.date_trunc("minute", F.col("ts")),
     )
 
 
@@ -335,20 +335,15 @@ def _raw_in_one(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Payloads streamed into the three raw tables, two files a batch."""
+    """Payloads streamed into the three raw tables."""
     root = scratch_dir(spark, "stream")
-    (
-        A.event_payloads(spark, sf)
-        .repartition(4)
-        .write.parquet(f"{root}/landing")
-    )
+    A.event_payloads(spark, sf).write.parquet(f"{root}/landing")
     run_realtime(
         spark,
         f"{root}/landing",
         f"{root}/raw",
         f"{root}/checkpoint",
         packed=True,
-        max_files=2,
         interval=None,
     ).awaitTermination()
     return _raw_in_one(spark, f"{root}/raw")

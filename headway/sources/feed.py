@@ -143,13 +143,19 @@ def stream_payloads(
     landing: str,
     packed: bool = False,
     max_files: int = 1_000,
+    max_bytes: int = 1 << 30,
 ) -> DataFrame:
-    """The same rows as a stream of at most ``max_files`` files a batch."""
-    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
-    reader = reader.option("recursiveFileLookup", "true")
+    """The same rows as a stream with bounded micro-batches.
+
+    Single payloads are bounded by their number, packed files by their size,
+    as one such file may hold any number of payloads.
+    """
+    reader = spark.readStream.option("recursiveFileLookup", "true")
     if packed:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
         landed = reader.schema(_PACKED).parquet(landing)
     else:
+        reader = reader.option("maxFilesPerTrigger", max_files)
         landed = reader.schema(_FILES).format("binaryFile").load(landing)
     return payloads(landed, packed)
 

@@ -66,7 +66,7 @@ def _load_kept(
 ) -> DataFrame | None:
     """Payload rows of a micro-batch's kept payloads, None without any.
 
-    Only files of this micro-batch are named, ``maxFilesPerTrigger`` at most.
+    Only files of this micro-batch are named, which its limit bounds.
     """
     files = [r[0] for r in kept.select("source_file").distinct().toLocalIterator()]
     if not files:
@@ -85,6 +85,7 @@ def run_realtime(
     *,
     packed: bool = False,
     max_files: int = 1_000,
+    max_bytes: int = 1 << 30,
     interval: str | None = "30 seconds",
     on_batch: Callable[[IngestCounts], None] | None = None,
 ) -> StreamingQuery:
@@ -94,7 +95,7 @@ def run_realtime(
     the batch number, so a batch replayed after a failure replaces itself.
     """
     kept = changed_payloads(
-        stream_payloads(spark, landing, packed, max_files)
+        stream_payloads(spark, landing, packed, max_files, max_bytes)
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -251,16 +251,19 @@ def test_replayed_batch_does_not_double(spark, tmp_path, raw):
     assert stored(spark, raw) == before == [(20, "v1"), (21, "v2")]
 
 
-def test_packed_landing(spark, tmp_path, raw):
+@pytest.mark.parametrize("max_bytes", [1 << 30, 1])
+def test_packed_landing(spark, tmp_path, raw, max_bytes):
     landing, state = str(tmp_path / "landing"), str(tmp_path / "state")
     polls = [
         ("f", datetime(2026, 1, 2, 10, m, tzinfo=timezone.utc), numbered(n))
         for m, n in ((20, 1), (21, 1), (22, 2), (23, 1))
     ]
-    spark.createDataFrame(
-        polls, "feed_id string, poll_time timestamp, content binary"
-    ).repartition(2).write.parquet(landing)
-    drain(spark, landing, raw, state, packed=True)
+    # Two files, the second landed later.
+    for part in (polls[:2], polls[2:]):
+        spark.createDataFrame(
+            part, "feed_id string, poll_time timestamp, content binary"
+        ).coalesce(1).write.mode("append").parquet(landing)
+    drain(spark, landing, raw, state, packed=True, max_bytes=max_bytes)
     assert stored(spark, raw) == [(20, "v1"), (22, "v2"), (23, "v1")]
     batch = str(tmp_path / "batch")
     ingest_landed(spark, landing, batch, packed=True)
