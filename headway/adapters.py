@@ -363,7 +363,7 @@ def stop_times_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for n in names
     ]
-    text = table(spark, sf_dir, "lineitem").select(
+    text = _spread(table(spark, sf_dir, "lineitem")).select(
         F.concat_ws(",", *quoted).alias("line")
     )
     header = ",".join(names)
@@ -378,7 +378,7 @@ def stop_times_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
                 {"archive": ["orders.zip"], "content": [held.getvalue()]}
             )
 
-    return _spread(text).mapInArrow(pack, "archive string, content binary")
+    return text.mapInArrow(pack, "archive string, content binary")
 
 
 def customer_agencies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from headway.schemas import (
     VEHICLE_KEYS,
     TableSpec,
 )
-from headway.session import scratch_dir, ship_package
+from headway.session import scratch_dir, ship_package, side_by_side
 from headway.sources.archive import FeedInfo, extract_lines, stamp, typed
 from headway.sources.feed import decode
 from headway.plans.static import prepare
@@ -176,6 +176,24 @@ def _land_positions(spark: SparkSession, sf: str, root: str, waves: int) -> None
         append(rows.where(F.col("_wave") == n), root, RAW["vehicle_positions"])
 
 
+def _land_all(spark: SparkSession, sf: str, root: str) -> None:
+    """All three raw tables, the positions in two writes."""
+    side_by_side(
+        spark,
+        [
+            lambda: _land_positions(spark, sf, root, 2),
+            lambda: append(
+                A.trip_updates_raw(spark, sf), root, RAW["trip_updates"]
+            ),
+            lambda: append(
+                A.stop_time_updates_raw(spark, sf),
+                root,
+                RAW["stop_time_updates"],
+            ),
+        ],
+    )
+
+
 def _partition_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Two columns of the errors of every date, from the stored table."""
     root = scratch_dir(spark, "scan")
@@ -242,9 +260,7 @@ def _compaction(spark: SparkSession, sf: str) -> DataFrame:
 def _maintenance_job(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per date left by compaction and retention of all raw tables."""
     root = scratch_dir(spark, "maintenance")
-    _land_positions(spark, sf, root, 2)
-    append(A.trip_updates_raw(spark, sf), root, RAW["trip_updates"])
-    append(A.stop_time_updates_raw(spark, sf), root, RAW["stop_time_updates"])
+    _land_all(spark, sf, root)
     run_maintenance(spark, root, NOW, KEEP_DAYS)
     return _rows_per_date(spark, root, RAW.values())
 
@@ -271,9 +287,7 @@ def _daily_job(spark: SparkSession, sf: str) -> DataFrame:
     """All raw dates processed, as rows per table and date."""
     raw = scratch_dir(spark, "raw")
     processed = scratch_dir(spark, "processed")
-    append(A.vehicle_positions_raw(spark, sf), raw, RAW["vehicle_positions"])
-    append(A.trip_updates_raw(spark, sf), raw, RAW["trip_updates"])
-    append(A.stop_time_updates_raw(spark, sf), raw, RAW["stop_time_updates"])
+    _land_all(spark, sf, raw)
     days = {d for s in RAW.values() for d in partition_values(spark, raw, s)}
     run_daily(spark, raw, processed, NOW, days)
     return _rows_per_date(spark, processed, PROCESSED.values())
