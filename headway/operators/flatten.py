@@ -141,6 +141,7 @@ def entity_counts(entities: DataFrame) -> DataFrame:
         .when(F.col("trip_update").isNotNull(), "trip_update")
         .otherwise("other")
     )
-    return entities.groupBy(kind.alias("kind")).agg(
+    decoded = entities.where(F.col("decode_error").isNull())
+    return decoded.groupBy(kind.alias("kind")).agg(
         F.count(F.lit(1)).alias("entities")
     )

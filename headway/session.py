@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 import uuid
@@ -54,6 +55,7 @@ def ship_package(spark: SparkSession) -> None:
         return
     package = Path(__file__).parent
     held = tempfile.mkdtemp(prefix="headway-code-")
+    atexit.register(shutil.rmtree, held, ignore_errors=True)
     archive = shutil.make_archive(
         f"{held}/{package.name}", "zip", package.parent, package.name
     )

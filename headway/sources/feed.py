@@ -105,7 +105,7 @@ def payloads(landed: DataFrame, packed: bool) -> DataFrame:
             "poll_time",
             place.alias("payload_id"),
             F.col("_metadata.file_path").alias("source_file"),
-            "content",
+            F.coalesce("content", F.lit(b"")).alias("content"),
         )
     feed = F.regexp_extract("path", r"/feed_id=([^/]+)/", 1)
     stamp = F.regexp_extract("path", r"/(\d{8}T\d{6})Z[^/]*$", 1)

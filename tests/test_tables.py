@@ -3,7 +3,13 @@ from conftest import at, frame
 from test_daily import vehicle
 
 from headway.schemas import PROCESSED, RAW, STATIC
-from headway.tables import append, read_table, replace_dates, replace_version
+from headway.tables import (
+    append,
+    read_table,
+    register_views,
+    replace_dates,
+    replace_version,
+)
 
 DAYS = PROCESSED["vehicle_positions"]
 
@@ -136,3 +142,13 @@ def test_seconds_survive_storage(spark, raw):
         "unix_seconds(feed_timestamp) AS s"
     )
     assert row.first().s == int(at("2026-01-02 10:25").timestamp())
+
+
+def test_views_for_sql(spark, raw):
+    spec = RAW["vehicle_positions"]
+    append(frame(spark, spec.schema, [vehicle("a"), vehicle("b")]), raw, spec)
+    assert register_views(spark, raw, RAW.values(), "raw_") == [
+        "raw_vehicle_positions"
+    ]
+    query = "SELECT vehicle_id FROM raw_vehicle_positions WHERE route_id = 'route_2'"
+    assert [r.vehicle_id for r in spark.sql(query).collect()] == ["a", "b"]
