@@ -142,16 +142,17 @@ def ingest_landed(
     rows = read_payloads(spark, landing, packed)
     hashed = rows.select(
         "feed_id", "poll_time", "payload_id", F.md5("content").alias("md5")
-    )
+    ).persist(StorageLevel.DISK_ONLY)
     kept = consecutive_skip(
         hashed,
         "feed_id",
         ["poll_time", "payload_id"],
         "md5",
-        F.date_trunc("hour", F.col("poll_time")),
+        F.date_trunc("minute", F.col("poll_time")),
     ).persist(StorageLevel.DISK_ONLY)
     try:
         wanted = keep_matching(rows, kept, ["payload_id"], kept.count())
         return append_entities(decode(wanted), raw_root)
     finally:
         kept.unpersist()
+        hashed.unpersist()

@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import pytest
 from conftest import at, frame
 from pyspark.sql import functions as F
 
@@ -145,34 +146,36 @@ def test_staleness_limits(spark):
     ]
 
 
-def _skip(spark, rows, hours=True):
+def _skip(spark, rows, hot_rows):
     df = spark.createDataFrame(rows, "feed string, t int, md5 string")
-    chunk = (F.col("t") / 10).cast("int") if hours else F.lit(0)
-    out = consecutive_skip(df, "feed", ["t"], "md5", chunk)
-    return sorted((r.feed, r.t) for r in out.collect())
+    chunk = (F.col("t") / 10).cast("int")
+    out = consecutive_skip(df, "feed", ["t"], "md5", chunk, hot_rows)
+    return sorted(((r.feed, r.t) for r in out.collect()), key=str)
 
 
-def test_consecutive_skip_is_not_distinct(spark):
+@pytest.mark.parametrize("hot_rows", [0, 100])
+def test_consecutive_skip_is_not_distinct(spark, hot_rows):
     rows = [("f", t, m) for t, m in enumerate("AABA")]
-    assert _skip(spark, rows) == [("f", 0), ("f", 2), ("f", 3)]
+    assert _skip(spark, rows, hot_rows) == [("f", 0), ("f", 2), ("f", 3)]
 
 
-def test_consecutive_skip_across_chunks(spark):
+@pytest.mark.parametrize("hot_rows", [0, 50, 70, 100])
+def test_consecutive_skip_with_hot_sources(spark, hot_rows):
     rng = random.Random(3)
+    sizes = {"f": 60, "g": 60, None: 80, "h": 2}
     rows = [
         (feed, t, rng.choice(["A", "B", None]))
-        for feed in "fgh"
-        for t in sorted(rng.sample(range(200), 60))
+        for feed, size in sizes.items()
+        for t in rng.sample(range(200), size)
     ]
     want = []
-    for feed in "fgh":
+    for feed in sizes:
         before = object()
-        for _, t, m in sorted(r for r in rows if r[0] == feed):
+        for _, t, m in sorted((r for r in rows if r[0] == feed), key=lambda r: r[1]):
             if m != before:
                 want.append((feed, t))
             before = m
-    assert _skip(spark, rows) == sorted(want)
-    assert _skip(spark, rows, hours=False) == sorted(want)
+    assert _skip(spark, rows, hot_rows) == sorted(want, key=str)
 
 
 def test_first_by_value(spark):
