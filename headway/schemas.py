@@ -41,6 +41,16 @@ class TableSpec:
     schema: T.StructType
     partition_by: tuple[str, ...]
     keys: tuple[str, ...] = ()
+    version: str = "1"
+
+    @property
+    def info(self) -> dict[str, object]:
+        """What is kept beside the table about it."""
+        return {
+            "entity": self.name,
+            "version": self.version,
+            "partition_columns": list(self.partition_by),
+        }
 
     @property
     def stored_schema(self) -> T.StructType:

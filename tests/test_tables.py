@@ -9,6 +9,7 @@ from headway.tables import (
     register_views,
     replace_dates,
     replace_version,
+    table_info,
 )
 
 DAYS = PROCESSED["vehicle_positions"]
@@ -152,3 +153,14 @@ def test_views_for_sql(spark, raw):
     ]
     query = "SELECT vehicle_id FROM raw_vehicle_positions WHERE route_id = 'route_2'"
     assert [r.vehicle_id for r in spark.sql(query).collect()] == ["a", "b"]
+
+
+def test_table_info_is_kept_beside_the_data(spark, raw, tmp_path):
+    spec = RAW["vehicle_positions"]
+    append(frame(spark, spec.schema, [vehicle("a")]), raw, spec)
+    assert table_info(spark, raw, spec) == {
+        "entity": "vehicle_positions",
+        "version": "1",
+        "partition_columns": ["start_date", "load_id", "route_id"],
+    }
+    assert spark.read.parquet(f"{raw}/vehicle_positions").count() == 1
