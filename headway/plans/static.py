@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.times import utc_now
 from headway.schemas import STATIC, StaticSpec
+from headway.session import ship_package
 from headway.sources.archive import (
     FeedInfo,
     extract_lines,
@@ -98,6 +99,7 @@ def run_static(
     by its hash. A table that fails leaves the others in place and the archive
     out of the ledger, so the next run takes it again.
     """
+    ship_package(spark)
     specs = {name: (specs or STATIC)[name] for name in tables}
     ledger = Ledger(spark, static_root)
     seen = ledger.read().select("archive", "modified")

@@ -15,6 +15,7 @@ from headway.operators.change import consecutive_skip
 from headway.operators.flatten import FLATTENERS
 from headway.operators.gather import keep_matching
 from headway.schemas import RAW
+from headway.session import ship_package
 from headway.sources.feed import decode, read_payloads, stream_payloads
 from headway.streaming.skip import changed_payloads
 from headway.tables import append
@@ -94,6 +95,7 @@ def run_realtime(
     Micro-batches are written under a load id made of the query's own id and
     the batch number, so a batch replayed after a failure replaces itself.
     """
+    ship_package(spark)
     kept = changed_payloads(
         stream_payloads(spark, landing, packed, max_files, max_bytes)
     )
@@ -102,6 +104,8 @@ def run_realtime(
         query = batch.sparkSession.sparkContext.getLocalProperty(
             "sql.streaming.queryId"
         )
+        if query is None:
+            raise RuntimeError("not called by a streaming query")
         batch = batch.persist()
         try:
             rows = _load_kept(spark, batch, packed)
@@ -139,6 +143,7 @@ def ingest_landed(
     Payloads are read twice, once to be hashed and once to be decoded, rather
     than shuffled through the comparison with their predecessor.
     """
+    ship_package(spark)
     rows = read_payloads(spark, landing, packed)
     hashed = rows.select(
         "feed_id", "poll_time", "payload_id", F.md5("content").alias("md5")
