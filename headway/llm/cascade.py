@@ -56,11 +56,11 @@ def repeated_words(words: Column) -> Column:
     more is done. Else they are sorted with their places, the places of
     repeated ones sorted again, and each covers the words up to the next.
     """
-    starts = F.sequence(F.lit(0), F.size(words) - WINDOW)
-    hashes = F.transform(
-        starts,
-        lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(WINDOW)]),
-    )
+    def hashes(held: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.size(held) - WINDOW),
+            lambda i: F.xxhash64(*[F.get(held, i + j) for j in range(WINDOW)]),
+        )
 
     def cover(windows: Column) -> Column:
         placed = F.array_sort(
@@ -90,18 +90,19 @@ def repeated_words(words: Column) -> Column:
 
         return _let(_let(placed, places), spans)
 
-    return (
-        F.when(F.size(words) < WINDOW, 0)
-        .otherwise(
+    # The words are bound first: where a filter is pushed below the column
+    # that holds them, they would be split anew for every window.
+    return _let(
+        words,
+        lambda held: F.when(F.size(held) < WINDOW, 0).otherwise(
             _let(
-                hashes,
+                hashes(held),
                 lambda w: F.when(
                     F.size(F.array_distinct(w)) == F.size(w), 0
                 ).otherwise(cover(w)),
             )
-        )
-        .cast("long")
-    )
+        ),
+    ).cast("long")
 
 
 def _let(value: Column, body) -> Column:
