@@ -7,12 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.operators.gather import BROADCAST_ROWS
-
-
-# Rows of one source that a single task may well sort.
-HOT_ROWS = 1_000_000
-
 
 def consecutive_skip(
     df: DataFrame,
@@ -20,65 +14,17 @@ def consecutive_skip(
     order: Sequence[str],
     value: str,
     chunk: Column,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows whose ``value`` differs from the previous row of their source.
 
     A, A, B, A keeps three rows. ``order`` is a total order within a source.
-    A window per source puts a source in one task, so sources with more than
-    ``hot_rows`` rows are found first (a count, run at once) and compared in
-    chunks. ``chunk`` must not decrease along ``order``: the hour or the minute
-    of its first column, say, the finer the busier a source may be.
-    """
-    counts = df.groupBy(source).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counts.where(F.col("_rows") > hot_rows).select(
-        F.col(source).alias("_hot")
-    )
-    hot = hot.persist()
-    hot_sources = hot.count()
-    if not hot_sources:
-        hot.unpersist()
-        return _compare(df, source, order, value)
-    if hot_sources <= BROADCAST_ROWS:
-        hot = F.broadcast(hot)
-    is_hot = df[source].eqNullSafe(hot["_hot"])
-    calm = df.join(hot, is_hot, "left_anti")
-    busy = df.join(hot, is_hot, "left_semi")
-    return _compare(calm, source, order, value).unionAll(
-        _compare_in_chunks(busy, source, order, value, chunk)
-    )
+    ``chunk`` must not decrease along ``order``: the hour or the minute of its
+    first column, say, the finer the busier a source may be.
 
-
-def _compare(
-    df: DataFrame, source: str, order: Sequence[str], value: str
-) -> DataFrame:
-    by_source = Window.partitionBy(source).orderBy(*order)
-    ranked = df.select(
-        "*",
-        F.lag(value).over(by_source).alias("_before"),
-        F.row_number().over(by_source).alias("_place"),
-    )
-    return _changed(ranked, value).select(*df.columns)
-
-
-def _changed(ranked: DataFrame, value: str) -> DataFrame:
-    same = F.col("_before").eqNullSafe(F.col(value))
-    return ranked.where((F.col("_place") == 1) | ~same)
-
-
-def _compare_in_chunks(
-    df: DataFrame,
-    source: str,
-    order: Sequence[str],
-    value: str,
-    chunk: Column,
-) -> DataFrame:
-    """The same, with a source spread over its chunks.
-
-    Rows are compared within (source, chunk). The first row of each chunk is
-    then compared with the last value of the chunk before: that step sees one
-    row per chunk, which the calendar bounds, not the data. Both steps read
-    the same exchange.
+    A source is spread over its chunks. Rows are compared within (source,
+    chunk); the first row of each chunk is then compared with the last value
+    of the chunk before. That second step sees one row per chunk, which the
+    calendar bounds, not the data. Both steps read the same exchange.
     """
     by_chunk = Window.partitionBy(source, "_chunk").orderBy(*order)
     whole = by_chunk.rowsBetween(
@@ -103,6 +49,11 @@ def _compare_in_chunks(
     )
 
 
+def _changed(ranked: DataFrame, value: str) -> DataFrame:
+    same = F.col("_before").eqNullSafe(F.col(value))
+    return ranked.where((F.col("_place") == 1) | ~same)
+
+
 def first_by_value(df: DataFrame, value: str, row_id: str) -> DataFrame:
     """Distinct values with the smallest id that carries each."""
     return df.groupBy(value).agg(F.min(row_id).alias(row_id))

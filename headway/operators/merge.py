@@ -27,20 +27,22 @@ def merge_stop_events(stop_updates: DataFrame) -> DataFrame:
     The fields of a side are taken from its confirmed rows, each by its own
     maximum; a stop with predictions only stays, with NULLs. All aggregates
     are partial, so a hot stop shrinks before the exchange.
+
+    A maximum of text cannot be kept in a hash table, and would have all rows
+    sorted. The route is therefore a key of a first aggregate, and the largest
+    route is taken from the few rows that leaves of a stop.
     """
-    shared = [
-        F.max(c).alias(c)
-        for c in (
-            "poll_time",
-            "feed_timestamp",
-            "route_id",
-            "stop_schedule_relationship",
-        )
-    ]
-    sides = [
-        max_where(confirmed(side), f"{side}_{field}")
+    numbers = ("poll_time", "feed_timestamp", "stop_schedule_relationship")
+    fields = [
+        f"{side}_{field}"
         for side in SIDES
         for field in ("delay", "time", "uncertainty")
     ]
-    merged = stop_updates.groupBy(*STOP_KEYS).agg(*shared, *sides)
+    by_route = stop_updates.groupBy(*STOP_KEYS, "route_id").agg(
+        *[F.max(c).alias(c) for c in numbers],
+        *[max_where(confirmed(f.partition("_")[0]), f) for f in fields],
+    )
+    merged = by_route.groupBy(*STOP_KEYS).agg(
+        *[F.max(c).alias(c) for c in ("route_id", *numbers, *fields)]
+    )
     return merged.select(*PROCESSED["stop_time_events"].schema.names)

@@ -15,12 +15,14 @@ def version_by_date(versions: DataFrame) -> DataFrame:
 
     Where ranges overlap the latest ``valid_from`` wins, then the latest
     ``valid_to``. Ranges are unrolled to days, so later joins are equi-joins
-    instead of comparing every row with every version.
+    instead of comparing every row with every version. A range that ends
+    before it begins covers no day.
     """
     days = F.sequence(
         F.to_date("valid_from", _DAY), F.to_date("valid_to", _DAY)
     )
-    unrolled = versions.select("valid_from", "valid_to").distinct().select(
+    ranges = versions.select("valid_from", "valid_to").distinct()
+    unrolled = ranges.where("valid_from <= valid_to").select(
         F.explode(days).alias("_day"), "valid_from", "valid_to"
     )
     newest = F.max(F.struct("valid_from", "valid_to")).alias("_v")

@@ -5,7 +5,6 @@ Run hourly, later in the hour than the staleness limit.
 
 from __future__ import annotations
 
-import json
 import logging
 import re
 import uuid
@@ -19,8 +18,8 @@ from headway.functions.times import retention_cutoff, utc_now
 from headway.schemas import LOAD_ID, RAW, TableSpec
 from headway.session import conf, side_by_side
 from headway.store import Store, partition_dir
+from headway.swap import Step, new_staging, recover, swap
 from headway.tables import (
-    STAGING,
     partition_values,
     read_table,
     table_path,
@@ -31,11 +30,12 @@ log = logging.getLogger("headway.maintenance")
 
 RETENTION_DAYS = 2
 TARGET_BYTES = 128 * 1024 * 1024
+# Results of one size class that are merged into one of the next.
+FAN_IN = 3
 _FILE_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 _MERGED = f"{LOAD_ID}=merged-"
 _POLL = re.compile(rf"{LOAD_ID}=poll-(.+)-(\d{{12}})")
-_PLAN = "_PLAN"
 
 
 def _newest_polls(loads: dict[str, list[str]]) -> set[str]:
@@ -52,53 +52,44 @@ def _newest_polls(loads: dict[str, list[str]]) -> set[str]:
 def _to_merge(
     store: Store, folder: str, names: list[str], hold: set[str], target: int
 ) -> list[str]:
-    """Loads of one date worth merging, none if nothing new has come.
+    """Writes of one date worth merging, none if nothing new has come.
 
-    New loads are merged together with earlier results that are still made of
-    small files; results of full-sized files are left alone.
+    Writes are merged with others of their size only: a size class spans a
+    factor of four, and ``FAN_IN`` earlier results of a class are merged into
+    one of the next. So a row is rewritten as often as there are classes, not
+    every hour. New writes are merged at once, as the smallest class.
     """
     new = [n for n in names if not n.startswith(_MERGED) and n not in hold]
     if not new:
         return []
-    small = []
+    if len(new) == 1:
+        # A single write may itself hold several files per route.
+        routes = store.child_dirs(f"{folder}/{new[0]}")
+        size, files = store.size(f"{folder}/{new[0]}")
+    else:
+        size, files, routes = 0, len(new), []
+        for name in new:
+            size += store.size(f"{folder}/{name}")[0]
+    classes: dict[int, list[tuple[str, int]]] = {}
     for name in names:
         if name.startswith(_MERGED):
-            size, files = store.size(f"{folder}/{name}")
-            if size < files * target / 2:
-                small.append(name)
-    if len(new) + len(small) > 1:
-        return new + small
-    # A single write may itself hold several files per route.
-    routes = store.child_dirs(f"{folder}/{new[0]}")
-    _, files = store.size(f"{folder}/{new[0]}")
+            held, count = store.size(f"{folder}/{name}")
+            if held < count * target / 2:
+                classes.setdefault(_size_class(held), []).append((name, held))
+    chosen = list(new)
+    while True:
+        equals = classes.pop(_size_class(size), [])
+        if len(equals) < FAN_IN - 1:
+            break
+        chosen += [name for name, _ in equals]
+        size += sum(held for _, held in equals)
+    if len(chosen) > 1:
+        return chosen
     return new if files > len(routes) else []
 
 
-def _swap(store: Store, path: str, staged: str) -> int:
-    """Take out the merged loads, then move the results in.
-
-    The plan was stored before, so this can be repeated from any point.
-    """
-    plan = json.loads(store.read_text(f"{staged}/{_PLAN}"))
-    for folder in plan["remove"]:
-        store.delete(f"{path}/{folder}")
-    for folder in plan["add"]:
-        if store.exists(f"{staged}/{folder}"):
-            store.rename(f"{staged}/{folder}", f"{path}/{folder}")
-    store.delete(staged)
-    return len(plan["remove"])
-
-
-def recover(spark: SparkSession, raw_root: str, spec: TableSpec) -> None:
-    """Finish a swap that was interrupted; drop unfinished output."""
-    path = table_path(raw_root, spec)
-    store = Store(spark, path)
-    for name in store.child_dirs(f"{path}/{STAGING}"):
-        staged = f"{path}/{STAGING}/{name}"
-        if store.exists(f"{staged}/{_PLAN}"):
-            _swap(store, path, staged)
-        else:
-            store.delete(staged)
+def _size_class(size: int) -> int:
+    return max(size, 1).bit_length() // 2
 
 
 def compact_table(
@@ -117,9 +108,9 @@ def compact_table(
     path = table_path(raw_root, spec)
     store = Store(spark, path)
     if not store.exists(path):
-        log.info("Table %s does not exist, skipping compaction", table)
+        log.info("compaction: no %s yet", table)
         return 0
-    recover(spark, raw_root, spec)
+    recover(store, path)
 
     loads = {
         day: [
@@ -131,35 +122,38 @@ def compact_table(
         if day.startswith("start_date=")
     }
     hold = _newest_polls(loads)
-    remove = [
-        f"{day}/{name}"
+    merged = {
+        day: chosen
         for day, names in loads.items()
-        for name in _to_merge(
-            store, f"{path}/{day}", names, hold, target_bytes
-        )
-    ]
+        if (chosen := _to_merge(store, f"{path}/{day}", names, hold, target_bytes))
+    }
+    remove = [f"{day}/{name}" for day, names in merged.items() for name in names]
     if not remove:
-        log.info("Nothing to compact in %s", table)
+        log.info("compaction: %s has no new writes", table)
         return 0
 
     run = uuid.uuid4().hex
-    staged = f"{path}/{STAGING}/{run}"
+    staged = new_staging(path)
     rows = (
         spark.read.schema(spec.stored_schema)
         .option("basePath", path)
         .parquet(*[f"{path}/{folder}" for folder in remove])
         .withColumn(LOAD_ID, F.lit(f"merged-{run}"))
     )
-    with conf(spark, {_FILE_SIZE: str(target_bytes)}):
-        write_clustered(rows, staged, spec.partition_by)
-    days = [d for d in store.child_dirs(staged) if d.startswith("start_date=")]
-    add = [f"{day}/{_MERGED}{run}" for day in days]
-    store.write_text(
-        f"{staged}/{_PLAN}", json.dumps({"remove": remove, "add": add})
-    )
-    merged = _swap(store, path, staged)
-    log.info("Compacted %s: %d writes into %d", table, merged, len(add))
-    return merged
+    try:
+        with conf(spark, {_FILE_SIZE: str(target_bytes)}):
+            write_clustered(rows, staged, spec.partition_by)
+    except BaseException:
+        store.delete(staged)
+        raise
+    # Day by day, so that readers miss a day for a few renames only.
+    steps = [
+        Step([f"{day}/{n}" for n in names], [f"{day}/{_MERGED}{run}"])
+        for day, names in merged.items()
+    ]
+    swap(store, path, staged, steps)
+    log.info("compaction: %s, %d writes became %d", table, len(remove), len(steps))
+    return len(remove)
 
 
 def expire_table(
@@ -177,7 +171,7 @@ def expire_table(
     path = table_path(raw_root, spec)
     store = Store(spark, path)
     if not store.exists(path):
-        log.info("Table %s does not exist, skipping retention", table)
+        log.info("retention: no %s yet", table)
         return 0
     cutoff = retention_cutoff(now or utc_now(), retention_days)
     old = [d for d in partition_values(spark, raw_root, spec) if d < cutoff]
@@ -186,7 +180,7 @@ def expire_table(
     rows = read_table(spark, raw_root, spec, old).count()
     for day in old:
         store.delete(f"{path}/{partition_dir(spark, 'start_date', day)}")
-    log.info("Deleted %d rows of %s before %s", rows, table, cutoff)
+    log.info("retention: %s before %s gone, %d rows", table, cutoff, rows)
     return rows
 
 

@@ -23,9 +23,10 @@ from headway.sources.archive import (
     stamp,
     typed,
 )
-from headway.sources.ledger import UNCHANGED, Entry, Ledger
+from headway.sources.ledger import SUPERSEDED, UNCHANGED, Entry, Ledger
 from headway.store import Store
-from headway.tables import STAGING, replace_version
+from headway.swap import STAGING
+from headway.tables import replace_version
 
 log = logging.getLogger("headway.static")
 
@@ -95,9 +96,11 @@ def run_static(
     """Load every landed archive that is new; rows per archive and file.
 
     Archives are taken in the order they were landed. One already in the
-    ledger is skipped by name and time, one equal to the archive recorded last
-    by its hash. A table that fails leaves the others in place and the archive
-    out of the ledger, so the next run takes it again.
+    ledger is skipped by name and time, one equal to the archive landed last of those
+    recorded by its hash. A table that fails leaves the others in place and the archive
+    out of the ledger, so the next run takes it again; but not once an archive
+    landed later has been loaded for the same validity, as old contents never
+    replace new ones.
     """
     ship_package(spark)
     specs = {name: (specs or STATIC)[name] for name in tables}
@@ -154,6 +157,19 @@ def run_static(
             except (KeyError, ValueError):
                 log.exception("%s has no validity, skipped", name)
                 continue
+            if ledger.has_newer(info.valid_from, info.valid_to, row["modified"]):
+                log.info("%s: a later archive is loaded, skipped", name)
+                entry = Entry(
+                    name,
+                    row["modified"],
+                    row["content_hash"],
+                    info.valid_from,
+                    info.valid_to,
+                    info.version,
+                    SUPERSEDED,
+                )
+                ledger.record(entry, utc_now())
+                continue
             done[name], complete = _load_archive(
                 lines, static_root, specs, info, row["modified"]
             )

@@ -83,30 +83,51 @@ def _consecutive_skip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Parts in which the streams' inputs are landed, each drained by itself.
+LANDINGS = 4
+
+
+def _land_in_order(
+    rows: DataFrame, time: str, folder: str, drain: Callable[[], object]
+) -> None:
+    """Land rows in parts by their time, and drain after each part."""
+    bounds = rows.agg(
+        F.min(F.unix_micros(time)).alias("low"),
+        F.max(F.unix_micros(time)).alias("high"),
+    ).first()
+    low, width = bounds["low"] or 0, (bounds["high"] or 0) - (bounds["low"] or 0) + 1
+    part = F.floor((F.unix_micros(time) - low) * LANDINGS / width)
+    placed = rows.withColumn("_part", part.cast("int"))
+    for n in range(LANDINGS):
+        placed.where(F.col("_part") == n).drop("_part").write.mode(
+            "append"
+        ).parquet(folder)
+        drain()
+
+
 def _stream_skip(spark: SparkSession, sf: str) -> DataFrame:
-    """The same rule on a stream, one state per user."""
+    """The same rule on a stream over several micro-batches, one state a user."""
     scratch = scratch_dir(spark, "stream-skip")
-    (
-        A.table(spark, sf, "events")
-        .select(
-            F.col("user_id").cast("string").alias("feed_id"),
-            F.col("ts").cast("timestamp").alias("poll_time"),
-            F.format_string("%020d", "event_id").alias("payload_id"),
-            F.encode("event_type", "utf-8").alias("content"),
-        )
-        .write.parquet(f"{scratch}/landing")
-    )
-    landed = spark.read.parquet(f"{scratch}/landing").schema
-    stream = (
-        spark.readStream.schema(landed)
-        .parquet(f"{scratch}/landing")
-        .withColumn("source_file", F.lit(""))
+    rows = A.table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("feed_id"),
+        F.col("ts").cast("timestamp").alias("poll_time"),
+        F.format_string("%020d", "event_id").alias("payload_id"),
+        F.encode("event_type", "utf-8").alias("content"),
     )
-    changed_payloads(stream).writeStream.option(
-        "checkpointLocation", f"{scratch}/checkpoint"
-    ).outputMode("append").format("parquet").trigger(availableNow=True).start(
-        f"{scratch}/kept"
-    ).awaitTermination()
+
+    def drain() -> None:
+        stream = (
+            spark.readStream.schema(rows.schema)
+            .parquet(f"{scratch}/landing")
+            .withColumn("source_file", F.lit(""))
+        )
+        changed_payloads(stream).writeStream.option(
+            "checkpointLocation", f"{scratch}/checkpoint"
+        ).outputMode("append").format("parquet").trigger(availableNow=True).start(
+            f"{scratch}/kept"
+        ).awaitTermination()
+
+    _land_in_order(rows, "poll_time", f"{scratch}/landing", drain)
     return spark.read.parquet(f"{scratch}/kept").select(
         F.col("feed_id").cast("bigint").alias("user_id"),
         F.col("payload_id").cast("bigint").alias("event_id"),

@@ -8,8 +8,10 @@ spares a large deployment millions of small files.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from itertools import accumulate
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -123,6 +125,16 @@ def payloads(landed: DataFrame, packed: bool) -> DataFrame:
     )
 
 
+def plain_path(name: str, encoded: bool) -> str:
+    """A file's name as a reader takes it.
+
+    The metadata of a file holds its address with URL escapes. Characters
+    that a reader would take for a pattern are escaped its own way.
+    """
+    path = unquote(name) if encoded else name
+    return re.sub(r"[\\\[\]{}*?]", lambda m: "\\" + m[0], path)
+
+
 def read_payloads(
     spark: SparkSession, paths: str | Sequence[str], packed: bool = False
 ) -> DataFrame:

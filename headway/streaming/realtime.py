@@ -16,7 +16,12 @@ from headway.operators.flatten import FLATTENERS
 from headway.operators.gather import keep_matching
 from headway.schemas import RAW
 from headway.session import ship_package
-from headway.sources.feed import decode, read_payloads, stream_payloads
+from headway.sources.feed import (
+    decode,
+    plain_path,
+    read_payloads,
+    stream_payloads,
+)
 from headway.streaming.skip import changed_payloads
 from headway.tables import append
 
@@ -69,7 +74,8 @@ def _load_kept(
 
     Only files of this micro-batch are named, which its limit bounds.
     """
-    files = [r[0] for r in kept.select("source_file").distinct().toLocalIterator()]
+    named = kept.select("source_file").distinct().toLocalIterator()
+    files = [plain_path(r[0], packed) for r in named]
     if not files:
         return None
     rows = read_payloads(spark, files, packed)
@@ -137,9 +143,12 @@ def ingest_landed(
     raw_root: str,
     *,
     packed: bool = False,
+    load_id: str | None = None,
 ) -> IngestCounts:
     """The same as one batch over everything landed (a backfill).
 
+    A backfill that may be run again after a failure passes the same
+    ``load_id`` again; each table then replaces what the first try wrote.
     Payloads are read twice, once to be hashed and once to be decoded, rather
     than shuffled through the comparison with their predecessor.
     """
@@ -157,7 +166,7 @@ def ingest_landed(
     ).persist(StorageLevel.DISK_ONLY)
     try:
         wanted = keep_matching(rows, kept, ["payload_id"], kept.count())
-        return append_entities(decode(wanted), raw_root)
+        return append_entities(decode(wanted), raw_root, load_id)
     finally:
         kept.unpersist()
         hashed.unpersist()

@@ -19,12 +19,19 @@ def _keep_changed(
     key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
 ) -> Iterator[pd.DataFrame]:
     polls = pd.concat(list(frames), ignore_index=True)
-    polls = polls.sort_values(["poll_time", "payload_id"])
-    before = polls["md5"].shift()
-    if state.exists:
-        before.iloc[0] = state.get[0]
-    state.update((polls["md5"].iloc[-1],))
-    yield polls.loc[polls["md5"] != before].drop(columns="md5")
+    polls = polls.sort_values(["poll_time", "payload_id"], ignore_index=True)
+    last_md5, newest = state.get if state.exists else (None, None)
+    late = pd.Series(False, polls.index)
+    if newest is not None:
+        late = polls["poll_time"] < pd.Timestamp(newest)
+    timely = polls[~late]
+    before = timely["md5"].shift()
+    if len(timely):
+        before.iloc[0] = last_md5
+        last = timely.iloc[-1]
+        state.update((last["md5"], last["poll_time"].to_pydatetime()))
+    changed = timely[timely["md5"] != before]
+    yield pd.concat([polls[late], changed]).drop(columns="md5")
 
 
 def changed_payloads(stream: DataFrame) -> DataFrame:
@@ -33,7 +40,10 @@ def changed_payloads(stream: DataFrame) -> DataFrame:
     Returns their names, not their bytes: payloads are hashed where they are
     read, and only (feed, poll time, name, hash) is shuffled to the state. The
     work per feed is in sequence by nature; a micro-batch bounds it, and the
-    state is one hash per feed. Order within a micro-batch is by poll time.
+    state is the hash and the time of a feed's newest poll. Order within a
+    micro-batch is by poll time. A poll older than the newest of an earlier
+    micro-batch is late: its neighbours are gone, so it is kept and changes no
+    state. What comes in time gives what a batch over everything gives.
     """
     hashed = stream.select(
         "feed_id",
@@ -45,7 +55,7 @@ def changed_payloads(stream: DataFrame) -> DataFrame:
     return hashed.groupBy("feed_id").applyInPandasWithState(
         _keep_changed,
         outputStructType=KEPT,
-        stateStructType="md5 string",
+        stateStructType="md5 string, newest timestamp",
         outputMode="append",
         timeoutConf=GroupStateTimeout.NoTimeout,
     )

@@ -85,7 +85,7 @@ def test_keeps_unique_positions(spark, raw, processed):
 def test_missing_table_is_skipped(spark, raw, processed, caplog):
     with caplog.at_level(logging.WARNING):
         assert process_vehicle_positions(spark, raw, processed, NOW) == 0
-    assert "does not exist" in caplog.text
+    assert "is missing" in caplog.text
     assert not Store(spark, processed).exists(processed)
 
 
@@ -95,7 +95,7 @@ def test_empty_day_keeps_what_was_there(spark, raw, processed, caplog):
     with caplog.at_level(logging.INFO):
         later = at("2026-02-01 15:00")
         assert process_vehicle_positions(spark, raw, processed, later) == 0
-    assert "No data for vehicle_positions" in caplog.text
+    assert "raw vehicle_positions is empty" in caplog.text
     assert read(spark, processed, "vehicle_positions").count() == 2
 
 

@@ -1,5 +1,6 @@
 import logging
 import os
+import shutil
 from datetime import datetime, timezone
 
 import pytest
@@ -269,3 +270,40 @@ def test_packed_landing(spark, tmp_path, raw, max_bytes):
     batch = str(tmp_path / "batch")
     ingest_landed(spark, landing, batch, packed=True)
     assert stored(spark, batch) == stored(spark, raw)
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_names_with_signs_that_are_escaped(spark, tmp_path, raw, packed):
+    landing = str(tmp_path / "with space 50% + é")
+    folder = f"{landing}/part [1] {{x}}"
+    if packed:
+        polled = datetime(2026, 1, 2, 10, 20, tzinfo=timezone.utc)
+        spark.createDataFrame(
+            [("f", polled, numbered(1))],
+            "feed_id string, poll_time timestamp, content binary",
+        ).coalesce(1).write.parquet(f"{tmp_path}/made")
+        shutil.copytree(f"{tmp_path}/made", folder)
+    else:
+        land_file(folder, "f", 20, numbered(1))
+    drain(spark, landing, raw, str(tmp_path / "state"), packed=packed)
+    assert stored(spark, raw) == [(20, "v1")]
+
+
+def test_a_backfill_run_again_replaces_itself(spark, tmp_path, raw):
+    landing = str(tmp_path / "landing")
+    land_file(landing, "f", 20, numbered(1))
+    for _ in range(2):
+        ingest_landed(spark, landing, raw, load_id="backfill-1")
+        assert stored(spark, raw) == [(20, "v1")]
+
+
+def test_a_late_poll_is_kept_and_changes_no_state(spark, tmp_path, raw):
+    landing, state = str(tmp_path / "landing"), str(tmp_path / "state")
+    land_file(landing, "f", 20, numbered(1))
+    land_file(landing, "f", 25, numbered(2))
+    drain(spark, landing, raw, state)
+    land_file(landing, "f", 22, numbered(1))  # late
+    land_file(landing, "f", 26, numbered(2))  # equals the newest
+    land_file(landing, "f", 27, numbered(1))
+    drain(spark, landing, raw, state)
+    assert stored(spark, raw) == [(20, "v1"), (22, "v1"), (25, "v2"), (27, "v1")]

@@ -1,4 +1,3 @@
-import json
 import logging
 
 import pytest
@@ -8,12 +7,12 @@ from test_daily import vehicle
 from headway.plans.maintenance import (
     compact_table,
     expire_table,
-    recover,
     run_maintenance,
 )
 from headway.schemas import RAW
 from headway.store import Store
-from headway.tables import STAGING, append, partition_values, read_table
+from headway.swap import STAGING, new_staging, recover
+from headway.tables import append, partition_values, read_table
 
 TABLE = "vehicle_positions"
 SPEC = RAW[TABLE]
@@ -41,7 +40,7 @@ def test_missing_table_is_skipped(spark, raw, caplog):
     with caplog.at_level(logging.INFO):
         assert compact_table(spark, raw, TABLE) == 0
         assert expire_table(spark, raw, TABLE, at("2026-01-02 12:00")) == 0
-    assert caplog.text.count("does not exist") == 2
+    assert caplog.text.count(f"no {TABLE} yet") == 2
 
 
 def test_rows_are_preserved_over_routes_and_dates(spark, raw):
@@ -60,11 +59,11 @@ def test_nothing_new_nothing_done(spark, raw):
     land(spark, raw, TABLE, [vehicle("vehicle_A") for _ in range(4)])
     compact_table(spark, raw, TABLE)
     assert compact_table(spark, raw, TABLE) == 0
-    # New writes join the earlier result while that is small ...
+    # A single new write of one file is compact as it is ...
     land(spark, raw, TABLE, [vehicle("vehicle_B")], writes=1)
-    assert compact_table(spark, raw, TABLE) == 2
-    # ... and leave it alone once its files have the wanted size.
-    land(spark, raw, TABLE, [vehicle("vehicle_C")] * 2)
+    assert compact_table(spark, raw, TABLE) == 0
+    # ... and results whose files have the wanted size are left alone.
+    land(spark, raw, TABLE, [vehicle("vehicle_C")] * 2, writes=1)
     assert compact_table(spark, raw, TABLE, target_bytes=1) == 2
 
 
@@ -89,30 +88,67 @@ def test_last_micro_batch_is_left_for_a_replay(spark, raw):
     assert rows(spark, raw) == before
 
 
-@pytest.mark.parametrize("removed", [0, 1, 2])
-@pytest.mark.parametrize("planned", [True, False])
-def test_interrupted_swap(spark, raw, removed, planned):
-    land(spark, raw, TABLE, [vehicle("vehicle_A") for _ in range(4)])
+def failing_rename(monkeypatch, at):
+    """Make the rename number ``at`` fail, counting from 1."""
+    rename, seen = Store.rename, []
+
+    def fail(self, source, target):
+        seen.append(target)
+        if len(seen) == at:
+            raise OSError("injected")
+        rename(self, source, target)
+
+    monkeypatch.setattr(Store, "rename", fail)
+
+
+@pytest.mark.parametrize("at_rename", [1, 2, 3, 4, 5, 6, 7])
+def test_interrupted_swap_loses_nothing(spark, raw, monkeypatch, at_rename):
+    days = ["20260101", "20260102"]
+    data = [vehicle(f"v{n}", start_date=days[n % 2]) for n in range(8)]
+    land(spark, raw, TABLE, [d for i in (0, 1) for d in data[i::2]])
+    for n in (0, 1):
+        append(frame(spark, SPEC.schema, [data[n]]), raw, SPEC)
     before = rows(spark, raw)
-    path, store = f"{raw}/{TABLE}", Store(spark, raw)
-    day = "start_date=20260101"
-    old = [f"{day}/{n}" for n in store.child_dirs(f"{path}/{day}")]
-    staged = f"{path}/{STAGING}/run"
-    new = f"{day}/load_id=merged-run"
-    spark.read.schema(SPEC.stored_schema).parquet(path).drop(
-        "start_date", "load_id"
-    ).coalesce(1).write.partitionBy("route_id").parquet(f"{staged}/{new}")
-    if planned:
-        store.write_text(
-            f"{staged}/_PLAN", json.dumps({"remove": old, "add": [new]})
-        )
-        for folder in old[:removed]:
-            store.delete(f"{path}/{folder}")
-    recover(spark, raw, SPEC)
+    with monkeypatch.context() as patch:
+        failing_rename(patch, at_rename)
+        with pytest.raises(OSError):
+            compact_table(spark, raw, TABLE)
+    store = Store(spark, raw)
+    recover(store, f"{raw}/{TABLE}", abandoned_seconds=0)
     assert rows(spark, raw) == before
+    assert store.child_dirs(f"{raw}/{TABLE}/{STAGING}") == []
+
+
+def test_output_of_a_running_job_is_left_alone(spark, raw):
+    land(spark, raw, TABLE, [vehicle("vehicle_A")])
+    path, store = f"{raw}/{TABLE}", Store(spark, raw)
+    staged = new_staging(path)
+    store.make_dir(staged)
+    recover(store, path)
+    assert len(store.child_dirs(f"{path}/{STAGING}")) == 1
+    recover(store, path, abandoned_seconds=0)
     assert store.child_dirs(f"{path}/{STAGING}") == []
 
 
+def test_results_are_merged_with_their_own_size_only(spark, raw):
+    """An hour's writes do not rewrite the day so far."""
+    first = [vehicle(f"v{n}", trip_id=f"t{n * 7919}") for n in range(4000)]
+    land(spark, raw, TABLE, first)
+    compact_table(spark, raw, TABLE)
+    folder = f"{raw}/{TABLE}/start_date=20260101"
+    large = set(Store(spark, raw).child_dirs(folder))
+    before = rows(spark, raw)
+    for _ in range(2):
+        land(spark, raw, TABLE, [vehicle("w"), vehicle("x")])
+        assert compact_table(spark, raw, TABLE) == 2
+    assert large < set(Store(spark, raw).child_dirs(folder))
+    # The third small result is merged with the two before it.
+    land(spark, raw, TABLE, [vehicle("w"), vehicle("x")])
+    assert compact_table(spark, raw, TABLE) == 4
+    assert large < set(Store(spark, raw).child_dirs(folder))
+    assert len(rows(spark, raw)) == len(before) + 6
+
+
 def test_deletes_old_dates(spark, raw):
     days = ["20260101", "20260103", "20260105", "20260110", "UNKNOWN"]
     land(spark, raw, TABLE, [vehicle("v", start_date=d) for d in days])

@@ -146,21 +146,21 @@ def test_staleness_limits(spark):
     ]
 
 
-def _skip(spark, rows, hot_rows):
+def _skip(spark, rows, width=10):
     df = spark.createDataFrame(rows, "feed string, t int, md5 string")
-    chunk = (F.col("t") / 10).cast("int")
-    out = consecutive_skip(df, "feed", ["t"], "md5", chunk, hot_rows)
+    chunk = (F.col("t") / width).cast("int")
+    out = consecutive_skip(df, "feed", ["t"], "md5", chunk)
     return sorted(((r.feed, r.t) for r in out.collect()), key=str)
 
 
-@pytest.mark.parametrize("hot_rows", [0, 100])
-def test_consecutive_skip_is_not_distinct(spark, hot_rows):
+@pytest.mark.parametrize("width", [1, 2, 10])
+def test_consecutive_skip_is_not_distinct(spark, width):
     rows = [("f", t, m) for t, m in enumerate("AABA")]
-    assert _skip(spark, rows, hot_rows) == [("f", 0), ("f", 2), ("f", 3)]
+    assert _skip(spark, rows, width) == [("f", 0), ("f", 2), ("f", 3)]
 
 
-@pytest.mark.parametrize("hot_rows", [0, 50, 70, 100])
-def test_consecutive_skip_with_hot_sources(spark, hot_rows):
+@pytest.mark.parametrize("width", [1, 7, 50, 1000])
+def test_consecutive_skip_with_hot_sources(spark, width):
     rng = random.Random(3)
     sizes = {"f": 60, "g": 60, None: 80, "h": 2}
     rows = [
@@ -175,7 +175,7 @@ def test_consecutive_skip_with_hot_sources(spark, hot_rows):
             if m != before:
                 want.append((feed, t))
             before = m
-    assert _skip(spark, rows, hot_rows) == sorted(want, key=str)
+    assert _skip(spark, rows, width) == sorted(want, key=str)
 
 
 def test_first_by_value(spark):
@@ -193,9 +193,24 @@ def test_keep_matching_either_way(spark):
     assert "BroadcastHint" not in plan._jdf.queryExecution().analyzed().toString()
 
 
+def test_merge_sorts_nothing_before_the_exchange(spark):
+    plan = merge_stop_events(frame(spark, STU, [stop()]))
+    nodes = plan._jdf.queryExecution().executedPlan().toString().splitlines()
+    exchanges = [i for i, line in enumerate(nodes) if "Exchange" in line]
+    assert exchanges
+    assert not any("Sort" in line for line in nodes[exchanges[-1] :])
+    assert not any("SortAggregate" in line for line in nodes[exchanges[-1] - 1 :])
+
+
 def test_version_in_force(spark):
     versions = spark.createDataFrame(
-        [("20260101", "20260110"), ("20260105", "20260107"), ("20260105", "20260106")],
+        [
+            ("20260101", "20260110"),
+            ("20260105", "20260107"),
+            ("20260105", "20260106"),
+            # Ends before it begins: never in force.
+            ("20260109", "20260102"),
+        ],
         "valid_from string, valid_to string",
     )
     days = {

@@ -153,6 +153,19 @@ def test_a_bad_table_keeps_the_archive_open(
     assert table(spark, root, "stop_times").count() == 2
 
 
+def test_a_retried_archive_never_replaces_a_later_one(spark, landing, root):
+    archive(landing, "a", stop_times="wrong\n", routes=ROUTES.replace("0123", "OLD"))
+    archive(landing, "b", hour=1, routes=ROUTES.replace("0123", "NEW"))
+    for _ in range(3):
+        run(spark, landing, root)
+        rows = table(spark, root, "routes").collect()
+        assert [r.route_id for r in rows] == ["NEW"]
+    assert sorted(statuses(spark, root)) == [("a.zip", "superseded"), ("b.zip", "loaded")]
+    # Another validity is another version: the old archive may still fill it.
+    archive(landing, "c", hour=0, feed_info=info(end="20261231"))
+    assert list(run(spark, landing, root)) == ["c.zip"]
+
+
 @pytest.mark.parametrize(
     "text", [None, "", info().splitlines()[0] + "\n", info(start="")]
 )

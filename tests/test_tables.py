@@ -1,8 +1,11 @@
 import pytest
 from conftest import at, frame
 from test_daily import vehicle
+from test_maintenance import failing_rename
 
 from headway.schemas import PROCESSED, RAW, STATIC
+from headway.store import Store
+from headway.swap import recover
 from headway.tables import (
     append,
     read_table,
@@ -70,6 +73,54 @@ def test_failed_write_leaves_old_rows(spark, processed):
     assert len(routes(spark, processed)) == 1
 
 
+@pytest.mark.parametrize("at_rename", [1, 2, 3, 4, 5])
+def test_interrupted_replacement_loses_no_date(
+    spark, processed, monkeypatch, at_rename
+):
+    """Renames: the plan, then for each date the old one and the new one."""
+    days = ["20260101", "20260102"]
+
+    def put(label):
+        data = [vehicle(label, start_date=d) for d in days]
+        return replace_dates(load(spark, data), processed, DAYS, days)
+
+    def stored():
+        rows = read_table(spark, processed, DAYS).collect()
+        return sorted((r.start_date, r.vehicle_id) for r in rows)
+
+    put("old")
+    with monkeypatch.context() as patch:
+        failing_rename(patch, at_rename)
+        with pytest.raises(OSError):
+            put("new")
+    path = f"{processed}/{DAYS.name}"
+    recover(Store(spark, path), path, abandoned_seconds=0)
+    want = "old" if at_rename == 1 else "new"
+    assert stored() == [(d, want) for d in days]
+    put("newest")
+    assert stored() == [(d, "newest") for d in days]
+
+
+@pytest.mark.parametrize("at_rename", [1, 2, 3])
+def test_interrupted_version_is_recovered(spark, tmp_path, monkeypatch, at_rename):
+    root, spec = str(tmp_path / "static"), STATIC["calendar_dates"]
+
+    def put(service):
+        rows = frame(spark, spec.schema, [{"service_id": service}])
+        replace_version(rows, root, spec, "20260101", "20260630")
+
+    put("old")
+    with monkeypatch.context() as patch:
+        failing_rename(patch, at_rename)
+        with pytest.raises(OSError):
+            put("new")
+    path = f"{root}/{spec.name}"
+    recover(Store(spark, path), path, abandoned_seconds=0)
+    want = "old" if at_rename == 1 else "new"
+    rows = read_table(spark, root, spec).collect()
+    assert [r.service_id for r in rows] == [want]
+
+
 def test_partition_values_stay_text(spark, raw):
     spec = RAW["vehicle_positions"]
     odd = ["0042", "NA", "a/b c", "x=y"]
