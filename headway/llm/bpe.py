@@ -1,4 +1,9 @@
-"""Byte-level BPE: ranked merges as Spark higher-order functions."""
+"""Byte-level BPE: ranked merges folded over the bytes of distinct words.
+
+``encode_word`` is the fold as Spark higher-order functions, ``fold_words`` the
+same fold for all words of a group at once, in Arrow batches. The first is
+made of column expressions only; the second takes a tenth of the time.
+"""
 
 from __future__ import annotations
 
@@ -18,7 +23,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 # Bytes of text whose distinct words are encoded together. A longer document
 # makes a group of its own.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 16 << 20
 # The rank map is split into this many small maps, found by checksum.
 BUCKETS = 1 << 16
 # Larger than any rank: a pair that cannot be merged.
@@ -145,60 +150,136 @@ def encode_word(word: Column, ranks: Column) -> Column:
     )
 
 
-def _groups(kept: list[str]):
-    """Batches of documents as groups: distinct words and their places."""
-
-    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class Pairs:
+    """The rank that each pair of neighbouring tokens merges to."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        keys, merged = [], []
+        for piece, rank in ranks.items():
+            for cut in range(1, len(piece)):
+                left, right = ranks.get(piece[:cut]), ranks.get(piece[cut:])
+                if left is not None and right is not None:
+                    keys.append(left << 32 | right)
+                    merged.append(rank)
+        order = np.argsort(np.array(keys, np.int64), kind="stable")
+        # One more that no pair equals, so that a search always ends inside.
+        self._keys = np.append(np.array(keys, np.int64)[order], 2**63 - 1)
+        self._merged = np.append(np.array(merged, np.int64)[order], NO_RANK)
+        self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left << 32 | right
+        at = np.searchsorted(self._keys, keys)
+        return np.where(self._keys[at] == keys, self._merged[at], NO_RANK)
+
+
+def fold_words(
+    data: np.ndarray, offsets: np.ndarray, pairs: Pairs
+) -> tuple[np.ndarray, np.ndarray]:
+    """(token ids of all words, number of each word's).
+
+    In every round each word that can merges its leftmost pair of the lowest
+    rank; a word that cannot is done and leaves the arrays.
+    """
+    ids = pairs.bytes[data]
+    words = len(offsets) - 1
+    owner = np.repeat(np.arange(words), np.diff(offsets))
+
+    def ranked(at: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs that begin at these places."""
+        found = np.full(len(at), NO_RANK)
+        near = at + 1 < len(ids)
+        near[near] = owner[at[near]] == owner[at[near] + 1]
+        found[near] = pairs.rank(ids[at[near]], ids[at[near] + 1])
+        return found
+
+    ranks = ranked(np.arange(len(ids)))
+    ended: list[tuple[np.ndarray, np.ndarray]] = []
+    while len(ids):
+        starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+        sizes = np.diff(np.append(starts, len(ids)))
+        best = np.minimum.reduceat(ranks, starts)
+        live = np.repeat(best < NO_RANK, sizes)
+        if not live.all():
+            ended.append((owner[~live], ids[~live]))
+            ids, owner, ranks = ids[live], owner[live], ranks[live]
+            best, sizes = best[best < NO_RANK], sizes[best < NO_RANK]
+            if not len(ids):
+                break
+        at = np.flatnonzero(ranks == np.repeat(best, sizes))
+        at = at[np.append(True, owner[at[1:]] != owner[at[:-1]])]
+        ids[at] = best
+        stay = np.ones(len(ids), bool)
+        stay[at + 1] = False
+        ids, owner, ranks = ids[stay], owner[stay], ranks[stay]
+        # Each word before a merge has lost one place.
+        at = at - np.arange(len(at))
+        ranks[at] = ranked(at)
+        before = at[at > 0] - 1
+        before = before[owner[before] == owner[before + 1]]
+        ranks[before] = ranked(before)
+    if not ended:
+        return ids, np.zeros(words, np.int64)
+    owners = np.concatenate([o for o, _ in ended])
+    order = np.argsort(owners, kind="stable")
+    found = np.concatenate([i for _, i in ended])[order]
+    return found, np.bincount(owners, minlength=words)
+
+
+def _encode_words(words: pa.Array, ranks: dict[bytes, int], pairs: Pairs) -> pa.Array:
+    """Token ids of each word; a word that is a piece is one token."""
+    raw = words.cast(pa.large_binary())
+    known = np.array([ranks.get(w, -1) for w in raw.to_pylist()], np.int64)
+    rest = raw.filter(pa.array(known < 0))
+    offsets = np.frombuffer(rest.buffers()[1], np.int64)[: len(rest) + 1]
+    body = rest.buffers()[2]
+    data = np.frombuffer(body, np.uint8) if body else np.zeros(0, np.uint8)
+    ids, counts = fold_words(data[offsets[0] : offsets[-1]], offsets - offsets[0], pairs)
+    sizes = np.ones(len(known), np.int64)
+    sizes[known < 0] = counts
+    flat = np.repeat(known, sizes)
+    flat[flat < 0] = ids
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
+
+
+def _groups(words: pa.Array) -> Iterator[tuple[int, int]]:
+    """Runs of documents within ``GROUP_BYTES``, from their split texts."""
+    ends = words.offsets.to_numpy()
+    lengths = pc.binary_length(words.flatten()).to_numpy(False)
+    sizes = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])[ends - ends[0]]
+    low, rows = 0, len(words)
+    while low < rows:
+        fits = np.searchsorted(sizes, sizes[low] + GROUP_BYTES, "right")
+        high = int(min(max(fits - 1, low + 1), rows))
+        yield low, high
+        low = high
+
+
+def _in_batches(kept: list[str], name: str, ranks: dict[bytes, int]):
+    """Token ids of documents, a group at a time."""
+    pairs = Pairs(ranks)
+
+    def encode_batches(
+        batches: Iterator[pa.RecordBatch],
+    ) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column(len(kept))
-            ends = words.offsets.to_numpy()
-            lengths = pc.binary_length(words.flatten()).to_numpy(False)
-            sizes = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])[
-                ends - ends[0]
-            ]
-            low, rows = 0, len(words)
-            while low < rows:
-                fits = np.searchsorted(sizes, sizes[low] + GROUP_BYTES, "right")
-                high = int(min(max(fits - 1, low + 1), rows))
-                coded = (
-                    words.slice(low, high - low).flatten().dictionary_encode()
-                )
-                one = np.array([0, high - low], np.int32)
-                columns = [
-                    pa.ListArray.from_arrays(
-                        pa.array(one), batch.column(i).slice(low, high - low)
-                    )
-                    for i in range(len(kept))
-                ]
-                count = (ends[low + 1 : high + 1] - ends[low]).astype(np.int32)
-                for values in (pa.array(count), coded.indices, coded.dictionary):
-                    whole = pa.array(np.array([0, len(values)], np.int32))
-                    columns.append(pa.ListArray.from_arrays(whole, values))
+            split = batch.column(len(kept))
+            for low, high in _groups(split):
+                part = split.slice(low, high - low)
+                coded = part.flatten().dictionary_encode()
+                ids = _encode_words(coded.dictionary, ranks, pairs).take(coded.indices)
+                ends = part.offsets.to_numpy()
+                tokens = ids.offsets.to_numpy()[ends - ends[0]]
                 yield pa.RecordBatch.from_arrays(
-                    columns, [*kept, "_ends", "_codes", "_words"]
-                )
-                low = high
-
-    return group
-
-
-def _ungroup(kept: list[str], name: str):
-    """The documents of each group again, with their token ids."""
-
-    def ungroup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = [column.slice(i, 1).flatten() for column in batch.columns]
-                *columns, ends, codes, words = row
-                ids = words.take(codes)
-                starts = ids.offsets.to_numpy()
-                tokens = starts[np.concatenate([[0], ends.to_numpy()])] - starts[0]
-                columns.append(
-                    pa.ListArray.from_arrays(pa.array(tokens), ids.flatten())
+                    [
+                        *[c.slice(low, high - low) for c in batch.columns[:-1]],
+                        pa.ListArray.from_arrays(pa.array(tokens), ids.values),
+                    ],
+                    [*kept, name],
                 )
-                yield pa.RecordBatch.from_arrays(columns, [*kept, name])
 
-    return ungroup
+    return encode_batches
 
 
 def encode(
@@ -208,13 +289,14 @@ def encode(
     pattern: str = public_tokenizers.PATTERN,
     text: str = "text",
     ids: str = "token_ids",
+    native: bool = False,
 ) -> DataFrame:
     """``docs`` with the token ids of their texts in column ``ids``.
 
     The pattern splits each text, and each word is encoded by itself. Nothing
     is shuffled: documents of one partition are handled in groups, and each
-    distinct word of a group is encoded once. A null or empty text has no
-    tokens. All other columns, repeated rows included, stay as they are; an
+    distinct word of a group is encoded once; with ``native`` each word is
+    encoded by column functions alone. A null or empty text has no tokens. All other columns, repeated rows included, stay as they are; an
     existing column ``ids`` is replaced. ``pattern`` must cover all text, and
     every single byte needs a rank.
     """
@@ -226,31 +308,20 @@ def encode(
         *[F.col(f"`{f.name}`").alias(c) for f, c in zip(rest, kept)],
         split_words(F.col(f"`{text}`")).alias("_split"),
     )
-    wrapped = [T.StructField(c, T.ArrayType(f.dataType)) for f, c in zip(rest, kept)]
-    grouped = named.mapInArrow(
-        _groups(kept),
-        T.StructType(
-            [
-                *wrapped,
-                T.StructField("_ends", T.ArrayType(T.IntegerType())),
-                T.StructField("_codes", T.ArrayType(T.IntegerType())),
-                T.StructField("_words", T.ArrayType(T.StringType())),
-            ]
-        ),
-    )
-    coded = grouped.withColumn("_ranks", rank_map(spark, ranks)).select(
-        *kept,
-        "_ends",
-        "_codes",
-        F.transform(
-            "_words", lambda w: encode_word(w.cast("binary"), F.col("_ranks"))
-        ).alias("_words"),
-    )
     plain = [T.StructField(c, f.dataType) for f, c in zip(rest, kept)]
     tokens = T.StructField(ids, T.ArrayType(T.IntegerType()))
-    return coded.mapInArrow(
-        _ungroup(kept, ids), T.StructType([*plain, tokens])
-    ).select(
+    if native:
+        each = F.transform(
+            "_split", lambda w: encode_word(w.cast("binary"), F.col("_ranks"))
+        )
+        coded = named.withColumn("_ranks", rank_map(spark, ranks)).select(
+            *kept, F.flatten(each).alias(ids)
+        )
+    else:
+        coded = named.mapInArrow(
+            _in_batches(kept, ids, ranks), T.StructType([*plain, tokens])
+        )
+    return coded.select(
         *[F.col(c).alias(f.name) for f, c in zip(rest, kept)], F.col(f"`{ids}`")
     )
 
