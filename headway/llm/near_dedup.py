@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from headway.llm.bloom import block_count, blocked_bloom, probed
 from headway.llm.common import (
     WORD_BYTES,
     keep,
@@ -170,13 +172,13 @@ def near_groups(
     Rows are linked when their sets of ``size``-word shingles have a Jaccard
     similarity of at least ``percent`` / 100; ``component_id`` is the
     smallest id reachable over links and ``kept`` marks the row that has it.
-    Equal sets are folded into one representative first. In each band's
-    bucket all representatives are compared with the bucket's smallest, and
-    the confirmed links joined into components; buckets whose members are
-    then in one component need no more. The others are compared with a
-    second, random member, and at last every pair of members in different
-    components, so no link is lost. Pairs pass the odd sketches before their
-    full sets are compared.
+Equal sets are folded into one representative first.
+    In each band's bucket all representatives are compared with the bucket's
+    smallest, and the confirmed links joined into components; a bucket whose
+    members are then in one component needs no more. The members of the other
+    buckets are compared with one another by their rarest shingles, see
+    ``prefix_pairs``, so no link is lost and no bucket's pairs are all made.
+    Pairs pass the odd sketches before their full sets are compared.
 
     Rows without words are alone in their component. Rows without an id have
     no component and are kept. Repeated rows get equal results. Other
@@ -209,17 +211,31 @@ def near_groups(
         .select("bucket")
     )
     crowded = keep(spark, spread.join(shared, "bucket"), "crowded")
+    sets = _sets_of(spark, docs, crowded.select("rep").distinct(), size)
 
-    links = labels = None
-    for pivot in ("least", "random", "all"):
-        pairs = _candidates(crowded, labels, pivot)
-        found = keep(spark, _similar(spark, docs, pairs, sketches, size, percent), "found")
-        if labels is not None and found.isEmpty():
-            if pivot == "all":
-                break
-            continue
-        links = found if links is None else links.unionAll(found)
-        labels = components(spark, links)
+    stars = crowded.join(
+        crowded.groupBy("bucket").agg(F.min("rep").alias("least")), "bucket"
+    )
+    pairs = stars.where("least < rep").select(
+        F.col("least").alias("a"), F.col("rep").alias("b")
+    )
+    links = keep(spark, _similar(spark, pairs, sketches, sets, percent), "stars")
+    labels = components(spark, links)
+
+    placed = crowded.join(
+        labels.withColumnRenamed("node", "rep"), "rep", "left"
+    ).withColumn("label", F.coalesce("label", "rep"))
+    still_open = (
+        placed.groupBy("bucket")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low < high")
+        .select("bucket")
+    )
+    members = placed.join(still_open, "bucket").select("rep", "label").distinct()
+    rest = prefix_pairs(spark, sets.join(members, "rep"), percent)
+    found = keep(spark, _similar(spark, rest, sketches, sets, percent), "rest")
+    if not found.isEmpty():
+        labels = components(spark, links.unionAll(found))
 
     named = folded.join(
         labels.withColumnRenamed("node", "rep"), "rep", "left"
@@ -238,46 +254,104 @@ def near_groups(
     )
 
 
-def _candidates(
-    crowded: DataFrame, labels: DataFrame | None, pivot: str
+def _sets_of(
+    spark: SparkSession, docs: DataFrame, wanted: DataFrame, size: int
 ) -> DataFrame:
-    """Pairs (a, b), a < b, of one bucket and, so far, different labels."""
-    if labels is None:
-        members = crowded.withColumn("label", F.col("rep"))
-    else:
-        members = crowded.join(
-            labels.withColumnRenamed("node", "rep"), "rep", "left"
-        ).withColumn("label", F.coalesce("label", "rep"))
-        open_ = (
-            members.groupBy("bucket")
-            .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-            .where("low < high")
-            .select("bucket")
-        )
-        members = members.join(open_, "bucket")
-    if pivot == "all":
-        others = members
-    else:
-        order = (
-            F.col("rep") if pivot == "least" else F.xxhash64("rep", "bucket")
-        )
-        chosen = members.groupBy("bucket").agg(
-            F.min(F.struct(order.alias("at"), "rep", "label")).alias("one")
+    """(rep, shingles) of the wanted documents.
+
+    A Bloom filter of bounded size keeps most other texts from the shuffle.
+    """
+    wanted = keep(spark, wanted.withColumnRenamed("rep", "doc_id"), "wanted")
+    blocks = block_count(wanted.count())
+    bloom = keep(spark, blocked_bloom(wanted, "doc_id", blocks), "bloom")
+    texts = docs.select(
+        F.col("doc_id").cast("long"), F.col("text").cast("string")
+    )
+    likely = probed(texts, F.col("doc_id"), bloom, blocks).where("_possible")
+    sets = hashed_sets(likely.join(wanted, "doc_id", "left_semi"), size)
+    return keep(
+        spark,
+        sets.withColumnRenamed("doc_id", "rep").dropDuplicates(["rep", "shingles"]),
+        "sets",
+    )
+
+
+# Sizes within this ratio are one class.
+CLASS_RATIO = 1.02
+
+
+def prefix_pairs(spark: SparkSession, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b), a < b, of different labels that may be similar enough.
+
+    ``sets`` has ``rep``, ``label`` and ``shingles``. Two sets of n and m
+    shingles at the wanted similarity share at least
+    k = percent * (n + m) / (100 + percent) of them. Where each has its
+    shingles in the same order, the rarest first, they share one among the
+    first n - k + 1 and m - k + 1. Sets are put in classes of nearly equal
+    size, and for each pair of classes k has a lower bound. So variants of one
+    text meet only in shingles that few of them have; a shingle whose holders
+    all have one label is left out before anything is paired.
+    """
+    each = sets.select("rep", "label", F.size("shingles").alias("n"), "shingles")
+    spread = each.select("rep", "n", F.explode("shingles").alias("shingle"))
+    uses = spread.groupBy("shingle").agg(F.count(F.lit(1)).alias("uses"))
+    ordered = (
+        spread.join(uses, "shingle")
+        .groupBy("rep", "n")
+        .agg(F.array_sort(F.collect_list(F.struct("uses", "shingle"))).alias("order"))
+    )
+    labels = each.select("rep", "label").distinct()
+    log_ratio = math.log(CLASS_RATIO)
+    reach = math.ceil(math.log(100 / percent) / log_ratio) + 1
+
+    def least_size(size_class: Column) -> Column:
+        return F.greatest(F.floor(F.exp(size_class * log_ratio) - 1e-6), F.lit(1))
+
+    own = F.floor(F.log("n") / log_ratio + 1e-9).cast("int")
+    shares = F.lit(percent / (100 + percent))
+    overlap = F.ceil(
+        shares * (least_size(F.col("own")) + least_size(F.col("other"))) - 1e-6
+    )
+    classed = (
+        ordered.join(labels, "rep")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.col("own") - reach, F.col("own") + reach)))
+        .where("other >= 0")
+        .withColumn("reach", (F.col("n") - overlap + 1).cast("int"))
+        .where("reach > 0")
+        .select(
+            "rep",
+            "label",
+            "own",
+            F.least("own", "other").alias("low"),
+            F.greatest("own", "other").alias("high"),
+            F.explode(F.slice("order", F.lit(1), F.col("reach"))["shingle"]).alias(
+                "shingle"
+            ),
         )
-        others = chosen.select("bucket", "one.rep", "one.label")
-    others = others.select(
-        "bucket", F.col("rep").alias("other"), F.col("label").alias("other_label")
     )
-    apart = F.col("label") != F.col("other_label")
-    if pivot == "all":
-        apart = F.col("label") < F.col("other_label")
+    place = ["low", "high", "shingle"]
+    open_ = (
+        classed.groupBy(*place)
+        .agg(F.min("label").alias("least"), F.max("label").alias("most"))
+        .where("least < most")
+        .select(*place)
+    )
+    held = keep(spark, classed.join(open_, place), "prefixes")
+    others = held.select(
+        *place,
+        F.col("rep").alias("other"),
+        F.col("label").alias("other_label"),
+        F.col("own").alias("other_own"),
+    )
+    # A pair of classes holds its two sides; one class holds both.
+    sides = (F.col("own") != F.col("other_own")) | (F.col("low") == F.col("high"))
     return (
-        members.join(others, "bucket")
-        .where(apart)
+        held.join(others, place)
+        .where((F.col("label") < F.col("other_label")) & sides)
         .select(
             F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")
         )
-        .distinct()
     )
 
 
@@ -298,19 +372,18 @@ def _side(rows: DataFrame, key: str, prefix: str) -> DataFrame:
 
 def _similar(
     spark: SparkSession,
-    docs: DataFrame,
     pairs: DataFrame,
     sketches: DataFrame,
-    size: int,
+    sets: DataFrame,
     percent: int,
 ) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    small, large = F.least("a_n_shingles", "b_n_shingles"), F.greatest(
-        "a_n_shingles", "b_n_shingles"
-    )
+    small = F.least("a_n_shingles", "b_n_shingles")
+    large = F.greatest("a_n_shingles", "b_n_shingles")
     likely = keep(
         spark,
-        pairs.join(_side(sketches, "a", "a"), "a")
+        pairs.distinct()
+        .join(_side(sketches, "a", "a"), "a")
         .join(_side(sketches, "b", "b"), "b")
         .where(100 * small >= percent * large)
         .where(odd_bits("a_sketch", "b_sketch") < MAX_ODD_BITS)
@@ -318,19 +391,6 @@ def _similar(
         .distinct(),
         "likely",
     )
-    wanted = (
-        likely.select(F.col("a").alias("doc_id"))
-        .unionAll(likely.select(F.col("b").alias("doc_id")))
-        .distinct()
-    )
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(
-        wanted, "doc_id", "left_semi"
-    )
-    sets = keep(
-        spark,
-        hashed_sets(texts, size).dropDuplicates(["doc_id", "shingles"]),
-        "sets",
-    )
     common = F.size(F.array_intersect("a_shingles", "b_shingles"))
     union = F.size("a_shingles") + F.size("b_shingles") - common
     return (

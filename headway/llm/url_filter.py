@@ -7,16 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.llm.bloom import block_count, blocked_bloom, probed
 from headway.llm.common import keep
 
-# A block is four 64-bit words, of which an entry sets two bits in each.
-WORDS, BITS_PER_WORD = 4, 2
-# With 16 bits an entry about one absent URL in a thousand passes.
-BITS_PER_ENTRY = 16
-# Bound of the filter: 2**17 blocks of 40 bytes are 5 MB. A longer list fills
-# its blocks more, so more URLs go on to the exact join; none gets lost.
-MAX_BLOCKS = 1 << 17
-
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 Rule = tuple[str, str, str]
@@ -64,44 +57,6 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return found
 
 
-def _block(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-
-
-def _masks(key: Column) -> list[Column]:
-    """The bits of an entry in each word of its block."""
-    second = F.xxhash64(key, F.lit("bits"))
-    masks = []
-    for word in range(WORDS):
-        mask = F.lit(0).cast("long")
-        for n in range(BITS_PER_WORD):
-            shift = 6 * (word * BITS_PER_WORD + n)
-            place = F.shiftrightunsigned(second, shift).bitwiseAND(63).cast("int")
-            mask = mask.bitwiseOR(_one_at(place))
-        masks.append(mask)
-    return masks
-
-
-def _one_at(place: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), place)
-
-
-def block_count(entries: int) -> int:
-    wanted = entries * BITS_PER_ENTRY // (64 * WORDS)
-    return min(MAX_BLOCKS, 1 << max(0, wanted - 1).bit_length())
-
-
-def blocked_bloom(listed: DataFrame, blocks: int) -> DataFrame:
-    """(block, w0..w3) of the blocks in which ``listed(canonical)`` set bits."""
-    marked = listed.select(
-        _block(F.col("canonical"), blocks).alias("block"),
-        *[m.alias(f"w{i}") for i, m in enumerate(_masks(F.col("canonical")))],
-    )
-    return marked.groupBy("block").agg(
-        *[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)]
-    )
-
-
 def judge_urls(
     spark: SparkSession,
     pages: DataFrame,
@@ -113,7 +68,7 @@ def judge_urls(
 
     A page that a rule fits gets the rule's verdict. Of the others, those
     whose canonical URL is in ``listed(canonical)`` are blocked: a blocked
-    Bloom filter, at most ``MAX_BLOCKS`` blocks and therefore broadcast,
+    Bloom filter, bounded in size and therefore broadcast,
     passes possible hits, and only these are joined with the list itself.
     Null or malformed URLs have empty parts and are never listed. Every row
     stays, repeated ones too; existing columns of the new names are replaced.
@@ -136,27 +91,19 @@ def judge_urls(
         "listed",
     )
     blocks = block_count(listed.count())
-    bloom = keep(spark, blocked_bloom(listed, blocks), "bloom")
-    keyed = ruled.withColumn("_block", _block(F.col("_canonical"), blocks))
-    probed = keyed.join(
-        F.broadcast(bloom), keyed["_block"] == bloom["block"], "left"
-    )
-    hit = F.col("_rule").isNull()
-    for i, mask in enumerate(_masks(F.col("_canonical"))):
-        hit &= F.col(f"w{i}").bitwiseAND(mask) == mask
-    possible = F.coalesce(hit, F.lit(False))
-    # A null key joins nothing: only possible hits need their partition.
-    probed = probed.withColumn(
-        "_key", F.when(possible, F.col("_canonical"))
-    ).drop("block", *[f"w{i}" for i in range(WORDS)])
+    filter_ = keep(spark, blocked_bloom(listed, "canonical", blocks), "bloom")
+    seen = probed(ruled, F.col("_canonical"), filter_, blocks)
+    # Without a key a page joins nothing: only possible hits are shuffled.
+    possible = F.col("_possible") & F.col("_rule").isNull()
+    seen = seen.withColumn("_key", F.when(possible, F.col("_canonical")))
     exact = listed.select(
         F.col("canonical").alias("_listed"), F.lit(True).alias("_hit")
     )
-    passed = probed.where("_key IS NOT NULL").join(
+    passed = seen.where("_key IS NOT NULL").join(
         exact, F.col("_key") == F.col("_listed"), "left"
     )
     clear = (
-        probed.where("_key IS NULL")
+        seen.where("_key IS NULL")
         .withColumn("_listed", F.lit(None).cast("string"))
         .withColumn("_hit", F.lit(None).cast("boolean"))
     )

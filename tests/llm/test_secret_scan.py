@@ -1,0 +1,58 @@
+import hashlib
+
+from headway.llm import secret_scan as S
+
+TOKEN = "ghp_16C7e42F292c6912E7710c838347Ae178B4a"
+CASES = {
+    "password = 'abcdefgh1'": ["assign:0:22"],
+    "Token:short": [],
+    "token=token : abcdefghijk": [],
+    "API_KEY=abcdefgh rest": ["assign:0:16"],
+    "paſſword=abcdefgh": [],
+    "AKIA1234567890AB": ["access:0:16"],
+    "AKIAAKIA12345": [],
+    "é " + "a" * 32: ["hex:2:34"],
+    "0" * 31: [],
+    f"key {TOKEN} end": [f"random:4:{4 + len(TOKEN)}"],
+    "D41D8CD98F00B204E9800998ECF8427E": [],
+    "123e4567-e89b-12d3-a456-426614174000": [],
+    "aVeryLongIdentifierName some_long_snake_case_name_12": [],
+    f"secret={TOKEN}": [f"assign:0:{7 + len(TOKEN)}"],
+}
+
+
+def spans_of(row):
+    return [f"{s.kind}:{s.start}:{s.end}" for s in row.spans]
+
+
+def test_known_and_random_forms(spark, documents):
+    texts = list(CASES)
+    got = {r.text: spans_of(r) for r in S.secret_spans(documents(texts)).collect()}
+    assert {t: [s for s in found if s] for t, found in got.items()} == {
+        t: ["assign:0:21"] if t.startswith("password") else want
+        for t, want in CASES.items()
+    }
+
+
+def test_counts_and_digest(spark, documents):
+    text = f"token = \"{'ab' * 20}\" and {TOKEN}"
+    rows = S.counted(documents([text, None, ""])).orderBy("doc_id").collect()
+    base = "assign:0:49,hex:9:49"
+    assert (rows[0].n_assign, rows[0].n_access, rows[0].n_hex) == (1, 0, 1)
+    assert rows[0].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+    assert rows[0].spans == f"{base},random:55:{55 + len(TOKEN)}"
+    assert [r.spans for r in rows[1:]] == ["", ""]
+
+
+def test_redaction_keeps_rows_and_clean_texts(spark, documents):
+    text = f"use {TOKEN} now"
+    docs = documents([text, "clean text", None, text])
+    rows = S.redact(docs).orderBy("doc_id").collect()
+    assert [r.text for r in rows] == ["use [secret] now", "clean text", None, "use [secret] now"]
+    assert [r.n_chars for r in rows] == [16, 10, 0, 16]
+    assert S.redact(docs).columns == docs.columns
+    assert S.redact(documents([])).count() == 0
+
+
+def test_identifiers_are_judged_in_linear_time():
+    assert not S.known_form("1-" * 5000 + "x!".replace("!", "9z"))

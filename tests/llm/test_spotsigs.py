@@ -1,0 +1,90 @@
+import hashlib
+import re
+
+from pyspark.sql import functions as F
+
+from headway.llm import spotsigs as S
+
+from .conftest import prose
+
+
+def chains(text):
+    """Brute force: (anchor, next content words), or fallbacks."""
+    words = [w for w in re.split(r"[^\w]+|_", (text or "").lower()) if w]
+    out = set()
+    for i, word in enumerate(words):
+        if word in S.ANCHORS:
+            rest = [w for w in words[i + 1 :] if w not in S.ANCHORS]
+            if len(rest) >= S.CHAIN:
+                out.add((word, *rest[: S.CHAIN]))
+    if out:
+        return out
+    if len(words) > 1:
+        return set(zip(words, words[1:]))
+    return {("whole", text or "")}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+TEXTS = [
+    "The red house and the green tree of a river",
+    "nothing common here",
+    "x",
+    None,
+    "",
+    "the the the",
+    "Über die Brücke und das große Haus " * 5,
+    "The red house and the green tree of a river now",
+] + [("the " + prose(i, 30) + " and a ") * (1 + i % 3) for i in range(8)]
+
+
+def test_edited_and_next_equal_brute_force(spark, documents):
+    rows = [(3 * i, t) for i, t in enumerate(TEXTS)]
+    docs = documents(rows).withColumn("next", F.lit(1)).withColumn("signs", F.lit(2))
+    got = {r.doc_id: r for r in S.compare_edited(spark, docs).collect()}
+    order = sorted(rows, reverse=True)
+    for i, (doc_id, text) in enumerate(order):
+        text, following = text or "", order[(i + 1) % len(order)][1] or ""
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        row = got[doc_id]
+        assert row.n_chars == len(text)
+        assert row.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert abs(row.near_edited - jaccard(chains(text), chains(edited))) < 1e-9
+        assert abs(row.near_next - jaccard(chains(text), chains(following))) < 1e-9
+        assert len(row.fingerprint) == 8 * len(chains(text))
+
+
+def test_repeated_ids_null_ids_and_one_row(spark, documents):
+    rows = [(1, "b"), (1, "a"), (1, "a"), (None, "z"), (10**12, "far away")]
+    got = S.compare_edited(spark, documents(rows)).collect()
+    assert len(got) == len(rows)
+    one = S.compare_edited(spark, documents([(7, "the red house and tree")])).first()
+    assert one.near_next == 1.0
+    assert S.compare_edited(spark, documents([])).count() == 0
+
+
+def test_similar_pairs_equal_brute_force(spark, documents):
+    base = ["the " + w for w in prose(3, 120).split()]
+    texts = []
+    for i in range(12):
+        words = list(base)
+        for j in range(i):
+            words[(i * 7 + j * 5) % len(words)] = f"a w{i}x{j}"
+        texts.append(" ".join(words))
+    texts += ["the " + prose(50 + i, 50) for i in range(5)] + [texts[0]]
+    docs = documents(texts)
+    prints = docs.select(F.col("doc_id").alias("id"), S.signatures(F.col("text")).alias("signs"))
+    got = {(r.a, r.b): r.likeness for r in S.similar_pairs(spark, prints, 0.8).collect()}
+    held = {r.id: set(r.signs) for r in prints.collect()}
+    ids = range(len(texts) - 1)  # the last equals the first
+    want = {
+        (i, j): jaccard(held[i], held[j])
+        for i in ids
+        for j in ids
+        if i < j and jaccard(held[i], held[j]) >= 0.8
+    }
+    assert got.keys() == want.keys() and want
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
