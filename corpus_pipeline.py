@@ -45,8 +45,8 @@ def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     copies = F.sequence(F.lit(1).cast("long"), F.col("copies"))
     return (
         mixed.where("copies > 0")
-        .withColumn("_copy", F.explode(copies))
-        .select(*docs.columns)
+        .select(*docs.columns, F.explode(copies).alias("_copy"))
+        .drop("_copy")
     )
 
 

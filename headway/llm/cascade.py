@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.llm.common import neutral, select_as, select_back
+
 # Rows on which the cost and the selectivity of each rule are measured. Only
 # the order of the rules depends on them, never a verdict.
 SAMPLE_ROWS = 400
@@ -125,22 +127,21 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_repeat_words",
         "base_failed",
     ]
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in names]
+    own = neutral([c for c in docs.columns if c not in names])
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    counted = docs.select(
-        *kept, body.alias("_body"), words_of(body).alias("_words")
-    ).select(
-        *kept,
-        F.size("_words").cast("long").alias("n_words"),
-        (F.length("_body") - count_of(F.col("_body"), _SPACES)).alias("word_chars"),
-        count_of(F.col("_body"), _SYMBOLS).alias("n_symbols"),
-        repeated_lines(F.col("_body")).alias("n_dup_lines"),
-        repeated_words(F.col("_words")).alias("n_repeat_words"),
+    split = select_as(docs, own, body.alias("body"), words_of(body).alias("words"))
+    counted = split.select(
+        *own.values(),
+        F.size("words").cast("long").alias("n_words"),
+        (F.length("body") - count_of(F.col("body"), _SPACES)).alias("word_chars"),
+        count_of(F.col("body"), _SYMBOLS).alias("n_symbols"),
+        repeated_lines(F.col("body")).alias("n_dup_lines"),
+        repeated_words(F.col("words")).alias("n_repeat_words"),
     )
     repeats = 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
-    return counted.withColumn(
-        "base_failed", (F.col("n_words") < MIN_WORDS) | repeats
-    )
+    failed = (F.col("n_words") < MIN_WORDS) | repeats
+    judged = counted.withColumn("base_failed", failed)
+    return select_back(judged, own, *names)
 
 
 def default_rules(text: str = "text") -> list[Rule]:

@@ -215,14 +215,14 @@ def _descend(inputs: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return weights
 
 
-def predict(docs: DataFrame, model: Model, classes: int) -> DataFrame:
-    """``docs`` with ``_posteriors``, an array of doubles, and ``_n_words``.
+def predict(docs: DataFrame, text: str, model: Model) -> DataFrame:
+    """``docs`` with ``posteriors``, an array of doubles, and ``n_words``.
 
-    All rows and columns stay. A null text counts as empty.
+    All rows and columns stay; none may have these names. A null text counts
+    as empty.
     """
-    at = docs.columns.index("text")
-    fields = docs.schema.fields
-    names = [f"c{i}" for i in range(len(fields))]
+    at = docs.columns.index(text)
+    names = docs.columns
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,15 +235,14 @@ def predict(docs: DataFrame, model: Model, classes: int) -> DataFrame:
                         pa.array(list(found), pa.list_(pa.float64())),
                         pa.array(counts, pa.int64()),
                     ],
-                    [*names, "_posteriors", "_n_words"],
+                    [*names, "posteriors", "n_words"],
                 )
 
     schema = T.StructType(
         [
-            *[T.StructField(n, f.dataType) for n, f in zip(names, fields)],
-            T.StructField("_posteriors", T.ArrayType(T.DoubleType())),
-            T.StructField("_n_words", T.LongType()),
+            *docs.schema.fields,
+            T.StructField("posteriors", T.ArrayType(T.DoubleType())),
+            T.StructField("n_words", T.LongType()),
         ]
     )
-    plain = docs.toDF(*names).mapInArrow(score, schema)
-    return plain.toDF(*[f.name for f in fields], "_posteriors", "_n_words")
+    return docs.mapInArrow(score, schema)

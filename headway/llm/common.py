@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from headway.session import scratch_dir
 
@@ -34,6 +35,23 @@ def keep(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def neutral(columns: Sequence[str]) -> dict[str, str]:
+    """A name for each column that no working column of an operator has."""
+    return {name: f"c{i}" for i, name in enumerate(columns)}
+
+
+def select_as(rows: DataFrame, names: dict[str, str], *more: str) -> DataFrame:
+    """The columns ``names`` under their neutral names, then others."""
+    own = [F.col(f"`{name}`").alias(plain) for name, plain in names.items()]
+    return rows.select(*own, *more)
+
+
+def select_back(rows: DataFrame, names: dict[str, str], *more: str) -> DataFrame:
+    """The columns under their own names again, then others."""
+    own = [F.col(plain).alias(name) for name, plain in names.items()]
+    return rows.select(*own, *more)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads 64-bit values over all bits."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm import classifier
-from headway.llm.common import keep
+from headway.llm.common import keep, neutral, select_as, select_back
 
 # Domains that the labelled table defines.
 DOMAINS = ("clean", "low", "toxic")
@@ -31,24 +31,13 @@ def domain_labels(labels: DataFrame) -> DataFrame:
     )
 
 
-def memberships(
-    docs: DataFrame, labels: DataFrame, rows: int = classifier.SAMPLE_ROWS
-) -> DataFrame:
-    """``docs`` with ``n_tokens``, its words, and ``p_<domain>`` posteriors.
-
-    The classifier is fitted on at most ``rows`` labelled rows.
-    """
-    model = classifier.fit(
-        classifier.labelled_sample(docs, domain_labels(labels), rows),
-        len(DOMAINS),
-        rows,
-    )
-    found = classifier.predict(docs, model, len(DOMAINS))
-    posterior = F.col("_posteriors")
+def memberships(docs: DataFrame, text: str, model: classifier.Model) -> DataFrame:
+    """``docs`` with ``n_tokens``, its words, and ``p_<domain>`` posteriors."""
+    found = classifier.predict(docs, text, model)
     return found.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        F.col("_n_words").alias("n_tokens"),
-        *[posterior[k].alias(f"p_{d}") for k, d in enumerate(DOMAINS)],
+        *docs.columns,
+        F.col("n_words").alias("n_tokens"),
+        *[F.col("posteriors")[k].alias(f"p_{d}") for k, d in enumerate(DOMAINS)],
     )
 
 
@@ -137,18 +126,23 @@ def mix(
     """
     targets = TARGETS if targets is None else targets
     made = ["n_tokens", *[f"p_{d}" for d in DOMAINS], "rate", "copies"]
-    docs = docs.drop(*made)
-    members = memberships(docs, labels, rows)
+    model = classifier.fit(
+        classifier.labelled_sample(docs, domain_labels(labels), rows),
+        len(DOMAINS),
+        rows,
+    )
+    names = neutral([c for c in docs.columns if c not in made])
+    members = memberships(select_as(docs, names), names["text"], model)
     held = keep(
         spark, members.select("n_tokens", *[f"p_{d}" for d in targets]), "members"
     )
     history = fit_rates(held, targets)
     rate = rate_after(history, [F.col(f"p_{d}") for d in targets])
-    chance = F.pmod(F.xxhash64("doc_id", F.lit("copies")), F.lit(1 << 20)) / (1 << 20)
-    return members.withColumn("rate", rate).withColumn(
-        "copies",
-        (
-            F.floor("rate")
-            + F.when(chance < F.col("rate") - F.floor("rate"), 1).otherwise(0)
-        ).cast("long"),
+    hashed = F.xxhash64(F.col(names["doc_id"]), F.lit("copies"))
+    chance = F.pmod(hashed, F.lit(1 << 20)) / (1 << 20)
+    whole = F.floor("rate")
+    more = F.when(chance < F.col("rate") - whole, 1).otherwise(0)
+    rated = members.withColumn("rate", rate).withColumn(
+        "copies", (whole + more).cast("long")
     )
+    return select_back(rated, names, *made)

@@ -17,6 +17,9 @@ from headway.llm.common import (
     keep,
     lists,
     mix,
+    neutral,
+    select_as,
+    select_back,
     slices,
     text_buffers,
     word_hashes,
@@ -413,12 +416,10 @@ def near_dedup(
     groups = near_groups(spark, docs, size, percent)
     gone = groups.where("NOT kept").select("doc_id").distinct()
     staying = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti")
-    order = Window.partitionBy("doc_id").orderBy(
-        "text", *[c for c in docs.columns if c not in ("doc_id", "text")]
+    names = neutral(docs.columns)
+    own = select_as(staying, names)
+    order = Window.partitionBy(names["doc_id"]).orderBy(
+        names["text"], *[n for n in names.values() if n != names["text"]]
     )
-    first = (
-        staying.withColumn("_place", F.row_number().over(order))
-        .where("_place = 1")
-        .select(*docs.columns)
-    )
-    return first.unionByName(docs.where("doc_id IS NULL"))
+    first = own.withColumn("place", F.row_number().over(order)).where("place = 1")
+    return select_back(first, names).unionByName(docs.where("doc_id IS NULL"))

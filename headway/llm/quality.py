@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm import classifier
-from headway.llm.common import keep
+from headway.llm.common import keep, neutral, select_as, select_back
 
 # A document is kept if its combined probability of being good reaches this.
 THRESHOLD = 0.5
@@ -102,35 +102,33 @@ def score(
     Null hosts and paths form sites of their own. All rows stay; existing
     columns of the new names are replaced.
     """
-    names = ["evidence", "site_p", "p_good", "kept"]
-    kept = [c for c in docs.columns if c not in names]
+    made = ["evidence", "site_p", "p_good", "kept"]
     model = classifier.fit(
         classifier.labelled_sample(docs, good_labels(labels), rows), 2, rows
     )
-    found = classifier.predict(docs.select(*[F.col(f"`{c}`") for c in kept]), model, 2)
+    names = neutral([c for c in docs.columns if c not in made])
+    found = classifier.predict(select_as(docs, names), names["text"], model)
+
+    def site(column: str) -> Column:
+        return F.coalesce(F.col(names[column]).cast("string"), F.lit(""))
+
     found = found.select(
-        *[F.col(f"`{c}`") for c in kept],
-        F.col("_posteriors")[1].alias("evidence"),
-        F.coalesce(F.col(f"`{host}`").cast("string"), F.lit("")).alias("_host"),
-        F.coalesce(F.col(f"`{path}`").cast("string"), F.lit("")).alias("_path"),
+        *names.values(),
+        F.col("posteriors")[1].alias("evidence"),
+        site(host).alias("host"),
+        site(path).alias("path"),
     )
     sites, mean = site_posteriors(
-        spark,
-        found.select(
-            F.col("_host").alias("host"),
-            F.col("_path").alias("path"),
-            F.col("evidence").alias("p"),
-        ),
+        spark, found.select("host", "path", F.col("evidence").alias("p"))
     )
     # A written table: broadcast where it is small, else joined by its keys.
-    sites = keep(spark, sites, "sites").toDF("_host", "_path", "site_p")
+    sites = keep(spark, sites, "sites")
     log_odds = (
         _logit(F.col("evidence")) + _logit(F.col("site_p")) - _logit(F.lit(mean))
     )
-    p_good = 1 / (1 + F.exp(-log_odds))
-    return (
-        found.join(sites, ["_host", "_path"])
-        .withColumn("p_good", p_good)
+    judged = (
+        found.join(sites, ["host", "path"])
+        .withColumn("p_good", 1 / (1 + F.exp(-log_odds)))
         .withColumn("kept", F.col("p_good") >= THRESHOLD)
-        .select(*[F.col(f"`{c}`") for c in kept], *names)
     )
+    return select_back(judged, names, *made)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from public_tokenizers import PATTERN
 
 from headway.llm.bpe import VOCABULARY, read_ranks
+from headway.llm.common import neutral, select_as, select_back
 
 # Kinds of spans in the order in which equal starts are listed.
 KINDS = ("assign", "access", "hex", "random")
@@ -191,6 +192,7 @@ def redact(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     where there is one, in rows whose text changed.
     """
     ranks = read_ranks(vocabulary)
+    names = neutral(docs.columns)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tiktoken.Encoding(
@@ -201,7 +203,7 @@ def redact(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             return len(coder.encode_ordinary(value))
 
         for batch in batches:
-            at = batch.schema.get_field_index("text")
+            at = batch.schema.get_field_index(names["text"])
             texts, lengths = [], []
             for value in batch.column(at):
                 text = value.as_py()
@@ -218,17 +220,19 @@ def redact(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             columns[at] = pa.array(texts, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(lengths, pa.int64())],
-                [*batch.schema.names, "_length"],
+                [*batch.schema.names, "length"],
             )
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("_length", T.LongType())])
-    cleaned = docs.mapInArrow(clean, schema)
-    if "n_chars" in docs.columns:
+    plain = [T.StructField(names[f.name], f.dataType) for f in docs.schema.fields]
+    schema = T.StructType([*plain, T.StructField("length", T.LongType())])
+    cleaned = select_as(docs, names).mapInArrow(clean, schema)
+    if "n_chars" in names:
         kind = docs.schema["n_chars"].dataType
         cleaned = cleaned.withColumn(
-            "n_chars", F.coalesce(F.col("_length").cast(kind), "n_chars")
+            names["n_chars"],
+            F.coalesce(F.col("length").cast(kind), names["n_chars"]),
         )
-    return cleaned.select(*docs.columns)
+    return select_back(cleaned, names)
 
 
 def replace_spans(text: str, spans: list[Span]) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm.bloom import block_count, blocked_bloom, probed
-from headway.llm.common import keep
+from headway.llm.common import keep, neutral, select_as, select_back
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -74,15 +74,15 @@ def judge_urls(
     stays, repeated ones too; existing columns of the new names are replaced.
     An empty list blocks nothing.
     """
-    names = ["host", "path", "rule", "verdict"]
+    made = ["host", "path", "rule", "verdict"]
+    names = neutral([c for c in pages.columns if c not in made])
     host, path = url_parts(F.col(f"`{url}`"))
-    kept = [c for c in pages.columns if c not in names]
-    parts = pages.select(
-        *[F.col(f"`{c}`") for c in kept], host.alias("host"), path.alias("path")
+    parts = select_as(pages, names, host.alias("host"), path.alias("path"))
+    ruled = parts.select(
+        "*",
+        matching_rule(F.col("host"), F.col("path"), rules).alias("found"),
+        canonical(F.col("host"), F.col("path")).alias("canonical"),
     )
-    ruled = parts.withColumn(
-        "_rule", matching_rule(F.col("host"), F.col("path"), rules)
-    ).withColumn("_canonical", canonical(F.col("host"), F.col("path")))
     listed = keep(
         spark,
         listed.select("canonical")
@@ -92,28 +92,23 @@ def judge_urls(
     )
     blocks = block_count(listed.count())
     filter_ = keep(spark, blocked_bloom(listed, "canonical", blocks), "bloom")
-    seen = probed(ruled, F.col("_canonical"), filter_, blocks)
+    seen = probed(ruled, F.col("canonical"), filter_, blocks)
     # Without a key a page joins nothing: only possible hits are shuffled.
-    possible = F.col("_possible") & F.col("_rule").isNull()
-    seen = seen.withColumn("_key", F.when(possible, F.col("_canonical")))
-    exact = listed.select(
-        F.col("canonical").alias("_listed"), F.lit(True).alias("_hit")
+    possible = F.col("_possible") & F.col("found").isNull()
+    seen = seen.withColumn("key", F.when(possible, F.col("canonical")))
+    exact = listed.select(F.col("canonical").alias("key"), F.lit(True).alias("hit"))
+    passed = seen.where("key IS NOT NULL").join(exact, "key", "left")
+    clear = seen.where("key IS NULL").withColumn(
+        "hit", F.lit(None).cast("boolean")
     )
-    passed = seen.where("_key IS NOT NULL").join(
-        exact, F.col("_key") == F.col("_listed"), "left"
-    )
-    clear = (
-        seen.where("_key IS NULL")
-        .withColumn("_listed", F.lit(None).cast("string"))
-        .withColumn("_hit", F.lit(None).cast("boolean"))
-    )
-    return passed.unionByName(clear).select(
-        *[F.col(f"`{c}`") for c in kept],
+    judged = passed.unionByName(clear).select(
+        *names.values(),
         "host",
         "path",
-        F.col("_rule.rule").alias("rule"),
+        F.col("found.rule").alias("rule"),
         F.coalesce(
-            F.col("_rule.verdict"),
-            F.when(F.col("_hit"), "block").otherwise("allow"),
+            F.col("found.verdict"),
+            F.when(F.col("hit"), "block").otherwise("allow"),
         ).alias("verdict"),
     )
+    return select_back(judged, names, *made)
