@@ -11,6 +11,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -299,6 +300,71 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(out, schema=_PACKED_ARROW)
 
 
+# Minutes after a poll at which it is repeated, answered without entities, and
+# repeated again: A, A, nothing, A.
+REPEATS = (0, 10, 20, 30)
+_NO_ENTITIES = 20
+# A message with one field that no reader knows. (Spark leaves out files
+# without any bytes.)
+_EMPTY_MESSAGE = b"\xf8\x7f\x01"
+
+
+def repeated_payloads(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
+    """Events encoded as one payload for each feed and hour or day.
+
+    A day's payload is polled at noon. Every payload comes as A, A, B, A, ten
+    minutes apart, of which the second is to be skipped; B has no entities.
+    """
+    polled = F.col("hour")
+    if unit == "day":
+        polled = F.date_trunc("day", "hour") + F.expr("INTERVAL 12 HOURS")
+    rows = _events(spark, sf_dir).select(
+        "event_id",
+        "event_type",
+        "user",
+        "start_date",
+        "relationship",
+        "direction",
+        "value",
+        polled.alias("hour"),
+        F.unix_seconds("second").alias("stamp"),
+    )
+    once = rows.groupBy("event_type", "hour").applyInArrow(_encode_group, _PACKED)
+    minutes = F.explode(F.array(*[F.lit(m) for m in REPEATS])).alias("minutes")
+    return once.select("*", minutes).select(
+        "feed_id",
+        F.timestamp_seconds(
+            F.unix_seconds("poll_time") + 60 * F.col("minutes")
+        ).alias("poll_time"),
+        F.when(F.col("minutes") == _NO_ENTITIES, F.lit(_EMPTY_MESSAGE))
+        .otherwise(F.col("content"))
+        .alias("content"),
+    )
+
+
+def _encode_group(group: pa.Table) -> pa.Table:
+    batches = group.sort_by("event_id").combine_chunks().to_batches()
+    return pa.Table.from_batches(list(_encode(iter(batches))), _PACKED_ARROW)
+
+
+def land_files(payloads: DataFrame, landing: str) -> None:
+    """Write each payload to a file of its own, from where it is."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        address = landing if "://" in landing else landing.removeprefix("file:")
+        fs, base = pa.fs.FileSystem.from_uri(address)
+        for batch in batches:
+            for row in batch.to_pylist():
+                folder = f"{base}/feed_id={row['feed_id']}"
+                fs.create_dir(folder)
+                name = row["poll_time"].strftime("%Y%m%dT%H%M%SZ")
+                with fs.open_output_stream(f"{folder}/{name}.pb") as file:
+                    file.write(row["content"])
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    payloads.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
 def _add_entities(message, row: dict) -> None:
     def describe(trip) -> None:
         trip.trip_id = row["user"]

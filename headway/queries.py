@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from headway.plans.maintenance import compact_table, expire_table, run_maintenan
 from headway.schemas import (
     PROCESSED,
     RAW,
+    SHOWN,
     STATIC,
     TRIP_KEYS,
     VEHICLE_KEYS,
@@ -31,7 +33,11 @@ from headway.session import scratch_dir, ship_package, side_by_side
 from headway.sources.archive import FeedInfo, extract_lines, stamp, typed
 from headway.sources.feed import decode
 from headway.plans.static import prepare
-from headway.streaming.realtime import ingest_landed, run_realtime
+from headway.streaming.realtime import (
+    IngestCounts,
+    ingest_landed,
+    run_realtime,
+)
 from headway.streaming.skip import changed_payloads
 from headway.tables import (
     append,
@@ -197,20 +203,25 @@ def _land_positions(spark: SparkSession, sf: str, root: str, waves: int) -> None
         append(rows.where(F.col("_wave") == n), root, RAW["vehicle_positions"])
 
 
-def _land_all(spark: SparkSession, sf: str, root: str) -> None:
-    """All three raw tables, the positions in two writes."""
+def _land_all(spark: SparkSession, sf: str, root: str, stops: DataFrame) -> None:
+    """All three raw tables, each in two writes."""
+
+    def land(table: str, rows: DataFrame, key: str) -> Callable[[], None]:
+        placed = rows.withColumn("_wave", F.pmod(F.hash(key), F.lit(2)))
+
+        def run() -> None:
+            for n in range(2):
+                wave = placed.where(F.col("_wave") == n).drop("_wave")
+                append(wave, root, RAW[table])
+
+        return run
+
     side_by_side(
         spark,
         [
-            lambda: _land_positions(spark, sf, root, 2),
-            lambda: append(
-                A.trip_updates_raw(spark, sf), root, RAW["trip_updates"]
-            ),
-            lambda: append(
-                A.stop_time_updates_raw(spark, sf),
-                root,
-                RAW["stop_time_updates"],
-            ),
+            land("vehicle_positions", A.vehicle_positions_raw(spark, sf), "label"),
+            land("trip_updates", A.trip_updates_raw(spark, sf), "label"),
+            land("stop_time_updates", stops, "trip_id"),
         ],
     )
 
@@ -279,39 +290,39 @@ def _compaction(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _maintenance_job(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows per date left by compaction and retention of all raw tables."""
+    """What compaction and retention leave of all raw tables."""
     root = scratch_dir(spark, "maintenance")
-    _land_all(spark, sf, root)
+    stops = A.stop_time_updates_raw(spark, sf)
+    day = F.concat(F.lit("202401"), F.date_format("poll_time", "dd"))
+    _land_all(spark, sf, root, stops.withColumn("start_date", day))
     run_maintenance(spark, root, NOW, KEEP_DAYS)
-    return _rows_per_date(spark, root, RAW.values())
+    return _in_one(spark, root, RAW.values())
 
 
-def _rows_per_date(
+def _in_one(
     spark: SparkSession, root: str, specs: Iterable[TableSpec]
 ) -> DataFrame:
-    counts = None
+    """The tables of a layer under the columns that any of them has."""
+    parts = []
     for spec in specs:
-        one = (
-            read_table(spark, root, spec)
-            .groupBy("start_date")
-            .agg(
-                F.count(F.lit(1)).alias("n_rows"),
-                F.max("route_id").alias("last_route"),
-            )
-            .select(F.lit(spec.name).alias("table_name"), "*")
-        )
-        counts = one if counts is None else counts.unionAll(one)
-    return counts
+        has = set(spec.schema.names)
+        cols = [
+            (F.col(n) if n in has else F.lit(None)).cast(kind).alias(n)
+            for n, kind in SHOWN.items()
+        ]
+        rows = read_table(spark, root, spec)
+        parts.append(rows.select(F.lit(spec.name).alias("table_name"), *cols))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def _daily_job(spark: SparkSession, sf: str) -> DataFrame:
-    """All raw dates processed, as rows per table and date."""
+    """All raw dates processed: the rows of the three tables."""
     raw = scratch_dir(spark, "raw")
     processed = scratch_dir(spark, "processed")
-    _land_all(spark, sf, raw)
+    _land_all(spark, sf, raw, A.stop_time_updates_raw(spark, sf))
     days = {d for s in RAW.values() for d in partition_values(spark, raw, s)}
     run_daily(spark, raw, processed, NOW, days)
-    return _rows_per_date(spark, processed, PROCESSED.values())
+    return _in_one(spark, processed, PROCESSED.values())
 
 
 def _csv_static_load(spark: SparkSession, sf: str) -> DataFrame:
@@ -370,26 +381,52 @@ def _raw_in_one(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Payloads streamed into the three raw tables."""
+    """Repeating payloads streamed, in time order, into the three raw tables."""
     root = scratch_dir(spark, "stream")
-    A.event_payloads(spark, sf).write.parquet(f"{root}/landing")
+    made = A.repeated_payloads(spark, sf, "hour")
+    made.write.parquet(f"{root}/made")
+
+    def drain() -> None:
+        run_realtime(
+            spark,
+            f"{root}/landing",
+            f"{root}/raw",
+            f"{root}/checkpoint",
+            packed=True,
+            interval=None,
+        ).awaitTermination()
+
+    payloads = spark.read.schema(made.schema).parquet(f"{root}/made")
+    _land_in_order(payloads, "poll_time", f"{root}/landing", drain)
+    return _raw_in_one(spark, f"{root}/raw")
+
+
+def _batch_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """The same payloads as one backfill, run twice under one load id."""
+    root = scratch_dir(spark, "batch")
+    A.repeated_payloads(spark, sf, "hour").write.parquet(f"{root}/landing")
+    for _ in range(2):
+        ingest_landed(
+            spark, f"{root}/landing", f"{root}/raw", packed=True, load_id="backfill"
+        )
+    return _raw_in_one(spark, f"{root}/raw")
+
+
+def _ingest_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that a stream over one file a payload reports for each table."""
+    root = scratch_dir(spark, "files")
+    A.land_files(A.repeated_payloads(spark, sf, "day"), f"{root}/landing")
+    counts: list[IngestCounts] = []
     run_realtime(
         spark,
         f"{root}/landing",
         f"{root}/raw",
         f"{root}/checkpoint",
-        packed=True,
         interval=None,
+        on_batch=counts.append,
     ).awaitTermination()
-    return _raw_in_one(spark, f"{root}/raw")
-
-
-def _batch_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """The same payloads as one backfill."""
-    root = scratch_dir(spark, "batch")
-    A.event_payloads(spark, sf).write.parquet(f"{root}/landing")
-    ingest_landed(spark, f"{root}/landing", f"{root}/raw", packed=True)
-    return _raw_in_one(spark, f"{root}/raw")
+    rows = [(t, sum(getattr(c, t) for c in counts)) for t in RAW]
+    return spark.createDataFrame(rows, "table_name string, n_rows long")
 
 
 def _version_as_of(spark: SparkSession, sf: str) -> DataFrame:
@@ -448,6 +485,7 @@ _QUERIES: dict[str, Query] = {
     "feed_decode": _feed_decode,
     "stream_ingest": _stream_ingest,
     "batch_ingest": _batch_ingest,
+    "ingest_counts": _ingest_counts,
     "version_as_of": _version_as_of,
     "events_with_trip": _events_with_trip,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from headway.schemas import PROCESSED, RAW, SHOWN, TableSpec
+
 # The adapter views as common table expressions, down to the column order.
 _EVENTS = """
 e AS (
@@ -106,25 +108,54 @@ fresh AS (
 # What the payload adapter's vehicles, trips and stops come out as.
 _FRESH = f"""{_EVENTS},
 fresh AS (SELECT * FROM e WHERE abs(epoch(sec) - epoch(hr)) <= 900)"""
+
+
+def _polled(poll: str) -> str:
+    """Events that are fresh when a payload is polled, and 30 minutes later."""
+    return f"""{_EVENTS},
+polled AS (
+    SELECT *, {poll} + m * INTERVAL 1 MINUTE AS poll
+    FROM e CROSS JOIN (VALUES (0), (30)) AS t(m)
+),
+fresh AS (SELECT * FROM polled WHERE abs(epoch(sec) - epoch(poll)) <= 900)"""
+
+
+_KINDS = """(VALUES
+    ('vehicle_positions', NULL), ('trip_updates', NULL),
+    ('stop_time_updates', 'first'), ('stop_time_updates', 'second')
+) AS k(table_name, stop_id)"""
 _INGESTED = f"""
-WITH {_FRESH}
-SELECT k.table_name, hr AS poll_time, sec AS feed_timestamp, usr AS trip_id,
+WITH {_polled("hr")}
+SELECT k.table_name, poll AS poll_time, sec AS feed_timestamp, usr AS trip_id,
     event_type AS route_id, start_date,
     CASE WHEN k.stop_id IS NULL THEN CAST(event_id AS VARCHAR) END AS label,
     k.stop_id,
     CASE WHEN k.stop_id = 'first' THEN sec END AS arrival_time
-FROM fresh CROSS JOIN (VALUES
-    ('vehicle_positions', NULL), ('trip_updates', NULL),
-    ('stop_time_updates', 'first'), ('stop_time_updates', 'second')
-) AS k(table_name, stop_id)"""
+FROM fresh CROSS JOIN {_KINDS}"""
+_COUNTED = f"""
+WITH {_polled("date_trunc('day', hr) + INTERVAL 12 HOUR")},
+kinds AS (SELECT * FROM {_KINDS})
+SELECT table_name, (SELECT count(*) FROM fresh) * count(*) AS n_rows
+FROM kinds GROUP BY table_name"""
+
+_SQL_TYPES = {
+    "timestamp": "TIMESTAMP",
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+}
 
 
-def _per_date(*tables: tuple[str, str]) -> str:
-    return " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, start_date, count(*) AS n_rows, "
-        f"max(route_id) AS last_route FROM {source} GROUP BY start_date"
-        for name, source in tables
-    )
+def _shown(*tables: tuple[TableSpec, str]) -> str:
+    """Rows of several tables under the columns that any of them has."""
+    parts = []
+    for spec, source in tables:
+        columns = ", ".join(
+            n if n in spec.schema.names else f"CAST(NULL AS {_SQL_TYPES[kind]}) AS {n}"
+            for n, kind in SHOWN.items()
+        )
+        parts.append(f"SELECT '{spec.name}' AS table_name, {columns} FROM {source}")
+    return " UNION ALL ".join(parts)
 
 
 def _after(view: str) -> str:
@@ -248,20 +279,22 @@ ORACLES: dict[str, str] = {
     "retention": f"WITH {_POSITIONS} SELECT * FROM {_after('vp')}",
     "compaction": f"WITH {_POSITIONS} SELECT * FROM vp",
     "maintenance_job": f"""
-        WITH {_POSITIONS}, {_TRIPS.removeprefix(_EVENTS + ",")}, {_STOPS}
-        {_per_date(
-            ("vehicle_positions", _after("vp")),
-            ("trip_updates", _after("tu")),
-            ("stop_time_updates", _after("stu")),
+        WITH {_POSITIONS}, {_TRIPS.removeprefix(_EVENTS + ",")}, {_STOPS},
+        moved AS (SELECT * REPLACE (
+            '202401' || strftime(poll_time, '%d') AS start_date) FROM stu)
+        {_shown(
+            (RAW["vehicle_positions"], _after("vp")),
+            (RAW["trip_updates"], _after("tu")),
+            (RAW["stop_time_updates"], _after("moved")),
         )}""",
     "daily_job": f"""
         WITH {_POSITIONS}, {_TRIPS.removeprefix(_EVENTS + ",")}, {_STOPS},
         vp1 AS ({_deduped("vehicle_id, feed_timestamp, start_date")}),
         tu1 AS ({_LATEST_TRIPS}), stu1 AS ({_MERGED})
-        {_per_date(
-            ("vehicle_positions", "vp1"),
-            ("trip_updates", "tu1"),
-            ("stop_time_events", "stu1"),
+        {_shown(
+            (PROCESSED["vehicle_positions"], "vp1"),
+            (PROCESSED["trip_updates"], "tu1"),
+            (PROCESSED["stop_time_events"], "stu1"),
         )}""",
     "csv_static_load": """
         SELECT lpad(CAST(l_orderkey AS VARCHAR), 10, '0') AS trip_id,
@@ -289,6 +322,7 @@ ORACLES: dict[str, str] = {
         FROM fresh""",
     "stream_ingest": _INGESTED,
     "batch_ingest": _INGESTED,
+    "ingest_counts": _COUNTED,
     "version_as_of": """
         WITH v(valid_from, valid_to) AS (VALUES
             ('19950101', '19971231'), ('19970701', '20001231')),

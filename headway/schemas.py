@@ -130,6 +130,31 @@ PROCESSED: dict[str, TableSpec] = {
 }
 
 
+# Columns in which the tables of a layer are shown together, as SQL types.
+SHOWN = {
+    "poll_time": "timestamp",
+    "feed_timestamp": "timestamp",
+    "trip_id": "string",
+    "route_id": "string",
+    "start_date": "string",
+    "vehicle_id": "string",
+    "label": "string",
+    "direction_id": "int",
+    "schedule_relationship": "int",
+    "start_time": "string",
+    "latitude": "double",
+    "odometer": "double",
+    "stop_sequence": "int",
+    "stop_id": "string",
+    "arrival_delay": "int",
+    "arrival_time": "timestamp",
+    "arrival_uncertainty": "int",
+    "departure_delay": "int",
+    "departure_time": "timestamp",
+    "departure_uncertainty": "int",
+}
+
+
 def _unchanged(df: DataFrame) -> DataFrame:
     return df
 

@@ -30,8 +30,9 @@ def _keep_changed(
         before.iloc[0] = last_md5
         last = timely.iloc[-1]
         state.update((last["md5"], last["poll_time"].to_pydatetime()))
-    changed = timely[timely["md5"] != before]
-    yield pd.concat([polls[late], changed]).drop(columns="md5")
+    wanted = late.copy()
+    wanted[timely.index] = timely["md5"] != before
+    yield polls[wanted].drop(columns="md5")
 
 
 def changed_payloads(stream: DataFrame) -> DataFrame:
