@@ -458,3 +458,162 @@ def customer_agencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         *[given.get(n, _null("string")).alias(n) for n in names]
     )
+
+
+# The thirteen static files: source table, and columns as expressions that
+# Spark and other engines read alike. ``{mark}`` tells archives apart; columns
+# that are not named stay empty.
+STATIC_FROM: dict[str, tuple[str, dict[str, str]]] = {
+    "agency": (
+        "customer",
+        {
+            "agency_id": "c_custkey",
+            "agency_name": "concat(c_name, ', {mark}')",
+            "agency_lang": "c_mktsegment",
+        },
+    ),
+    "stops": (
+        "supplier",
+        {
+            "stop_id": "concat('00', s_suppkey)",
+            "stop_name": "concat(s_name, ' \"{mark}\"')",
+            "stop_lat": "s_acctbal",
+            "location_type": "s_nationkey",
+        },
+    ),
+    "routes": (
+        "part",
+        {
+            "route_id": "p_partkey",
+            "route_long_name": "concat(p_name, '{mark}')",
+            "route_type": "p_size",
+        },
+    ),
+    "trips": (
+        "orders",
+        {
+            "route_id": "o_custkey",
+            "service_id": "o_orderstatus",
+            "trip_id": "o_orderkey",
+            "trip_headsign": "concat(o_orderpriority, '{mark}')",
+        },
+    ),
+    "stop_times": (
+        "lineitem",
+        {
+            "trip_id": "l_orderkey",
+            "arrival_time": "concat(20 + l_linenumber, ':10:00')",
+            "stop_id": "l_suppkey",
+            "stop_sequence": "l_linenumber",
+            "stop_headsign": "concat(l_returnflag, '{mark}')",
+            "shape_dist_traveled": "l_discount",
+        },
+    ),
+    "calendar": (
+        "nation",
+        {"service_id": "n_name", "monday": "n_nationkey", "sunday": "'{mark}'"},
+    ),
+    "calendar_dates": (
+        "nation",
+        {"service_id": "n_name", "date": "'{mark}'", "exception_type": "n_regionkey"},
+    ),
+    "shapes": (
+        "lineitem",
+        {
+            "shape_id": "concat(l_orderkey, '{mark}')",
+            "shape_pt_lat": "l_tax",
+            "shape_pt_lon": "l_quantity",
+            "shape_pt_sequence": "l_linenumber",
+        },
+    ),
+    "fare_attributes": (
+        "part",
+        {"fare_id": "concat(p_partkey, '{mark}')", "price": "p_retailprice"},
+    ),
+    "fare_rules": ("nation", {"fare_id": "n_name", "route_id": "'{mark}'"}),
+    "frequencies": (
+        "orders",
+        {
+            "trip_id": "concat(o_orderkey, '{mark}')",
+            "start_time": "'25:00:00'",
+            "headway_secs": "o_custkey",
+        },
+    ),
+    "transfers": (
+        "supplier",
+        {
+            "from_stop_id": "s_suppkey",
+            "to_stop_id": "'{mark}'",
+            "transfer_type": "s_nationkey",
+        },
+    ),
+    "feed_info": (
+        "region",
+        {
+            "feed_publisher_name": "r_name",
+            "feed_start_date": "'{start}'",
+            "feed_end_date": "'{end}'",
+            "feed_version": "'{mark}'",
+        },
+    ),
+}
+
+
+def static_expressions(name: str, mark: str, start: str, end: str) -> dict[str, str]:
+    """All columns of a static file as expressions over its source table."""
+    _, given = STATIC_FROM[name]
+    return {
+        column: given.get(column, "NULL").format(mark=mark, start=start, end=end)
+        for column in STATIC[name].data_schema.names
+    }
+
+
+def land_static_archive(
+    spark: SparkSession,
+    sf_dir: str,
+    landing: str,
+    archive: str,
+    mark: str,
+    start: str,
+    end: str,
+    broken: str | None = None,
+) -> None:
+    """Write an archive of all thirteen files, one of them with a bad header.
+
+    An archive is a single file, so one task holds it. Equal arguments give
+    equal bytes.
+    """
+    parts = None
+    for name, (source, _) in STATIC_FROM.items():
+        cells = [
+            f"concat('\"', replace(coalesce(CAST({e} AS STRING), ''), '\"', '\"\"'), '\"')"
+            for e in static_expressions(name, mark, start, end).values()
+        ]
+        lines = table(spark, sf_dir, source).select(
+            F.lit(archive).alias("archive"),
+            F.lit(STATIC[name].member).alias("member"),
+            F.expr(f"concat_ws(',', {', '.join(cells)})").alias("line"),
+        )
+        parts = lines if parts is None else parts.unionAll(lines)
+    headers = {s.member: ",".join(s.data_schema.names) for s in STATIC.values()}
+    if broken:
+        headers[STATIC[broken].member] += ",extra"
+
+    def write(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("member", "ascending"), ("line", "ascending")])
+        members: dict[str, list[str]] = {m: [h] for m, h in headers.items()}
+        for member, line in zip(rows["member"].to_pylist(), rows["line"].to_pylist()):
+            members[member].append(line)
+        address = landing if "://" in landing else landing.removeprefix("file:")
+        fs, base = pa.fs.FileSystem.from_uri(address)
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as zipped:
+            for member, lines in members.items():
+                info = zipfile.ZipInfo(member)
+                zipped.writestr(info, "\n".join(lines) + "\n", zipfile.ZIP_DEFLATED)
+        fs.create_dir(base)
+        with fs.open_output_stream(f"{base}/{archive}") as file:
+            file.write(held.getvalue())
+        return pa.table({"archive": [archive]})
+
+    parts.groupBy("archive").applyInArrow(write, "archive string").collect()

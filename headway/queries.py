@@ -32,7 +32,8 @@ from headway.schemas import (
 from headway.session import scratch_dir, ship_package, side_by_side
 from headway.sources.archive import FeedInfo, extract_lines, stamp, typed
 from headway.sources.feed import decode
-from headway.plans.static import prepare
+from headway.plans.static import prepare, run_static
+from headway.sources.ledger import Ledger
 from headway.streaming.realtime import (
     IngestCounts,
     ingest_landed,
@@ -333,6 +334,51 @@ def _csv_static_load(spark: SparkSession, sf: str) -> DataFrame:
     return prepare(lines, spec, info, 0)
 
 
+# Archives in the order they land: (name, mark, validity, file with a bad
+# header). The second corrects the first, the third repeats the second, and
+# one file of the last cannot be loaded.
+STATIC_ARCHIVES = (
+    ("a.zip", "A", "20240101", "20240630", None),
+    ("b.zip", "B", "20240101", "20240630", None),
+    ("c.zip", "B", "20240101", "20240630", None),
+    ("d.zip", "D", "20240701", "20241231", "routes"),
+)
+
+
+def _static_job(spark: SparkSession, sf: str) -> DataFrame:
+    """All static tables and the ledger after two runs over four archives."""
+    landing, root = scratch_dir(spark, "archives"), scratch_dir(spark, "static")
+    for name, mark, start, end, broken in STATIC_ARCHIVES:
+        A.land_static_archive(spark, sf, landing, name, mark, start, end, broken)
+    for _ in range(2):
+        run_static(spark, landing, root)
+    parts = []
+    for spec in STATIC.values():
+        cells = [
+            F.coalesce(F.col(n).cast("string"), F.lit(""))
+            for n in spec.data_schema.names
+        ]
+        parts.append(
+            read_table(spark, root, spec).select(
+                F.lit(spec.name).alias("table_name"),
+                "valid_from",
+                "valid_to",
+                F.concat_ws("|", *cells).alias("contents"),
+            )
+        )
+    seen = Ledger(spark, root).read()
+    name = F.substring_index("archive", "/", -1)
+    parts.append(
+        seen.select(
+            F.lit("load_ledger").alias("table_name"),
+            "valid_from",
+            "valid_to",
+            F.concat_ws("|", name, "feed_version", "status").alias("contents"),
+        )
+    )
+    return reduce(DataFrame.unionAll, parts)
+
+
 def _feed_decode(spark: SparkSession, sf: str) -> DataFrame:
     payloads = A.event_payloads(spark, sf)
     entities = decode(payloads.withColumn("payload_id", F.lit("")))
@@ -482,6 +528,7 @@ _QUERIES: dict[str, Query] = {
     "maintenance_job": _maintenance_job,
     "daily_job": _daily_job,
     "csv_static_load": _csv_static_load,
+    "static_job": _static_job,
     "feed_decode": _feed_decode,
     "stream_ingest": _stream_ingest,
     "batch_ingest": _batch_ingest,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from headway.schemas import PROCESSED, RAW, SHOWN, TableSpec
+from headway.adapters import STATIC_FROM, static_expressions
+from headway.schemas import PROCESSED, RAW, SHOWN, STATIC, TableSpec
 
 # The adapter views as common table expressions, down to the column order.
 _EVENTS = """
@@ -158,6 +159,36 @@ def _shown(*tables: tuple[TableSpec, str]) -> str:
     return " UNION ALL ".join(parts)
 
 
+def _static() -> str:
+    """The static tables as they stand, and the ledger."""
+    parts = []
+    for name, (source, _) in STATIC_FROM.items():
+        types = {f.name: f.dataType.simpleString() for f in STATIC[name].data_schema}
+        for mark, start, end in (
+            ("B", "20240101", "20240630"),
+            ("D", "20240701", "20241231"),
+        ):
+            if (name, mark) == ("routes", "D"):
+                continue  # its header is bad
+            given = static_expressions(name, mark, start, end)
+            cells = ", ".join(
+                f"coalesce(CAST(CAST({e} AS {types[n]}) AS VARCHAR), '')"
+                for n, e in given.items()
+            )
+            parts.append(
+                f"SELECT '{name}' AS table_name, '{start}' AS valid_from, "
+                f"'{end}' AS valid_to, concat_ws('|', {cells}) AS contents "
+                f"FROM {source}"
+            )
+    parts.append(
+        "SELECT * FROM (VALUES "
+        "('load_ledger', '20240101', '20240630', 'a.zip|A|loaded'), "
+        "('load_ledger', '20240101', '20240630', 'b.zip|B|loaded'), "
+        "('load_ledger', NULL, NULL, 'c.zip|unchanged'))"
+    )
+    return " UNION ALL ".join(parts)
+
+
 def _after(view: str) -> str:
     """What retention leaves, seven days before 2024-01-16."""
     return f"(SELECT * FROM {view} WHERE start_date >= '20240109')"
@@ -309,6 +340,7 @@ ORACLES: dict[str, str] = {
             l_discount AS shape_dist_traveled, CAST(1 AS INTEGER) AS timepoint,
             '20240101' AS valid_from, '20240630' AS valid_to
         FROM lineitem""",
+    "static_job": _static(),
     "feed_decode": f"""
         WITH {_FRESH}
         SELECT hr AS poll_time, sec AS feed_timestamp, usr AS vehicle_id,
