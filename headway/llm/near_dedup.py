@@ -291,7 +291,8 @@ def prefix_pairs(spark: SparkSession, sets: DataFrame, percent: int) -> DataFram
     k = percent * (n + m) / (100 + percent) of them. Where each has its
     shingles in the same order, the rarest first, they share one among the
     first n - k + 1 and m - k + 1. Sets are put in classes of nearly equal
-    size, and for each pair of classes k has a lower bound. So variants of one
+    size, and for each pair of classes k has a lower bound; a pair's own k and
+    the places of the shingle where they meet then decide. So variants of one
     text meet only in shingles that few of them have; a shingle whose holders
     all have one label is left out before anything is paired.
     """
@@ -326,10 +327,11 @@ def prefix_pairs(spark: SparkSession, sets: DataFrame, percent: int) -> DataFram
             "rep",
             "label",
             "own",
+            "n",
             F.least("own", "other").alias("low"),
             F.greatest("own", "other").alias("high"),
-            F.explode(F.slice("order", F.lit(1), F.col("reach"))["shingle"]).alias(
-                "shingle"
+            F.posexplode(F.slice("order", F.lit(1), F.col("reach"))["shingle"]).alias(
+                "at", "shingle"
             ),
         )
     )
@@ -346,12 +348,18 @@ def prefix_pairs(spark: SparkSession, sets: DataFrame, percent: int) -> DataFram
         F.col("rep").alias("other"),
         F.col("label").alias("other_label"),
         F.col("own").alias("other_own"),
+        F.col("n").alias("other_n"),
+        F.col("at").alias("other_at"),
     )
+    # Behind the first shingle that two sets share, the shorter rest bounds
+    # what else they can.
+    bound = F.least(F.col("n") - F.col("at"), F.col("other_n") - F.col("other_at"))
+    enough = (100 + percent) * bound >= percent * (F.col("n") + F.col("other_n"))
     # A pair of classes holds its two sides; one class holds both.
     sides = (F.col("own") != F.col("other_own")) | (F.col("low") == F.col("high"))
     return (
         held.join(others, place)
-        .where((F.col("label") < F.col("other_label")) & sides)
+        .where((F.col("label") < F.col("other_label")) & sides & enough)
         .select(
             F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")
         )
