@@ -23,7 +23,9 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 # Bytes of text whose distinct words are encoded together. A longer document
 # makes a group of its own.
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 4 << 20
+# Tokens that are decoded together.
+GROUP_TOKENS = 1 << 20
 # The rank map is split into this many small maps, found by checksum.
 BUCKETS = 1 << 16
 # Larger than any rank: a pair that cannot be merged.
@@ -243,17 +245,22 @@ def _encode_words(words: pa.Array, ranks: dict[bytes, int], pairs: Pairs) -> pa.
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
 
 
+def _runs(ends: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows within a limit, from running sums; at least one row."""
+    low, rows = 0, len(ends) - 1
+    while low < rows:
+        fits = np.searchsorted(ends, ends[low] + limit, "right")
+        high = int(min(max(fits - 1, low + 1), rows))
+        yield low, high
+        low = high
+
+
 def _groups(words: pa.Array) -> Iterator[tuple[int, int]]:
     """Runs of documents within ``GROUP_BYTES``, from their split texts."""
     ends = words.offsets.to_numpy()
     lengths = pc.binary_length(words.flatten()).to_numpy(False)
     sizes = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])[ends - ends[0]]
-    low, rows = 0, len(words)
-    while low < rows:
-        fits = np.searchsorted(sizes, sizes[low] + GROUP_BYTES, "right")
-        high = int(min(max(fits - 1, low + 1), rows))
-        yield low, high
-        low = high
+    return _runs(sizes, GROUP_BYTES)
 
 
 def _in_batches(kept: list[str], name: str, ranks: dict[bytes, int]):
@@ -348,20 +355,28 @@ def decode(
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pa.array(pieces, pa.large_binary())
-        for batch in batches:
-            coded = batch.column(at)
-            ends = coded.offsets.to_numpy()
-            joined = vocabulary.take(coded.values.slice(ends[0], ends[-1] - ends[0]))
-            starts = np.frombuffer(joined.buffers()[1], np.int64)
-            offsets = starts[ends - ends[0]] - starts[0]
-            whole = pa.Array.from_buffers(
-                pa.large_binary(),
-                len(coded),
-                [None, pa.py_buffer(offsets), joined.buffers()[2]],
-            ).cast(pa.binary())
-            if coded.null_count:
-                whole = pc.if_else(coded.is_valid(), whole, None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, whole], [*kept, text])
+        for whole in batches:
+            for low, high in _runs(whole.column(at).offsets.to_numpy(), GROUP_TOKENS):
+                batch = whole.slice(low, high - low)
+                coded = batch.column(at)
+                ends = coded.offsets.to_numpy()
+                ids = coded.values.slice(ends[0], ends[-1] - ends[0])
+                joined = vocabulary.take(ids)
+                starts = np.frombuffer(joined.buffers()[1], np.int64)
+                found = pa.Array.from_buffers(
+                    pa.large_binary(),
+                    len(coded),
+                    [
+                        None,
+                        pa.py_buffer(starts[ends - ends[0]] - starts[0]),
+                        joined.buffers()[2],
+                    ],
+                ).cast(pa.binary())
+                if coded.null_count:
+                    found = pc.if_else(coded.is_valid(), found, None)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, found], [*kept, text]
+                )
 
     plain = [T.StructField(c, f.dataType) for f, c in zip(rest, kept)]
     return (
