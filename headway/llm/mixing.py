@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +15,10 @@ from headway.llm.common import keep, neutral, select_as, select_back
 DOMAINS = ("clean", "low", "toxic")
 # Share of all tokens that each domain should have.
 TARGETS = {"clean": 0.99, "low": 0.006, "toxic": 0.004}
-# Steps of the descent, and what keeps rates near one where the targets leave
-# a choice.
-STEPS = 40
+# Steps of the descent at most, the gap in shares of all tokens at which it
+# ends, and what keeps rates near one where the targets leave a choice.
+STEPS = 12
+CLOSE = 1e-4
 RIDGE = 0.002
 
 
@@ -78,7 +80,8 @@ def fit_rates(
     documents, and its target, as shares of all tokens, and a small ridge
     towards one. The gradient of a rate needs only the gaps, which one
     grouped sum a step gives; nothing of a document reaches the driver. The
-    step is scaled by the largest curvature.
+    gradient is scaled by the inverse curvature among the domains, a matrix as
+    small as their number, so that a few steps are enough.
     """
     names = list(targets)
     columns = [F.col(f"p_{d}") for d in names]
@@ -91,9 +94,9 @@ def fit_rates(
     if total <= 0:
         return []
     k = len(names)
-    # Curvature: tokens over total weigh the outer products of posteriors.
-    gram = [[size[1 + i * k + j] / total for j in range(k)] for i in range(k)]
-    top = max(sum(row) for row in gram)
+    # Curvature: outer products of posteriors, weighed by tokens.
+    gram = np.array([[size[1 + i * k + j] / total for j in range(k)] for i in range(k)])
+    scale = np.linalg.inv(gram + 1e-4 * np.eye(k))
     wanted = [targets[d] / sum(targets.values()) for d in names]
     history: list[list[float]] = []
     for _ in range(steps):
@@ -103,9 +106,9 @@ def fit_rates(
             *[F.sum(tokens * rate * p) / total for p in columns]
         ).first()
         gaps = [wanted[i] - shares[i] for i in range(k)]
-        if max(map(abs, gaps)) < 1e-6:
+        if max(map(abs, gaps)) < CLOSE:
             break
-        history.append([g / top for g in gaps])
+        history.append([float(x) for x in scale @ np.array(gaps)])
     return history
 
 

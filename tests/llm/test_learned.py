@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from headway.llm import classifier, mixing, quality
@@ -91,22 +92,27 @@ def test_rates_equal_a_plain_descent(spark):
     ).collect()
     rates, total = [1.0] * len(rows), sum(r[0] for r in rows)
     want = list(mixing.TARGETS.values())
-    gram = [
-        [sum(r[0] * r[1 + i] * r[1 + j] for r in rows) / total for j in range(3)]
-        for i in range(3)
-    ]
-    top = max(map(sum, gram))
+    gram = np.array(
+        [
+            [sum(r[0] * r[1 + i] * r[1 + j] for r in rows) / total for j in range(3)]
+            for i in range(3)
+        ]
+    )
+    scale = np.linalg.inv(gram + 1e-4 * np.eye(3))
     for _ in range(mixing.STEPS):
         gaps = [
             want[k] / sum(want) - sum(r[0] * x * r[1 + k] for r, x in zip(rows, rates)) / total
             for k in range(3)
         ]
+        if max(map(abs, gaps)) < mixing.CLOSE:
+            break
+        steps = scale @ np.array(gaps)
         rates = [
             max(
                 0.0,
                 x * (1 - mixing.RIDGE)
                 + mixing.RIDGE
-                + sum(g / top * p for g, p in zip(gaps, r[1:])),
+                + sum(g * p for g, p in zip(steps, r[1:])),
             )
             for r, x in zip(rows, rates)
         ]
