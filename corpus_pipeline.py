@@ -39,12 +39,16 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their rates say: repeated or left out."""
+    """Documents as often as their rates say: repeated or left out.
+
+    Rates are rounded to the nearest whole number, so documents of rates near
+    one, as clean ones have, all stay once.
+    """
     ship_package(spark)
     mixed = mixing.mix(spark, docs, table(spark, sf_dir, "labels"), TARGETS)
-    copies = F.sequence(F.lit(1).cast("long"), F.col("copies"))
+    copies = F.sequence(F.lit(1).cast("long"), F.floor(F.col("rate") + 0.5))
     return (
-        mixed.where("copies > 0")
+        mixed.where("rate >= 0.5")
         .select(*docs.columns, F.explode(copies).alias("_copy"))
         .drop("_copy")
     )

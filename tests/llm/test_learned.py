@@ -74,7 +74,7 @@ def test_rates_meet_the_targets(spark, documents):
     total = sum(r.n_tokens for r in rows)
     for domain, share in (("clean", 0.9), ("low", 0.08), ("toxic", 0.02)):
         got = sum(r.n_tokens * r.rate * r[f"p_{domain}"] for r in rows) / total
-        assert abs(got - share) < 0.03
+        assert abs(got - share) < 0.05
     assert abs(sum(r.copies for r in rows) - sum(r.rate for r in rows)) < 30
 
 
@@ -98,7 +98,7 @@ def test_rates_equal_a_plain_descent(spark):
             for i in range(3)
         ]
     )
-    scale = np.linalg.inv(gram + 1e-4 * np.eye(3))
+    scale = np.linalg.inv(gram + mixing.DAMPING * np.eye(3))
     for _ in range(mixing.STEPS):
         gaps = [
             want[k] / sum(want) - sum(r[0] * x * r[1 + k] for r, x in zip(rows, rates)) / total
