@@ -41,14 +41,14 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their rates say: repeated or left out.
 
-    Rates are rounded to the nearest whole number, so documents of rates near
-    one, as clean ones have, all stay once.
+    Copies have the rates as their means, so that the shares are kept, and
+    clean documents have rates of one or more, so that all of them stay.
     """
     ship_package(spark)
     mixed = mixing.mix(spark, docs, table(spark, sf_dir, "labels"), TARGETS)
-    copies = F.sequence(F.lit(1).cast("long"), F.floor(F.col("rate") + 0.5))
+    copies = F.sequence(F.lit(1).cast("long"), F.col("copies"))
     return (
-        mixed.where("rate >= 0.5")
+        mixed.where("copies > 0")
         .select(*docs.columns, F.explode(copies).alias("_copy"))
         .drop("_copy")
     )
