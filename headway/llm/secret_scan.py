@@ -23,6 +23,11 @@ KINDS = ("assign", "access", "hex", "random")
 # Words take three and more, random letters and digits about 1.5.
 MIN_LENGTH = 20
 CHARS_PER_TOKEN = 2.2
+# The same for strings with the form of an identifier, in lower case and
+# without joints: long words of many languages take little more than two.
+WORD_CHARS_PER_TOKEN = 2.0
+# Longer strings are counted in runs, so that time stays linear.
+COUNTED_CHARS = 256
 
 # The forms of the base spans.
 _ASSIGN = re.compile(
@@ -35,9 +40,14 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 _ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 MIN_VALUE, MIN_ACCESS = 8, 16
 
-# What a secret can be made of. A dot or a slash ends a candidate, so that
-# host names and paths are judged by their parts.
-_CANDIDATE = re.compile(r"[A-Za-z0-9+_=-]{%d,}" % MIN_LENGTH)
+# What a secret can be made of. Base64 has slashes, and signed tokens dots, but
+# so have paths and host names: a run is judged whole, and if it is spelled
+# well, by its parts. A run of more and shorter parts is a list, date or path.
+_CANDIDATE = re.compile(r"[A-Za-z0-9+_=/.-]{%d,}" % MIN_LENGTH)
+_PART = re.compile(r"[^/.]+")
+FEW_PARTS, PART_LENGTH = 6, 8
+# Words at the ends of a random run that belong to a path or a host.
+_END_WORD, END_CHARS_PER_TOKEN = re.compile(r"[A-Z]?[a-z]{4,}"), 3
 # Known digests: hexadecimal of MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512.
 _DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 _HEXADECIMAL = re.compile(r"[0-9A-Fa-f]+")
@@ -48,6 +58,7 @@ _UUID = re.compile(
 # of a word only, in lower, upper, title or camel case.
 _JOINTS = re.compile(r"[_=+-]+")
 _IDENTIFIER = re.compile(r"[A-Z]?[a-z]*(?:[A-Z][a-z]+)*[0-9]*|[A-Z]+[0-9]*")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 Span = tuple[int, str, int]
 
@@ -73,25 +84,103 @@ def base_spans(text: str) -> list[Span]:
     return spans
 
 
-def known_form(value: str) -> bool:
-    """Whether a string is a digest, a UUID or an identifier."""
+def digest(value: str) -> bool:
+    """Whether a string is a digest or a UUID."""
     if _HEXADECIMAL.fullmatch(value) and len(value) in _DIGEST_LENGTHS:
         return True
-    if _UUID.fullmatch(value):
-        return True
-    return all(_IDENTIFIER.fullmatch(p) for p in _JOINTS.split(value))
+    return bool(_UUID.fullmatch(value))
+
+
+def known_form(value: str) -> bool:
+    """Whether a string has the form of a digest, a UUID or an identifier."""
+    return digest(value) or all(
+        _IDENTIFIER.fullmatch(p) for p in _JOINTS.split(value)
+    )
+
+
+def _tokens(value: str, count_tokens) -> int:
+    return sum(
+        count_tokens(value[i : i + COUNTED_CHARS])
+        for i in range(0, len(value), COUNTED_CHARS)
+    )
+
+
+def is_random(value: str, count_tokens) -> bool:
+    """Whether the vocabulary spells a string without dots and slashes badly.
+
+    An identifier is judged by its words, in lower case.
+    """
+    if digest(value):
+        return False
+    if known_form(value) and not value.isdigit():
+        words = [w.lower() for w in _WORD.findall(value)]
+        n = sum(_tokens(w, count_tokens) for w in words)
+        return sum(map(len, words)) < WORD_CHARS_PER_TOKEN * n
+    return len(value) < CHARS_PER_TOKEN * _tokens(value, count_tokens)
+
+
+def _random_run(text: str, parts: list[tuple[int, int]], count_tokens) -> bool:
+    """Whether parts, with the dots and slashes between, are one random string."""
+    held = [text[a:b] for a, b in parts]
+    size = sum(map(len, held))
+    # Digests and UUIDs are known, numbers are parts of dates and versions.
+    if any(map(digest, held)) or all(h.isdigit() for h in held):
+        return False
+    if len(held) > max(FEW_PARTS, size // PART_LENGTH):
+        return False
+    if all(map(known_form, held)):
+        words = [w.lower() for h in held for w in _WORD.findall(h)]
+        n = sum(_tokens(w, count_tokens) for w in words)
+        return sum(map(len, words)) < WORD_CHARS_PER_TOKEN * n
+    return size < CHARS_PER_TOKEN * sum(_tokens(h, count_tokens) for h in held)
+
+
+def _end_word(value: str, count_tokens) -> bool:
+    return bool(_END_WORD.fullmatch(value)) and (
+        len(value) >= END_CHARS_PER_TOKEN * _tokens(value, count_tokens)
+    )
 
 
 def random_spans(text: str, count_tokens, taken: list[Span]) -> Iterator[Span]:
-    """Strings with few characters a token that no other span touches."""
+    """Strings with few characters a token, outside of all other spans."""
     for m in _CANDIDATE.finditer(text):
-        value = m.group()
-        if known_form(value):
-            continue
-        if any(s < m.end() and m.start() < e for s, _, e in taken):
-            continue
-        if len(value) < CHARS_PER_TOKEN * count_tokens(value):
-            yield (m.start(), "random", m.end())
+        at, free = m.start(), []
+        for s, _, e in sorted(x for x in taken if x[0] < m.end() and x[2] > at):
+            free.append((at, s))
+            at = max(at, e)
+        for low, high in [*free, (at, m.end())]:
+            # Dots at the ends belong to the sentence.
+            while low < high and text[low] == ".":
+                low += 1
+            while low < high and text[high - 1] == ".":
+                high -= 1
+            if high - low >= MIN_LENGTH:
+                yield from _random_within(text, low, high, count_tokens)
+
+
+def _random_within(text: str, low: int, high: int, count_tokens) -> Iterator[Span]:
+    parts = [p.span() for p in _PART.finditer(text, low, high)]
+    if len(parts) > 1 and _random_run(text, parts, count_tokens):
+        first, last = 0, len(parts)
+        while first < last and _end_word(text[slice(*parts[first])], count_tokens):
+            first += 1
+        while first < last and _end_word(text[slice(*parts[last - 1])], count_tokens):
+            last -= 1
+        if first < last:
+            yield (
+                low if first == 0 else parts[first][0],
+                "random",
+                high if last == len(parts) else parts[last - 1][1],
+            )
+        return
+    for a, b in parts:
+        if len(parts) == 1:
+            # A slash before or behind the only part is one of its characters.
+            span = (low, high)
+        else:
+            span = (a, b)
+        if span[1] - span[0] >= MIN_LENGTH and is_random(text[a:b], count_tokens):
+            yield (span[0], "random", span[1])
 
 
 def _order(span: Span) -> tuple[int, int, int]:
@@ -104,8 +193,8 @@ def secret_spans(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     Places count code points, ends are exclusive. The spans of known forms
     are there in any case; ``random`` ones are strings of at least
     ``MIN_LENGTH`` characters with under ``CHARS_PER_TOKEN`` characters for a
-    token of the vocabulary, which are no digests, UUIDs or identifiers and
-    touch no other span. All rows stay, in one pass without a shuffle. A null
+    token of the vocabulary, or what other spans leave of such a string, which
+    are no digests, UUIDs or identifiers of well-spelled words. All rows stay, in one pass without a shuffle. A null
     or empty text has no spans; other columns are not carried.
     """
     ranks = read_ranks(vocabulary)
