@@ -129,11 +129,13 @@ def apply_edit(
 ) -> tuple[str, Tree, int]:
     """(new text, tree, pre-tokens encoded) after replacing [start, end).
 
-    A pre-token depends on the text from its start to one character beyond
-    its end. So all that end before the character in front of the edit stay;
-    encoding starts with the leaf of that character and stops at the first
-    boundary of pre-tokens that is an old leaf's start behind the edit, as
-    from there on the text is the same.
+    A pre-token depends on the text from its start to two characters beyond
+    its end: a run of white space leaves its last character to what follows,
+    and an apostrophe looks for a short form of two letters. So all that end
+    two characters before the edit stay, and white space that reaches the edit
+    is never among them; encoding starts with the leaf of the second character
+    in front of the edit and stops at the first boundary of pre-tokens that is
+    an old leaf's start behind the edit, as from there on the text is the same.
     """
     length = len(text)
     start = min(max(start, 0), length)
@@ -143,7 +145,7 @@ def apply_edit(
     if not length:
         built = Tree.build(fresh, counter)
         return fresh, built, sum(1 for _ in counter.pieces(fresh))
-    low, at = tree.find(max(start - 1, 0))
+    low, at = tree.find(max(start - 2, 0))
     first_char = at
     # Old leaf starts at or behind the edit's end, one after the other.
     high, behind = (

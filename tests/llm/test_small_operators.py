@@ -47,6 +47,28 @@ def test_edits_keep_counts_exact(coder):
             assert tree.chars[1] == len(text)
 
 
+@pytest.mark.parametrize("run", ["  ", "   ", "\n\n", " \n", "\t ", "'r", "'l"])
+def test_edits_behind_white_space_at_every_leaf_border(coder, run):
+    """Right behind white space (or a short form's start), wherever it is."""
+    counter = token_counts.Counter(read_ranks())
+    for words in range(2, 36):
+        front = " ".join(["a"] * words) + run
+        text = front + "b " + " ".join(["c"] * 20)
+        for back in range(len(run) + 1):
+            start = len(front) - back
+            for end in {start, len(front), len(front) + 1, len(front) + 2}:
+                for insert in ("", " ", "\n", "e", "l", "e "):
+                    if end < start:
+                        continue
+                    tree = token_counts.Tree.build(text, counter)
+                    got, tree, _ = token_counts.apply_edit(
+                        text, tree, start, end, insert, counter
+                    )
+                    assert got == text[:start] + insert + text[end:]
+                    full = token_counts.Tree.build(got, counter).n_tokens
+                    assert tree.n_tokens == full == len(coder.encode_ordinary(got))
+
+
 def test_edits_encode_only_their_surroundings(spark, documents, coder):
     docs = documents([prose(1, 3000), None, "", "short"])
     state = token_counts.build_state(docs)
