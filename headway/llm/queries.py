@@ -12,6 +12,7 @@ from headway.llm import (
     cascade,
     mixing,
     near_dedup,
+    periodic_runs,
     quality,
     secret_scan,
     spotsigs,
@@ -120,6 +121,10 @@ def warc_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return warc.archive_round_trip(spark, table(spark, sf, "pages"))
 
 
+def word_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return periodic_runs.run_digests(table(spark, sf, "documents"))
+
+
 _QUERIES: dict[str, Query] = {
     "op1_secret_scan": secrets,
     "op2_spot_signatures": fingerprints,
@@ -131,6 +136,7 @@ _QUERIES: dict[str, Query] = {
     "op8_mixing_rates": mixing_rates,
     "op9_quality_rules": quality_rules,
     "op10_warc_round_trip": warc_round_trip,
+    "op13_periodic_runs": word_runs,
 }
 
 

@@ -155,9 +155,92 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM placed
 """
 
+
+
+def _checksum(value: str) -> str:
+    """Unsigned CRC-32 of the decimal digits of a number."""
+    return f"""xor(4294967295, list_reduce(
+        list_transform(string_split(CAST({value} AS VARCHAR), ''),
+            lambda c: CAST(ascii(c) AS BIGINT)),
+        lambda so_far, byte: list_reduce(CAST(range(8) AS BIGINT[]),
+            lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384)
+                ELSE x >> 1 END,
+            xor(so_far, byte)),
+        CAST(4294967295 AS BIGINT)))"""
+
+
+_RUNS = f"""
+WITH worded AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS ws,
+        {_checksum("doc_id")} AS h
+    FROM documents
+),
+shaped AS (
+    SELECT doc_id, ws, len(ws) AS n, h % 10 = 0 AND len(ws) > 0 AS planted,
+        CASE WHEN len(ws) > 0 THEN (h // 10) % len(ws) END AS a, h // 10 AS g
+    FROM worded
+),
+changed AS (
+    SELECT doc_id, n, CASE WHEN planted THEN list_transform(range(n), lambda i:
+        ws[1 + CASE WHEN i < a THEN i
+            ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) ELSE ws END AS ws
+    FROM shaped
+),
+placed AS (
+    SELECT doc_id, n, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS i
+    FROM changed
+),
+equal_words AS (
+    SELECT a.doc_id, a.i, b.i - a.i AS q
+    FROM placed a JOIN placed b
+        ON a.doc_id = b.doc_id AND a.w = b.w AND a.i < b.i
+        AND 3 * (b.i - a.i) <= a.n
+),
+numbered AS (
+    SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS stretch
+    FROM equal_words
+),
+stretches AS (
+    SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+    FROM numbered GROUP BY doc_id, q, stretch
+    HAVING count(*) + q >= greatest(24, 3 * q)
+),
+runs AS (
+    SELECT doc_id, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length,
+        CAST(min(q) AS BIGINT) AS period
+    FROM stretches GROUP BY ALL
+),
+best AS (
+    SELECT * FROM runs r
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY
+        (SELECT count(*) FROM runs o WHERE o.doc_id = r.doc_id
+            AND o.length * r.period > r.length * o.period), start, period) = 1
+),
+listed AS (
+    SELECT doc_id, count(*) AS n_runs,
+        string_agg(start || ',' || length || ',' || period || chr(10), ''
+            ORDER BY start, period) AS lines
+    FROM runs GROUP BY doc_id
+),
+dropped AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+),
+collapsed AS (
+    SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS body
+    FROM placed ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, start, length, period,
+    CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+    sha256(coalesce(lines, '')) AS runs_sha256,
+    sha256(coalesce(body, '')) AS collapsed_sha256
+FROM documents LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id)
+    LEFT JOIN collapsed USING (doc_id)
+"""
+
 ORACLES = {
     "op5_near_duplicates": _NEAR,
     "op6_url_filter": _URLS,
     "op9_quality_rules": _RULES,
     "op10_warc_round_trip": _WARC,
+    "op13_periodic_runs": _RUNS,
 }
