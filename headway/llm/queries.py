@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from headway.llm import (
     bpe,
     cascade,
+    license_scan,
     mixing,
     near_dedup,
     periodic_runs,
@@ -121,6 +122,10 @@ def warc_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return warc.archive_round_trip(spark, table(spark, sf, "pages"))
 
 
+def licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.license_labels(spark, table(spark, sf, "documents"))
+
+
 def word_runs(spark: SparkSession, sf: str) -> DataFrame:
     return periodic_runs.run_digests(table(spark, sf, "documents"))
 
@@ -136,6 +141,7 @@ _QUERIES: dict[str, Query] = {
     "op8_mixing_rates": mixing_rates,
     "op9_quality_rules": quality_rules,
     "op10_warc_round_trip": warc_round_trip,
+    "op12_license_scan": licenses,
     "op13_periodic_runs": word_runs,
 }
 

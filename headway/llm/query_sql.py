@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from headway.llm import license_scan
+
 _WORD = r"'[^\x20\x09-\x0D]+'"
 _LOWER = (
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -237,10 +239,79 @@ FROM documents LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id)
     LEFT JOIN collapsed USING (doc_id)
 """
 
+# The templates of the license scan: number, label, width and wording.
+_TEMPLATES = ", ".join(
+    f"({k}, '{t.label}', {license_scan.width_of(t)}, '{t.text.lower()}')"
+    for k, t in enumerate(license_scan.TEMPLATES)
+)
+_SPELLED = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_PHRASES = ", ".join(
+    f"(['{"', '".join(phrase.split())}'], '{label}')"
+    for phrase, label in license_scan.PHRASES
+)
+
+_LICENSES = f"""
+WITH worded AS (
+    SELECT doc_id, regexp_extract_all({_LOWER}, {_SPELLED}) AS ws FROM documents
+),
+phrases(phrase, label) AS (VALUES {_PHRASES}),
+places AS (
+    SELECT doc_id, label, unnest(list_filter(range(len(ws)),
+        lambda i: ws[i + 1:i + len(phrase)] = phrase)) AS place
+    FROM worded, phrases
+),
+base AS (
+    SELECT doc_id, count(*) AS n_base, min(place) AS first_word,
+        max(place) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+    FROM places GROUP BY doc_id
+),
+templates AS (
+    SELECT k, label, width, list_distinct(regexp_extract_all(wording, {_SPELLED})) AS held
+    FROM (VALUES {_TEMPLATES}) t(k, label, width, wording)
+),
+windows AS (
+    SELECT doc_id, width, start, list_distinct(ws[start + 1:start + 2 * width]) AS held
+    FROM (
+        SELECT doc_id, width, ws, unnest(range(0, len(ws), width)) AS start
+        FROM worded, (SELECT DISTINCT width FROM templates)
+    )
+),
+shares AS (
+    SELECT doc_id, width, start, label, len(t.held) AS size,
+        len(list_intersect(w.held, t.held)) AS shared
+    FROM windows w JOIN templates t USING (width)
+),
+links AS (
+    SELECT * FROM shares WHERE 100 * shared >= {license_scan.PERCENT} * size
+),
+named AS (
+    SELECT doc_id, label FROM links
+    QUALIFY shared = max(shared) OVER (PARTITION BY doc_id, width, start)
+    UNION SELECT doc_id, label FROM places
+),
+every AS (
+    SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+    FROM named GROUP BY doc_id
+),
+best AS (
+    SELECT doc_id, max(CAST(shared AS DOUBLE) / size) AS share, count(*) AS n_blocks
+    FROM links GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+    CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+    first_word, last_word, coalesce(b.labels, '') AS base_labels,
+    coalesce(e.labels, '') AS labels,
+    CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0::DOUBLE) END AS score,
+    CAST(coalesce(n_blocks, 0) AS BIGINT) AS n_blocks
+FROM worded LEFT JOIN base b USING (doc_id) LEFT JOIN every e USING (doc_id)
+    LEFT JOIN best USING (doc_id)
+"""
+
 ORACLES = {
     "op5_near_duplicates": _NEAR,
     "op6_url_filter": _URLS,
     "op9_quality_rules": _RULES,
     "op10_warc_round_trip": _WARC,
+    "op12_license_scan": _LICENSES,
     "op13_periodic_runs": _RUNS,
 }
