@@ -14,6 +14,7 @@ from headway.llm import (
     mixing,
     near_dedup,
     periodic_runs,
+    prefix_trie,
     quality,
     secret_scan,
     spotsigs,
@@ -122,6 +123,10 @@ def warc_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return warc.archive_round_trip(spark, table(spark, sf, "pages"))
 
 
+def conversation_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.rebuilt_nodes(spark, table(spark, sf, "conversations"))
+
+
 def licenses(spark: SparkSession, sf: str) -> DataFrame:
     return license_scan.license_labels(spark, table(spark, sf, "documents"))
 
@@ -141,6 +146,7 @@ _QUERIES: dict[str, Query] = {
     "op8_mixing_rates": mixing_rates,
     "op9_quality_rules": quality_rules,
     "op10_warc_round_trip": warc_round_trip,
+    "op11_prefix_trie": conversation_trie,
     "op12_license_scan": licenses,
     "op13_periodic_runs": word_runs,
 }

@@ -239,6 +239,76 @@ FROM documents LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id)
     LEFT JOIN collapsed USING (doc_id)
 """
 
+_TRIE = f"""
+WITH turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id
+            ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) - 1 AS i,
+        coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (
+    SELECT DISTINCT conv_id, {_checksum("conv_id")} % 4 AS h,
+        conv_id - conv_id % 20 AS base
+    FROM turns
+),
+rebuilt AS (
+    SELECT c.conv_id, -1 AS own, t.i, t.role, t.text
+    FROM convs c JOIN turns t ON t.conv_id = c.base AND t.i < c.h
+    UNION ALL
+    SELECT c.conv_id, 0, t.i, t.role, t.text
+    FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.i >= c.h
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY own, i) AS depth,
+        {{'role': role, 'text': text}} AS said,
+        len(regexp_extract_all(text, {_WORD})) AS words
+    FROM rebuilt
+),
+prefixes AS (
+    SELECT conv_id, depth, words, list(said) OVER (PARTITION BY conv_id
+            ORDER BY depth ROWS UNBOUNDED PRECEDING) AS said
+    FROM placed
+    UNION ALL
+    SELECT conv_id, 0, 0, [] FROM convs
+),
+named AS (
+    SELECT *, min(conv_id) OVER (PARTITION BY said) AS node,
+        depth = max(depth) OVER (PARTITION BY conv_id) AS ends
+    FROM prefixes
+),
+nodes AS (
+    SELECT node, depth, count(*) AS n_convs, max(words) AS words,
+        sha256(coalesce(string_agg(CASE WHEN ends THEN conv_id END, ','
+            ORDER BY conv_id), '')) AS ends_sha256
+    FROM named GROUP BY node, depth
+),
+ways AS (
+    SELECT DISTINCT low.node, low.depth, up.node AS up, up.depth AS up_depth
+    FROM named low JOIN named up ON up.conv_id = low.node AND up.depth <= low.depth
+    WHERE low.conv_id = low.node
+),
+parents AS (
+    SELECT w.node, w.depth, w.up AS parent FROM ways w WHERE w.up_depth = w.depth - 1
+),
+children AS (
+    SELECT parent AS node, depth - 1 AS depth, count(*) AS n_children
+    FROM parents GROUP BY ALL
+),
+sums AS (
+    SELECT w.up AS node, w.up_depth AS depth,
+        count(*) FILTER (c.n_children IS NULL) AS n_leaves,
+        sum((n.n_convs - 1) * n.words) AS saved
+    FROM ways w JOIN nodes n USING (node, depth)
+        LEFT JOIN children c USING (node, depth)
+    GROUP BY ALL
+)
+SELECT n.node AS conv_id, n.depth, p.parent AS parent_conv_id, n_convs,
+    coalesce(n_children, 0) AS n_children, n_leaves,
+    CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
+FROM nodes n JOIN sums USING (node, depth) LEFT JOIN parents p USING (node, depth)
+    LEFT JOIN children USING (node, depth)
+"""
+
 # The templates of the license scan: number, label, width and wording.
 _TEMPLATES = ", ".join(
     f"({k}, '{t.label}', {license_scan.width_of(t)}, '{t.text.lower()}')"
@@ -312,6 +382,7 @@ ORACLES = {
     "op6_url_filter": _URLS,
     "op9_quality_rules": _RULES,
     "op10_warc_round_trip": _WARC,
+    "op11_prefix_trie": _TRIE,
     "op12_license_scan": _LICENSES,
     "op13_periodic_runs": _RUNS,
 }

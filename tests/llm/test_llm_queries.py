@@ -39,7 +39,7 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_each_operator_is_registered_once():
     numbers = sorted(int(n[2:].split("_")[0]) for n in registered())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert driver.queries().keys() > registered().keys() | {"pipeline"}
 
 
