@@ -151,6 +151,9 @@ def shared_starts(spark: SparkSession, turns: DataFrame) -> DataFrame:
     lengths = convs.join(
         lent.groupBy("conv_id").agg(F.count(F.lit(1)).alias("lent")), "conv_id", "left"
     ).select("conv_id", "h", F.coalesce("lent", F.lit(0)).alias("lent"))
+    # Written, as adaptive execution splits a join's hot keys only where both
+    # sides come straight from a shuffle. So are the tables of ``rollup``.
+    lengths = keep(spark, lengths, "lengths")
     own = (
         turns.join(lengths, "conv_id")
         .where("i >= h")
@@ -311,7 +314,8 @@ def rollup(
     cuts = None
     place = ["round", "top", "top_depth"]
     for round_ in itertools.count():
-        cut = keep(spark, _cut(live, ways), "cut")
+        chosen = keep(spark, _chosen(live), "chosen")
+        cut = keep(spark, _cut(live, chosen, ways), "cut")
         mine = cut.withColumn("round", F.lit(round_))
         cuts = mine if cuts is None else cuts.unionAll(mine)
         live = cut.where("NOT chosen").select(
@@ -329,28 +333,23 @@ def rollup(
         if live.isEmpty():
             break
     sums = [F.sum(c).alias(c) for c in columns]
-    totals = cuts.where("below").groupBy(*place).agg(*sums)
+    totals = keep(spark, cuts.where("below").groupBy(*place).agg(*sums), "totals")
     added = cuts.where("on_path").select("conv_id", "depth", *place).join(totals, place)
     return added.groupBy("conv_id", "depth").agg(*sums)
 
 
-def _cut(live: DataFrame, ways: DataFrame) -> DataFrame:
-    """The rows of all components, and where they lie to the chosen node.
+def _chosen(live: DataFrame) -> DataFrame:
+    """The node to cut at of each component.
 
-    ``on_path``: from the chosen node up to the top; ``below``: in its subtree,
-    itself included; ``branch``: the child of the chosen node above the row.
+    The lightest node of the heaviest power of two: two subtrees of that power
+    would weigh the next one, so its holders are one path, and all that the
+    last of them cuts off weighs less.
     """
-    # The lightest node of the heaviest power of two. Two subtrees of that
-    # power would weigh the next one, so its holders are one path, and all
-    # that the last of them cuts off weighs less.
     power = F.length(F.bin("weight"))
-    chosen = (
+    lightest = F.struct(power, (-F.col("weight")).alias("minus"), "conv_id", "depth")
+    return (
         live.groupBy("top", "top_depth")
-        .agg(
-            F.max(
-                F.struct(power, (-F.col("weight")).alias("minus"), "conv_id", "depth")
-            ).alias("c")
-        )
+        .agg(F.max(lightest).alias("c"))
         .select(
             "top",
             "top_depth",
@@ -359,6 +358,14 @@ def _cut(live: DataFrame, ways: DataFrame) -> DataFrame:
             (-F.col("c.minus")).alias("cut_weight"),
         )
     )
+
+
+def _cut(live: DataFrame, chosen: DataFrame, ways: DataFrame) -> DataFrame:
+    """The rows of all components, and where they lie to the chosen node.
+
+    ``on_path``: from the chosen node up to the top; ``below``: in its subtree,
+    itself included; ``branch``: the child of the chosen node above the row.
+    """
     own, cut = F.col("conv_id"), F.col("cut")
     deeper = F.col("depth") > F.col("cut_depth")
     # A node's members are among its parent's, so the smallest never gets
