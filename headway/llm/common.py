@@ -13,8 +13,12 @@ from pyspark.sql import functions as F
 from headway.session import scratch_dir
 
 # Bytes of text handled at once in a Python worker. A longer single document
-# is handled alone.
-SLICE_BYTES = 1 << 20
+# is handled alone. Working arrays take some sixty times as much.
+SLICE_BYTES = 1 << 18
+
+# Rows of whole texts that pass to a Python worker at once. Spark's own 10,000
+# are tens of megabytes of text in the JVM and again in each worker.
+BATCH_ROWS = 1_000
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -24,6 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let the session pass texts to Python in batches of bounded size."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def keep(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write a DataFrame to the shared scratch folder and read it back.
 

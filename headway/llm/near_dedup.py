@@ -46,11 +46,16 @@ _SAMPLE_KEYS = mix(np.arange(10**6, 10**6 + SAMPLES, dtype=np.uint64))
 _CHAIN = np.uint64(0xD6E8FEB86659FD93)
 
 SIGNATURE = (
-    "doc_id long, n_shingles long, digest binary, "
+    "doc_id long, text_key binary, n_shingles long, digest binary, "
     "sketch array<long>, bands array<long>"
 )
 
 
+def text_key(text: Column) -> Column:
+    """Names a text, null like the empty one."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
     """For each text its sorted set of hashed word shingles.
 
@@ -58,23 +63,33 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
     fewer than ``size`` words has its whole sequence as one shingle; one
     without words (or null) has none.
     """
-    for _, _, data, offsets in slices(*text_buffers(column)):
+    for _, _, sets in sliced_sets(column, size):
+        yield from sets
+
+
+def sliced_sets(
+    column: pa.Array, size: int
+) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    """(first row, end row, sets) of runs of texts of bounded size."""
+    for start, end, data, offsets in slices(*text_buffers(column)):
         words, first = word_hashes(data, offsets, WORD_BYTES)
         whole = max(0, len(words) - size + 1)
         chains = words[:whole].copy()
         for j in range(1, size):
             chains = chains * _CHAIN + words[j : whole + j]
         chains = mix(chains)
+        sets = []
         for low, high in zip(first[:-1], first[1:]):
             if high - low >= size:
-                yield np.unique(chains[low : high - size + 1])
+                sets.append(np.unique(chains[low : high - size + 1]))
             elif high > low:
                 value = words[low : low + 1]
                 for j in range(low + 1, high):
                     value = value * _CHAIN + words[j : j + 1]
-                yield mix(value + np.uint64(high - low))
+                sets.append(mix(value + np.uint64(high - low)))
             else:
-                yield chains[:0]
+                sets.append(chains[:0])
+        yield start, end, sets
 
 
 def min_hashes(shingles: np.ndarray) -> np.ndarray:
@@ -112,40 +127,42 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, sketches, bands, ends = [], [], [], [], []
-            for shingles in shingle_sets(batch.column(1), size):
-                sizes.append(len(shingles))
-                if len(shingles):
-                    digests.append(
-                        hashlib.blake2b(
-                            shingles.tobytes(), digest_size=16
-                        ).digest()
-                    )
-                    samples = min_hashes(shingles)
-                    sketches.append(odd_sketch(samples))
-                    bands.append(band_keys(samples))
-                else:
-                    digests.append(None)
-                ends.append(len(bands))
-            ends = np.array(ends, np.int64)
-            none = np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(digests, pa.binary()),
-                    lists(
-                        np.concatenate([none, *sketches]),
-                        ends * SKETCH_WORDS,
-                        pa.int64(),
-                    ),
-                    lists(np.concatenate([none, *bands]), ends * BANDS, pa.int64()),
-                ],
-                ["doc_id", "n_shingles", "digest", "sketch", "bands"],
-            )
+            for low, high, sets in sliced_sets(batch.column(2), size):
+                yield signed(batch.slice(low, high - low), sets)
+
+    def signed(rows: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
+        digests, sketches, bands, ends = [], [], [], []
+        for shingles in sets:
+            if len(shingles):
+                digests.append(
+                    hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+                )
+                samples = min_hashes(shingles)
+                sketches.append(odd_sketch(samples))
+                bands.append(band_keys(samples))
+            else:
+                digests.append(None)
+            ends.append(len(bands))
+        ends = np.array(ends, np.int64)
+        none = np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays(
+            [
+                rows.column(0),
+                rows.column(1),
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array(digests, pa.binary()),
+                lists(
+                    np.concatenate([none, *sketches]), ends * SKETCH_WORDS, pa.int64()
+                ),
+                lists(np.concatenate([none, *bands]), ends * BANDS, pa.int64()),
+            ],
+            ["doc_id", "text_key", "n_shingles", "digest", "sketch", "bands"],
+        )
 
     return docs.select(
-        F.col("doc_id").cast("long"), F.col("text").cast("string")
+        F.col("doc_id").cast("long"),
+        text_key(F.col("text")).alias("text_key"),
+        F.col("text").cast("string"),
     ).mapInArrow(sign, SIGNATURE)
 
 
@@ -154,13 +171,14 @@ def hashed_sets(docs: DataFrame, size: int) -> DataFrame:
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = list(shingle_sets(batch.column(1), size))
-            ends = np.cumsum([len(s) for s in sets], dtype=np.int64)
-            flat = np.concatenate([np.zeros(0, np.uint64), *sets])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), lists(flat.view(np.int64), ends, pa.int64())],
-                ["doc_id", "shingles"],
-            )
+            for low, high, sets in sliced_sets(batch.column(1), size):
+                ends = np.cumsum([len(s) for s in sets], dtype=np.int64)
+                flat = np.concatenate([np.zeros(0, np.uint64), *sets])
+                ids = batch.column(0).slice(low, high - low)
+                yield pa.RecordBatch.from_arrays(
+                    [ids, lists(flat.view(np.int64), ends, pa.int64())],
+                    ["doc_id", "shingles"],
+                )
 
     return docs.select(
         F.col("doc_id").cast("long"), F.col("text").cast("string")
@@ -175,7 +193,7 @@ def near_groups(
     Rows are linked when their sets of ``size``-word shingles have a Jaccard
     similarity of at least ``percent`` / 100; ``component_id`` is the
     smallest id reachable over links and ``kept`` marks the row that has it.
-Equal sets are folded into one representative first.
+    Equal sets are folded into one representative first.
     In each band's bucket all representatives are compared with the bucket's
     smallest, and the confirmed links joined into components; a bucket whose
     members are then in one component needs no more. The members of the other
@@ -184,25 +202,42 @@ Equal sets are folded into one representative first.
     Pairs pass the odd sketches before their full sets are compared.
 
     Rows without words are alone in their component. Rows without an id have
-    no component and are kept. Repeated rows get equal results. Other
-    columns are ignored. Banding is made for ``percent`` of 80 or more.
+    no component and are kept. Repeated rows get equal results; rows of one id
+    with other texts are texts like others, whose links are their own. An empty
+    table gives none. Other columns are ignored. Banding is made for ``percent``
+    of 80 or more. Texts are read whole, in time in proportion to their length.
+    """
+    return grouped(spark, docs, size, percent).drop("text_key", "label")
+
+
+def grouped(
+    spark: SparkSession, docs: DataFrame, size: int, percent: int
+) -> DataFrame:
+    """``near_groups`` with the key of each row's text and its group's label.
+
+    Groups that have the same smallest id are still told apart by their label;
+    rows without words or id have none.
     """
     signed = keep(spark, signatures(docs, size), "signatures")
+    # One row for each distinct set, under a number of its own, as an id may
+    # come with several texts. Numbers follow the ids, so the centre of a star
+    # is the oldest text, of which the others are likelier copies than of one
+    # another.
     folded = keep(
         spark,
         signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("rep")),
+        .agg(F.min(F.struct("doc_id", "text_key")).alias("head"))
+        .select("digest", "head.doc_id", "head.text_key")
+        .orderBy("doc_id", "text_key", "digest")
+        .withColumn("rep", F.monotonically_increasing_id()),
         "folded",
     )
-    heads = signed.join(
-        folded.select("digest", F.col("rep").alias("doc_id")),
-        ["digest", "doc_id"],
-        "left_semi",
-    ).dropDuplicates(["doc_id", "digest"])
     heads = keep(
         spark,
-        heads.select(F.col("doc_id").alias("rep"), "n_shingles", "sketch", "bands"),
+        signed.join(folded, ["digest", "doc_id", "text_key"])
+        .select("rep", "n_shingles", "sketch", "bands")
+        .dropDuplicates(["rep"]),
         "heads",
     )
     sketches = heads.select("rep", "n_shingles", "sketch")
@@ -214,7 +249,8 @@ Equal sets are folded into one representative first.
         .select("bucket")
     )
     crowded = keep(spark, spread.join(shared, "bucket"), "crowded")
-    sets = _sets_of(spark, docs, crowded.select("rep").distinct(), size)
+    wanted = folded.join(crowded.select("rep").distinct(), "rep", "left_semi")
+    sets = _sets_of(spark, docs, wanted.drop("digest"), size)
 
     stars = crowded.join(
         crowded.groupBy("bucket").agg(F.min("rep").alias("least")), "bucket"
@@ -235,15 +271,20 @@ Equal sets are folded into one representative first.
         .select("bucket")
     )
     members = placed.join(still_open, "bucket").select("rep", "label").distinct()
-    rest = prefix_pairs(spark, sets.join(members, "rep"), percent)
+    rest = prefix_pairs(sets.join(members, "rep"), percent)
     found = keep(spark, _similar(spark, rest, sketches, sets, percent), "rest")
     if not found.isEmpty():
         labels = components(spark, links.unionAll(found))
 
-    named = folded.join(
+    linked = folded.join(
         labels.withColumnRenamed("node", "rep"), "rep", "left"
-    ).select("digest", F.coalesce("label", "rep").alias("component"))
-    placed = signed.select("doc_id", "n_shingles", "digest").join(
+    ).select("digest", "doc_id", F.coalesce("label", "rep").alias("label"))
+    linked = keep(spark, linked, "linked")
+    smallest = linked.groupBy("label").agg(F.min("doc_id").alias("component"))
+    named = linked.join(keep(spark, smallest, "smallest"), "label").select(
+        "digest", "label", "component"
+    )
+    placed = signed.select("doc_id", "text_key", "n_shingles", "digest").join(
         named, "digest", "left"
     )
     component = F.when(
@@ -251,6 +292,8 @@ Equal sets are folded into one representative first.
     )
     return placed.select(
         "doc_id",
+        "text_key",
+        "label",
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
@@ -260,41 +303,42 @@ Equal sets are folded into one representative first.
 def _sets_of(
     spark: SparkSession, docs: DataFrame, wanted: DataFrame, size: int
 ) -> DataFrame:
-    """(rep, shingles) of the wanted documents.
+    """(rep, shingles) of the wanted (doc_id, text_key, rep).
 
     A Bloom filter of bounded size keeps most other texts from the shuffle.
     """
-    wanted = keep(spark, wanted.withColumnRenamed("rep", "doc_id"), "wanted")
+    entry = F.xxhash64("doc_id", "text_key")
+    wanted = keep(spark, wanted.withColumn("entry", entry), "wanted")
     blocks = block_count(wanted.count())
-    bloom = keep(spark, blocked_bloom(wanted, "doc_id", blocks), "bloom")
+    bloom = keep(spark, blocked_bloom(wanted, "entry", blocks), "bloom")
     texts = docs.select(
-        F.col("doc_id").cast("long"), F.col("text").cast("string")
+        F.col("doc_id").cast("long"),
+        text_key(F.col("text")).alias("text_key"),
+        F.col("text").cast("string"),
     )
-    likely = probed(texts, F.col("doc_id"), bloom, blocks).where("_possible")
-    sets = hashed_sets(likely.join(wanted, "doc_id", "left_semi"), size)
+    likely = probed(texts, entry, bloom, blocks).where("_possible")
+    named = likely.join(wanted.drop("entry"), ["doc_id", "text_key"])
+    sets = hashed_sets(named.select(F.col("rep").alias("doc_id"), "text"), size)
     return keep(
-        spark,
-        sets.withColumnRenamed("doc_id", "rep").dropDuplicates(["rep", "shingles"]),
-        "sets",
+        spark, sets.withColumnRenamed("doc_id", "rep").dropDuplicates(["rep"]), "sets"
     )
 
 
-# Sizes within this ratio are one class.
-CLASS_RATIO = 1.02
-
-
-def prefix_pairs(spark: SparkSession, sets: DataFrame, percent: int) -> DataFrame:
+def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b), a < b, of different labels that may be similar enough.
 
     ``sets`` has ``rep``, ``label`` and ``shingles``. Two sets of n and m
     shingles at the wanted similarity share at least
     k = percent * (n + m) / (100 + percent) of them. Where each has its
     shingles in the same order, the rarest first, they share one among the
-    first n - k + 1 and m - k + 1. Sets are put in classes of nearly equal
-    size, and for each pair of classes k has a lower bound; a pair's own k and
-    the places of the shingle where they meet then decide. So variants of one
-    text meet only in shingles that few of them have; a shingle whose holders
-    all have one label is left out before anything is paired.
+    first n - k + 1 and m - k + 1. The smaller m, the longer that prefix; a
+    set is listed once, under its prefix for the smallest m that can be
+    similar, and a pair's own sizes and the places of the shingle where they
+    meet decide in the join. Size classes whose ratio is that of the sizes
+    which can be similar keep others apart: partners are in one class or in
+    neighbours. A shingle whose holders all have one label is left out before
+    anything is paired, so variants of one text meet only in shingles that few
+    of them have.
     """
     each = sets.select("rep", "label", F.size("shingles").alias("n"), "shingles")
     spread = each.select("rep", "n", F.explode("shingles").alias("shingle"))
@@ -305,63 +349,42 @@ def prefix_pairs(spark: SparkSession, sets: DataFrame, percent: int) -> DataFram
         .agg(F.array_sort(F.collect_list(F.struct("uses", "shingle"))).alias("order"))
     )
     labels = each.select("rep", "label").distinct()
-    log_ratio = math.log(CLASS_RATIO)
-    reach = math.ceil(math.log(100 / percent) / log_ratio) + 1
-
-    def least_size(size_class: Column) -> Column:
-        return F.greatest(F.floor(F.exp(size_class * log_ratio) - 1e-6), F.lit(1))
-
-    own = F.floor(F.log("n") / log_ratio + 1e-9).cast("int")
-    shares = F.lit(percent / (100 + percent))
-    overlap = F.ceil(
-        shares * (least_size(F.col("own")) + least_size(F.col("other"))) - 1e-6
+    # With m at its least, n * percent / 100, k is that too.
+    prefix = F.col("n") - F.ceil(F.col("n") * (percent / 100) - 1e-6) + 1
+    # Neighbouring classes overlap a little, so that rounding loses none.
+    ratio = math.log(100 / percent) + 1e-9
+    listed = ordered.join(labels, "rep").select(
+        "rep",
+        "label",
+        "n",
+        F.floor(F.log("n") / ratio).cast("int").alias("sizes"),
+        F.posexplode(F.slice("order", F.lit(1), prefix.cast("int"))["shingle"]).alias(
+            "at", "shingle"
+        ),
     )
-    classed = (
-        ordered.join(labels, "rep")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.col("own") - reach, F.col("own") + reach)))
-        .where("other >= 0")
-        .withColumn("reach", (F.col("n") - overlap + 1).cast("int"))
-        .where("reach > 0")
-        .select(
-            "rep",
-            "label",
-            "own",
-            "n",
-            F.least("own", "other").alias("low"),
-            F.greatest("own", "other").alias("high"),
-            F.posexplode(F.slice("order", F.lit(1), F.col("reach"))["shingle"]).alias(
-                "at", "shingle"
-            ),
-        )
-    )
-    place = ["low", "high", "shingle"]
     open_ = (
-        classed.groupBy(*place)
+        listed.groupBy("shingle")
         .agg(F.min("label").alias("least"), F.max("label").alias("most"))
         .where("least < most")
-        .select(*place)
+        .select("shingle")
     )
-    held = keep(spark, classed.join(open_, place), "prefixes")
+    held = listed.join(open_, "shingle")
     others = held.select(
-        *place,
-        F.col("rep").alias("other"),
-        F.col("label").alias("other_label"),
-        F.col("own").alias("other_own"),
-        F.col("n").alias("other_n"),
-        F.col("at").alias("other_at"),
+        "shingle",
+        *[F.col(c).alias(f"other_{c}") for c in ("rep", "label", "n", "sizes", "at")],
     )
     # Behind the first shingle that two sets share, the shorter rest bounds
     # what else they can.
     bound = F.least(F.col("n") - F.col("at"), F.col("other_n") - F.col("other_at"))
     enough = (100 + percent) * bound >= percent * (F.col("n") + F.col("other_n"))
-    # A pair of classes holds its two sides; one class holds both.
-    sides = (F.col("own") != F.col("other_own")) | (F.col("low") == F.col("high"))
+    near = F.explode(F.array(F.col("sizes") - 1, F.col("sizes"), F.col("sizes") + 1))
     return (
-        held.join(others, place)
-        .where((F.col("label") < F.col("other_label")) & sides & enough)
+        held.withColumn("other_sizes", near)
+        .join(others, ["shingle", "other_sizes"])
+        .where((F.col("label") < F.col("other_label")) & enough)
         .select(
-            F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")
+            F.least("rep", "other_rep").alias("a"),
+            F.greatest("rep", "other_rep").alias("b"),
         )
     )
 
@@ -418,16 +441,43 @@ def near_dedup(
 ) -> DataFrame:
     """The rows of ``docs`` of which each group keeps the smallest id.
 
-    Rows that repeat an id are one document; the row with the least text
-    stays. Rows without an id stay.
+    Texts decide, not ids: of rows with one id and unlike texts, each is judged
+    by its own group. Of rows with one id in one group (repeated rows, or texts
+    that are near one another) the one with the least text stays, and of equal
+    rows without words one. Rows without an id stay. An empty table stays empty;
+    other columns are kept, whatever their names.
     """
-    groups = near_groups(spark, docs, size, percent)
-    gone = groups.where("NOT kept").select("doc_id").distinct()
-    staying = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti")
+    verdicts = grouped(spark, docs, size, percent).where("doc_id IS NOT NULL")
+    verdicts = verdicts.select("doc_id", "text_key", "label", "kept")
+    # Wordless texts are in no group but that of their equals.
+    place = ["doc_id", "label", F.when(F.col("label").isNull(), F.col("text_key"))]
+    again = F.count(F.lit(1)).over(Window.partitionBy(*place)) > 1
+    doubtful = keep(
+        spark,
+        verdicts.withColumn("again", F.col("kept") & again)
+        .where("again OR NOT kept")
+        .distinct()
+        .withColumn("entry", F.xxhash64("doc_id", "text_key")),
+        "verdicts",
+    )
+    # Nearly all other texts are kept from the shuffle by a filter.
+    blocks = block_count(doubtful.count())
+    bloom = keep(spark, blocked_bloom(doubtful, "entry", blocks), "bloom")
     names = neutral(docs.columns)
-    own = select_as(staying, names)
-    order = Window.partitionBy(names["doc_id"]).orderBy(
+    own = select_as(docs, names)
+    doc_id, text = F.col(names["doc_id"]).cast("long"), F.col(names["text"])
+    own = own.withColumn("doc_id", doc_id).withColumn("text_key", text_key(text))
+    entry = F.xxhash64("doc_id", "text_key")
+    judged = probed(own, entry, bloom, blocks)
+    likely = judged.where("_possible AND doc_id IS NOT NULL")
+    clear = judged.where("NOT _possible OR doc_id IS NULL").select(*names.values())
+    met = likely.join(doubtful.drop("entry"), ["doc_id", "text_key"], "left")
+    order = Window.partitionBy(*place).orderBy(
         names["text"], *[n for n in names.values() if n != names["text"]]
     )
-    first = own.withColumn("place", F.row_number().over(order)).where("place = 1")
-    return select_back(first, names).unionByName(docs.where("doc_id IS NULL"))
+    once = met.where("again").withColumn("nth", F.row_number().over(order))
+    rest = met.where("kept IS NULL").select(*names.values())
+    staying = clear.unionAll(rest).unionAll(
+        once.where("nth = 1").select(*names.values())
+    )
+    return select_back(staying, names)

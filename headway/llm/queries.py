@@ -22,7 +22,7 @@ from headway.llm import (
     url_filter,
     warc,
 )
-from headway.llm.common import table
+from headway.llm.common import bounded_batches, table
 from headway.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,6 +155,7 @@ _QUERIES: dict[str, Query] = {
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
+        bounded_batches(spark)
         return query(spark, sf_dir)
 
     return run

@@ -99,6 +99,76 @@ def test_dedup_keeps_one_of_each_group(spark, documents):
     assert sorted(kept.select("doc_id").toPandas()["doc_id"].fillna(-1)) == [-1, 2, 7, 9]
 
 
+def brute_dedup(rows):
+    """Rows by position: one a group and id, by its least text."""
+    sets = [brute_sets(t, 5) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    withid = [i for i, (doc_id, _) in enumerate(rows) if doc_id is not None]
+    for i in withid:
+        for j in withid:
+            both, union = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            equal = not union and (rows[i][1] or "") == (rows[j][1] or "") and rows[i][0] == rows[j][0]
+            if equal or (union and 100 * both >= 80 * union):
+                parent[root(i)] = root(j)
+    groups = {}
+    for i in withid:
+        groups.setdefault(root(i), []).append(rows[i])
+    out = [rows[i] for i in range(len(rows)) if rows[i][0] is None]
+    for members in groups.values():
+        least = min(doc_id for doc_id, _ in members)
+        out.append(min(
+            (r for r in members if r[0] == least), key=lambda r: (r[1] is not None, r[1] or "")
+        ))
+    return sorted(map(repr, out))
+
+
+def test_texts_decide_and_not_ids(spark, documents):
+    a, b = prose(41, 70), prose(42, 70)
+    rows = [(1, a), (5, a), (5, b), (5, b), (5, b + " more")]
+    rows += [(8, ""), (8, None), (8, ""), (9, "x"), (9, "X"), (9, "y"), (None, a), (None, a)]
+    rows += [(i % 7, edited(prose(50 + i % 4, 60), i, i % 3)) for i in range(40)]
+    random.Random(6).shuffle(rows)
+    docs = documents(rows).drop("lang", "source", "n_chars")
+    docs = docs.select("*", F.lit(1).alias("group"), F.lit(2).alias("kept"), F.lit(3).alias("again"))
+    kept = near_dedup.near_dedup(spark, docs)
+    assert kept.columns == docs.columns
+    got = sorted(repr((r.doc_id, r.text)) for r in kept.collect())
+    assert got == brute_dedup(rows)
+    assert repr((5, b)) in got and repr((1, a)) in got
+
+
+def test_pairs_of_very_unlike_sizes_and_at_the_threshold(spark):
+    """Every pair at the threshold is among the prefix pairs."""
+    rng = random.Random(12)
+    sets = []
+    for n in (1, 2, 4, 5, 9, 10, 40, 45, 50, 100, 125):
+        for _ in range(4):
+            base = [rng.randrange(10**6) for _ in range(n)]
+            sets.append(base)
+            sets.append(base[: n - n // 10] + [rng.randrange(10**6) for _ in range(n // 10)])
+            sets.append(base[: -(-n * 8 // 10)])
+    rows = [(i, i, sorted(set(s))) for i, s in enumerate(sets)]
+    table = spark.createDataFrame(rows, "rep long, label long, shingles array<long>")
+    got = {tuple(r) for r in near_dedup.prefix_pairs(table, 80).collect()}
+    for i, _, x in rows:
+        for j, _, y in rows[:i]:
+            both = len(set(x) & set(y))
+            if 100 * both >= 80 * (len(x) + len(y) - both):
+                assert (j, i) in got
+
+
+def test_texts_of_a_million_characters(spark, documents):
+    texts = ["x" * 10**6, prose(3, 150_000), prose(3, 150_000) + " end", "y " * 500_000]
+    got = near_dedup.near_groups(spark, documents(texts), 2).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(0, 0), (1, 1), (2, 1), (3, 3)]
+
+
 def test_empty_table(spark, documents):
     assert near_dedup.near_groups(spark, documents([]), 2).count() == 0
     assert near_dedup.near_dedup(spark, documents([])).count() == 0
