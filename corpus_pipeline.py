@@ -11,16 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm import bpe, mixing, near_dedup, quality, secret_scan
-from headway.llm.common import keep, table
+from headway.llm.common import bounded_batches, keep, table
 from headway.session import ship_package
 
 # The share of tokens that each domain should have.
 TARGETS = mixing.TARGETS
 
 
+def _ready(spark: SparkSession) -> None:
+    """What the stages' Python steps need of a session."""
+    ship_package(spark)
+    bounded_batches(spark)
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, with its site's evidence, keeps."""
-    ship_package(spark)
+    _ready(spark)
     scored = quality.score(spark, docs, table(spark, sf_dir, "labels"))
     return scored.where("kept").select(*docs.columns)
 
@@ -28,13 +34,13 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group alike in at least 0.8 of its five-word
     shingles: the one with the smallest id."""
-    ship_package(spark)
+    _ready(spark)
     return near_dedup.near_dedup(spark, docs, size=5, percent=80)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the secrets in their texts replaced."""
-    ship_package(spark)
+    _ready(spark)
     return secret_scan.redact(docs)
 
 
@@ -44,7 +50,7 @@ def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Copies have the rates as their means, so that the shares are kept, and
     clean documents have rates of one or more, so that all of them stay.
     """
-    ship_package(spark)
+    _ready(spark)
     mixed = mixing.mix(spark, docs, table(spark, sf_dir, "labels"), TARGETS)
     copies = F.sequence(F.lit(1).cast("long"), F.col("copies"))
     return (
@@ -56,7 +62,7 @@ def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids, and whether these decode to them."""
-    ship_package(spark)
+    _ready(spark)
     ranks = bpe.read_ranks()
     coded = bpe.decode(bpe.encode(spark, docs, ranks), ranks)
     return coded.withColumn(
