@@ -20,6 +20,7 @@ from headway.session import conf, side_by_side
 from headway.store import Store, partition_dir
 from headway.swap import Step, new_staging, recover, swap
 from headway.tables import (
+    MERGED_PREFIX,
     partition_values,
     read_table,
     table_path,
@@ -34,7 +35,7 @@ TARGET_BYTES = 128 * 1024 * 1024
 FAN_IN = 3
 _FILE_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
-_MERGED = f"{LOAD_ID}=merged-"
+_MERGED = f"{LOAD_ID}={MERGED_PREFIX}"
 _POLL = re.compile(rf"{LOAD_ID}=poll-(.+)-(\d{{12}})")
 
 
@@ -138,7 +139,7 @@ def compact_table(
         spark.read.schema(spec.stored_schema)
         .option("basePath", path)
         .parquet(*[f"{path}/{folder}" for folder in remove])
-        .withColumn(LOAD_ID, F.lit(f"merged-{run}"))
+        .withColumn(LOAD_ID, F.lit(f"{MERGED_PREFIX}{run}"))
     )
     try:
         with conf(spark, {_FILE_SIZE: str(target_bytes)}):
