@@ -127,6 +127,22 @@ def stop_time_updates_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(rows, RAW["stop_time_updates"].schema)
 
 
+def january_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as stop updates of January 2024, polled within their date."""
+    rows = stop_time_updates_raw(spark, sf_dir)
+    day = F.concat(F.lit("202401"), F.date_format("poll_time", "dd"))
+    order = F.col("trip_id").cast("bigint") * 7919
+    second = (order + F.col("stop_sequence") * 613) % 86400
+    midnight = F.unix_seconds(F.to_timestamp(day, "yyyyMMdd"))
+    return rows.withColumns(
+        {
+            "start_date": day,
+            "poll_time": F.timestamp_seconds(midnight + second),
+            "route_id": F.concat(F.lit("J"), F.col("stop_sequence") % 2),
+        }
+    )
+
+
 def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as trip states."""
     placed = F.col("o_orderdate").cast("timestamp")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +34,9 @@ from headway.sources.archive import FeedInfo, extract_lines, stamp, typed
 from headway.sources.feed import decode
 from headway.plans.static import prepare, run_static
 from headway.sources.ledger import Ledger
+from headway.streaming.incremental import run_incremental
+from headway.streaming.layer import late_spec, run_layer
+from headway.streaming.monitor import MetricsListener, ingest_metrics, watch_raw
 from headway.streaming.realtime import (
     IngestCounts,
     ingest_landed,
@@ -46,6 +49,7 @@ from headway.tables import (
     read_table,
     replace_dates,
     replace_version,
+    table_exists,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -326,6 +330,104 @@ def _daily_job(spark: SparkSession, sf: str) -> DataFrame:
     return _in_one(spark, processed, PROCESSED.values())
 
 
+def _land_out_of_order(
+    spark: SparkSession,
+    sf: str,
+    raw: str,
+    drain: Callable[[], object],
+    wanted: Iterable[str] = RAW,
+) -> None:
+    """Land raw tables in parts by poll time, and drain after each part.
+
+    Every tenth row, by its number, comes one part later than its time says.
+    """
+    positions = A.vehicle_positions_raw(spark, sf)
+    tables = {
+        "vehicle_positions": (positions, "label"),
+        "trip_updates": (A.trip_updates_raw(spark, sf), "label"),
+        "stop_time_updates": (A.january_stops(spark, sf), "trip_id"),
+    }
+    polled = F.unix_micros("poll_time")
+    bounds = positions.agg(
+        F.min(polled).alias("low"), F.max(polled).alias("high")
+    ).first()
+    low, width = bounds["low"] or 0, (bounds["high"] or 0) - (bounds["low"] or 0) + 1
+    placed = {}
+    for table in wanted:
+        rows, number = tables[table]
+        part = F.floor((polled - low) * LANDINGS / width).cast("int")
+        late = (F.col(number).cast("bigint") % 10 == 0).cast("int")
+        landing = F.least(F.greatest(part, F.lit(0)) + late, F.lit(LANDINGS - 1))
+        placed[table] = rows.withColumn("_part", landing)
+    for n in range(LANDINGS):
+        side_by_side(
+            spark,
+            [
+                partial(
+                    append,
+                    rows.where(F.col("_part") == n).drop("_part"),
+                    raw,
+                    RAW[table],
+                    f"landing-{n}",
+                )
+                for table, rows in placed.items()
+            ],
+        )
+        drain()
+
+
+def _continuous_layer(spark: SparkSession, sf: str) -> DataFrame:
+    """The processed tables of all dates that close, and the rows that were late.
+
+    Late rows are followed, so the tables equal those of the daily job.
+    """
+    raw, processed = scratch_dir(spark, "raw"), scratch_dir(spark, "processed")
+    checkpoint = scratch_dir(spark, "checkpoint")
+
+    def drain() -> None:
+        run_layer(
+            spark, raw, processed, checkpoint, follow_late=True, zone="UTC", interval=None
+        ).awaitTermination()
+
+    _land_out_of_order(spark, sf, raw, drain)
+    late = [late_spec(table) for table in RAW]
+    shown = [*PROCESSED.values(), *late]
+    return _in_one(spark, processed, [s for s in shown if table_exists(spark, processed, s)])
+
+
+def _incremental_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Stop events, merged with every landing into the folders that it touches."""
+    raw, processed = scratch_dir(spark, "raw"), scratch_dir(spark, "processed")
+    checkpoint = scratch_dir(spark, "checkpoint")
+
+    def drain() -> None:
+        run_incremental(
+            spark, raw, processed, checkpoint, interval=None
+        ).awaitTermination()
+
+    _land_out_of_order(spark, sf, raw, drain, ["stop_time_updates"])
+    return read_table(spark, processed, PROCESSED["stop_time_events"])
+
+
+def _observed_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What the listener stored of every landing: rows and polls of each table."""
+    raw, metrics = scratch_dir(spark, "raw"), scratch_dir(spark, "metrics")
+    checkpoint = scratch_dir(spark, "checkpoint")
+    listener = MetricsListener(spark, metrics)
+    spark.streams.addListener(listener)
+
+    def drain() -> None:
+        query = watch_raw(spark, raw, checkpoint, interval=None)
+        query.awaitTermination()
+        listener.wait(query)
+
+    try:
+        _land_out_of_order(spark, sf, raw, drain)
+    finally:
+        spark.streams.removeListener(listener)
+    return ingest_metrics(spark, metrics).where("n_rows > 0").drop("query_id")
+
+
 def _csv_static_load(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines through zip archives into the typed stop_times table."""
     spec = STATIC["stop_times"]
@@ -533,6 +635,9 @@ _QUERIES: dict[str, Query] = {
     "stream_ingest": _stream_ingest,
     "batch_ingest": _batch_ingest,
     "ingest_counts": _ingest_counts,
+    "continuous_layer": _continuous_layer,
+    "incremental_merge": _incremental_merge,
+    "observed_counts": _observed_counts,
     "version_as_of": _version_as_of,
     "events_with_trip": _events_with_trip,
 }

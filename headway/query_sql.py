@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from headway.adapters import STATIC_FROM, static_expressions
 from headway.schemas import PROCESSED, RAW, SHOWN, STATIC, TableSpec
 
@@ -194,6 +196,96 @@ def _after(view: str) -> str:
     return f"(SELECT * FROM {view} WHERE start_date >= '20240109')"
 
 
+# Order lines as stop updates of January 2024.
+_JANUARY = """
+january AS (
+    SELECT * REPLACE ('202401' || strftime(poll_time, '%d') AS start_date,
+        strptime('202401' || strftime(poll_time, '%d'), '%Y%m%d') + to_seconds(
+            (CAST(trip_id AS BIGINT) * 7919 + stop_sequence * 613) % 86400)
+            AS poll_time,
+        'J' || CAST(stop_sequence % 2 AS VARCHAR) AS route_id)
+    FROM stu
+)"""
+# The raw tables as they land in four parts by poll time, a tenth of the rows one
+# part late; a date closes four hours after its end, by the polls landed before.
+_LANDED = f"""{_POSITIONS}, {_TRIPS.removeprefix(_EVENTS + ",")}, {_STOPS}, {_JANUARY},
+span AS (
+    SELECT epoch_us(min(poll_time)) AS low,
+        epoch_us(max(poll_time)) - epoch_us(min(poll_time)) + 1 AS width
+    FROM vp
+),
+{{landed}}
+polls AS (
+    SELECT landing, poll_time FROM vp_landed
+    UNION ALL SELECT landing, poll_time FROM tu_landed
+    UNION ALL SELECT landing, poll_time FROM stu_landed
+),
+clock AS (
+    SELECT k AS landing, (SELECT max(poll_time) FROM polls p WHERE p.landing <= k) AS newest
+    FROM range(4) t(k)
+)"""
+_LANDED = _LANDED.format(
+    landed="".join(
+        f"""{name}_landed AS (
+    SELECT v.*, least(3, greatest(0, CAST(floor(
+            CAST((epoch_us(poll_time) - low) * 4 AS DOUBLE) / width) AS INTEGER))
+        + CASE WHEN CAST({number} AS BIGINT) % 10 = 0 THEN 1 ELSE 0 END) AS landing
+    FROM {view} v, span
+),
+"""
+        for name, view, number in (
+            ("vp", "vp", "label"),
+            ("tu", "tu", "label"),
+            ("stu", "january", "trip_id"),
+        )
+    )
+)
+_CLOSES = "strptime(start_date, '%Y%m%d') + INTERVAL 28 HOUR"
+
+
+def _closed(name: str) -> str:
+    """Rows of dates that have closed in the end."""
+    at = "(SELECT newest FROM clock WHERE landing = 3)"
+    return f"SELECT * EXCLUDE (landing) FROM {name}_landed WHERE {_CLOSES} <= {at}"
+
+
+def _late(name: str) -> str:
+    """Rows whose date had closed before they landed."""
+    before = f"(SELECT newest FROM clock c WHERE c.landing = {name}_landed.landing - 1)"
+    return f"(SELECT * FROM {name}_landed WHERE {_CLOSES} <= {before})"
+
+
+def _layer() -> str:
+    """The processed tables of closed dates, and the late rows."""
+    late = [replace(RAW[t], name=f"late_{t}") for t in RAW]
+    names = ("vp", "tu", "stu")
+    return f"""
+        WITH {_LANDED},
+        vp1 AS (SELECT * FROM ({_closed("vp")}) QUALIFY row_number() OVER (
+            PARTITION BY vehicle_id, feed_timestamp, start_date
+            ORDER BY poll_time DESC, label DESC) = 1),
+        tu1 AS ({_LATEST_TRIPS.replace("FROM tu ", f"FROM ({_closed('tu')}) ")}),
+        stu1 AS ({_MERGED.replace("FROM stu ", f"FROM ({_closed('stu')}) ")})
+        {_shown(
+            (PROCESSED["vehicle_positions"], "vp1"),
+            (PROCESSED["trip_updates"], "tu1"),
+            (PROCESSED["stop_time_events"], "stu1"),
+            *[(spec, _late(n)) for spec, n in zip(late, names)],
+        )}"""
+
+
+def _landing_counts() -> str:
+    parts = [
+        f"SELECT landing AS batch_id, '{table}' AS table_name, poll_time FROM {n}_landed"
+        for table, n in zip(RAW, ("vp", "tu", "stu"))
+    ]
+    return f"""
+        WITH {_LANDED}
+        SELECT CAST(batch_id AS BIGINT) AS batch_id, table_name, count(*) AS n_rows,
+            min(poll_time) AS first_poll, max(poll_time) AS last_poll
+        FROM ({" UNION ALL ".join(parts)}) GROUP BY batch_id, table_name"""
+
+
 _AGENCY = """
 SELECT CAST(c_custkey AS VARCHAR) AS agency_id, {name} AS agency_name,
     CAST(NULL AS VARCHAR) AS agency_url, CAST(NULL AS VARCHAR) AS agency_timezone,
@@ -355,6 +447,11 @@ ORACLES: dict[str, str] = {
     "stream_ingest": _INGESTED,
     "batch_ingest": _INGESTED,
     "ingest_counts": _COUNTED,
+    "continuous_layer": _layer(),
+    "incremental_merge": (
+        f"WITH {_STOPS}, {_JANUARY} {_MERGED.replace('FROM stu ', 'FROM january ')}"
+    ),
+    "observed_counts": _landing_counts(),
     "version_as_of": """
         WITH v(valid_from, valid_to) AS (VALUES
             ('19950101', '19971231'), ('19970701', '20001231')),

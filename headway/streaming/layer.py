@@ -156,8 +156,7 @@ def stream_loads(spark: SparkSession, raw_root: str, max_files: int) -> DataFram
     """(table_name, start_date, load_id, poll_time) of what is appended.
 
     Only these columns are read. What compaction writes again is not new; it
-    leaves the newest write of a stream alone, so it may run beside. Rows
-    without a usable date are never processed and left out.
+    leaves the newest write of a stream alone, so it may run beside.
     """
     parts = []
     for table, spec in RAW.items():
@@ -172,9 +171,7 @@ def stream_loads(spark: SparkSession, raw_root: str, max_files: int) -> DataFram
         parts.append(
             rows.select(F.lit(table).alias("table_name"), "start_date", LOAD_ID, "poll_time")
         )
-    day = F.try_to_timestamp(F.col("start_date"), F.lit("yyyyMMdd"))
-    usable = F.col("start_date").rlike(r"^\d{8}$") & day.isNotNull()
-    return reduce(DataFrame.unionAll, parts).where(usable & F.col("poll_time").isNotNull())
+    return reduce(DataFrame.unionAll, parts)
 
 
 def summed_up(loads: DataFrame) -> DataFrame:
@@ -206,6 +203,10 @@ def date_events(
     ``closed``: a table of a date that closes, with all that was seen of it.
     ``late``: a load that came for a date already closed.
     """
+    # Rows without a usable date are never processed.
+    day = F.try_to_timestamp(F.col("start_date"), F.lit("yyyyMMdd"))
+    usable = F.col("start_date").rlike(r"^\d{8}$") & day.isNotNull()
+    loads = loads.where(usable & F.col("poll_time").isNotNull())
     # Rows polled on a date that is still open are never behind the watermark.
     delay = _LONGEST_DAY + close_after + late_for
     marked = summed_up(loads).withWatermark(
