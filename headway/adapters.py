@@ -9,6 +9,8 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from contextlib import ExitStack
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.fs
@@ -301,7 +303,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         feeds: dict[tuple, object] = {}
         for row in batch.to_pylist():
-            key = (row["event_type"], row["hour"])
+            key = (row.get("feed_id", row["event_type"]), row["hour"])
             if key not in feeds:
                 feeds[key] = message_class()
             _add_entities(feeds[key], row)
@@ -325,18 +327,25 @@ _NO_ENTITIES = 20
 _EMPTY_MESSAGE = b"\xf8\x7f\x01"
 
 
+# Ids of events that one feed reports.
+FEED_EVENTS = 20_000
+
+
 def repeated_payloads(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
     """Events encoded as one payload for each feed and hour or day.
 
-    A day's payload is polled at noon. Every payload comes as A, A, B, A, ten
+    A feed is the events of a type whose ids are in one range, so a payload is
+    bounded however busy its type is. A day's payload is polled at noon. Every payload comes as A, A, B, A, ten
     minutes apart, of which the second is to be skipped; B has no entities.
     """
     polled = F.col("hour")
     if unit == "day":
         polled = F.date_trunc("day", "hour") + F.expr("INTERVAL 12 HOURS")
+    part = F.floor(F.col("event_id") / FEED_EVENTS).cast("string")
     rows = _events(spark, sf_dir).select(
         "event_id",
         "event_type",
+        F.concat_ws("-", "event_type", part).alias("feed_id"),
         "user",
         "start_date",
         "relationship",
@@ -345,7 +354,7 @@ def repeated_payloads(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
         polled.alias("hour"),
         F.unix_seconds("second").alias("stamp"),
     )
-    once = rows.groupBy("event_type", "hour").applyInArrow(_encode_group, _PACKED)
+    once = rows.groupBy("feed_id", "hour").applyInArrow(_encode_group, _PACKED)
     minutes = F.explode(F.array(*[F.lit(m) for m in REPEATS])).alias("minutes")
     return once.select("*", minutes).select(
         "feed_id",
@@ -567,16 +576,38 @@ STATIC_FROM: dict[str, tuple[str, dict[str, str]]] = {
         "region",
         {
             "feed_publisher_name": "r_name",
-            "feed_start_date": "'{start}'",
-            "feed_end_date": "'{end}'",
+            "feed_start_date": "{start}",
+            "feed_end_date": "{end}",
             "feed_version": "'{mark}'",
         },
     ),
 }
 
 
+# The key of each source table, and how many keys an archive takes: the rows of
+# larger tables are spread over several, each with a validity of its own.
+STATIC_KEYS = {
+    "customer": "c_custkey",
+    "supplier": "s_suppkey",
+    "part": "p_partkey",
+    "orders": "o_orderkey",
+    "lineitem": "l_orderkey",
+    "nation": "n_nationkey",
+    "region": "r_regionkey",
+}
+ARCHIVE_KEYS = 1_000_000
+
+
+def year_of(source: str) -> str:
+    """The year of validity of the archive that a row falls in."""
+    return f"2024 + CAST(floor({STATIC_KEYS[source]} / {ARCHIVE_KEYS}.0) AS INT)"
+
+
 def static_expressions(name: str, mark: str, start: str, end: str) -> dict[str, str]:
-    """All columns of a static file as expressions over its source table."""
+    """All columns of a static file as expressions over its source table.
+
+    ``start`` and ``end`` are expressions of the validity.
+    """
     _, given = STATIC_FROM[name]
     return {
         column: given.get(column, "NULL").format(mark=mark, start=start, end=end)
@@ -584,52 +615,91 @@ def static_expressions(name: str, mark: str, start: str, end: str) -> dict[str,
     }
 
 
-def land_static_archive(
+def land_static_archives(
     spark: SparkSession,
     sf_dir: str,
     landing: str,
-    archive: str,
+    name: str,
     mark: str,
     start: str,
     end: str,
     broken: str | None = None,
 ) -> None:
-    """Write an archive of all thirteen files, one of them with a bad header.
+    """Write archives of all thirteen files, one file with a bad header.
 
-    An archive is a single file, so one task holds it. Equal arguments give
-    equal bytes.
+    Archive ``<name>-<year>.zip`` has the rows of a range of keys, and is valid
+    from ``start`` to ``end`` (MMdd) of its year. Rows are sorted by Spark, and
+    each task writes its archives member by member as the rows come, so none is
+    held whole. Equal arguments give equal bytes.
     """
-    parts = None
-    for name, (source, _) in STATIC_FROM.items():
+    validity = {
+        "start": f"concat(CAST(year AS STRING), '{start}')",
+        "end": f"concat(CAST(year AS STRING), '{end}')",
+    }
+    sources = {
+        source: table(spark, sf_dir, source).withColumn("year", F.expr(year_of(source)))
+        for source in STATIC_KEYS
+    }
+    last = reduce(
+        DataFrame.unionAll, [rows.select("year") for rows in sources.values()]
+    ).agg(F.max("year")).first()[0]
+    years = F.explode(F.sequence(F.lit(2024), F.lit(last or 2024)))
+    # Every archive has a validity, also that of a range with few tables.
+    sources["region"] = table(spark, sf_dir, "region").withColumn("year", years)
+    headers = {s.member: ",".join(s.data_schema.names) for s in STATIC.values()}
+    if broken:
+        headers[STATIC[broken].member] += ",extra"
+    parts = [
+        spark.createDataFrame(sorted(headers.items()), "member string, line string")
+        .withColumn("year", years)
+        .select("year", "member", F.lit(0).alias("place"), "line")
+    ]
+    for file, (source, _) in STATIC_FROM.items():
         cells = [
             f"concat('\"', replace(coalesce(CAST({e} AS STRING), ''), '\"', '\"\"'), '\"')"
-            for e in static_expressions(name, mark, start, end).values()
+            for e in static_expressions(file, mark, **validity).values()
         ]
-        lines = table(spark, sf_dir, source).select(
-            F.lit(archive).alias("archive"),
-            F.lit(STATIC[name].member).alias("member"),
-            F.expr(f"concat_ws(',', {', '.join(cells)})").alias("line"),
+        parts.append(
+            sources[source].select(
+                "year",
+                F.lit(STATIC[file].member).alias("member"),
+                F.lit(1).alias("place"),
+                F.expr(f"concat_ws(',', {', '.join(cells)})").alias("line"),
+            )
         )
-        parts = lines if parts is None else parts.unionAll(lines)
-    headers = {s.member: ",".join(s.data_schema.names) for s in STATIC.values()}
-    if broken:
-        headers[STATIC[broken].member] += ",extra"
 
-    def write(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("member", "ascending"), ("line", "ascending")])
-        members: dict[str, list[str]] = {m: [h] for m, h in headers.items()}
-        for member, line in zip(rows["member"].to_pylist(), rows["line"].to_pylist()):
-            members[member].append(line)
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         address = landing if "://" in landing else landing.removeprefix("file:")
         fs, base = pa.fs.FileSystem.from_uri(address)
-        held = io.BytesIO()
-        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as zipped:
-            for member, lines in members.items():
-                info = zipfile.ZipInfo(member)
-                zipped.writestr(info, "\n".join(lines) + "\n", zipfile.ZIP_DEFLATED)
         fs.create_dir(base)
-        with fs.open_output_stream(f"{base}/{archive}") as file:
-            file.write(held.getvalue())
-        return pa.table({"archive": [archive]})
-
-    parts.groupBy("archive").applyInArrow(write, "archive string").collect()
+        open_year, open_member = None, None
+        with ExitStack() as archives, ExitStack() as members:
+            zipped = file = None
+            for batch in batches:
+                for year, member, _, line in zip(*[c.to_pylist() for c in batch.columns]):
+                    if (year, member) != (open_year, open_member):
+                        members.close()
+                        if year != open_year:
+                            archives.close()
+                            out = fs.open_output_stream(f"{base}/{name}-{year}.zip")
+                            archives.enter_context(out)
+                            zipped = archives.enter_context(
+                                zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
+                            )
+                        info = zipfile.ZipInfo(member)
+                        info.compress_type = zipfile.ZIP_DEFLATED
+                        file = members.enter_context(zipped.open(info, "w"))
+                        open_year, open_member = year, member
+                    file.write(line.encode() + b"\n")
+                yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    order = ["year", "member", "place", "line"]
+    (
+        reduce(DataFrame.unionAll, parts)
+        .select(*order)
+        .repartition("year")
+        .sortWithinPartitions(*order)
+        .mapInArrow(write, "n long")
+        .agg(F.sum("n"))
+        .collect()
+    )

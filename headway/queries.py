@@ -30,7 +30,13 @@ from headway.schemas import (
     TableSpec,
 )
 from headway.session import scratch_dir, ship_package, side_by_side
-from headway.sources.archive import FeedInfo, extract_lines, stamp, typed
+from headway.sources.archive import (
+    FeedInfo,
+    extract_lines,
+    read_archives,
+    stamp,
+    typed,
+)
 from headway.sources.feed import decode
 from headway.plans.static import prepare, run_static
 from headway.sources.ledger import Ledger
@@ -436,14 +442,14 @@ def _csv_static_load(spark: SparkSession, sf: str) -> DataFrame:
     return prepare(lines, spec, info, 0)
 
 
-# Archives in the order they land: (name, mark, validity, file with a bad
-# header). The second corrects the first, the third repeats the second, and
-# one file of the last cannot be loaded.
+# Archives in the order they land: (name, mark, validity within their year, file
+# with a bad header). The second corrects the first, the third repeats the
+# second, and one file of the last cannot be loaded.
 STATIC_ARCHIVES = (
-    ("a.zip", "A", "20240101", "20240630", None),
-    ("b.zip", "B", "20240101", "20240630", None),
-    ("c.zip", "B", "20240101", "20240630", None),
-    ("d.zip", "D", "20240701", "20241231", "routes"),
+    ("a", "A", "0101", "0630", None),
+    ("b", "B", "0101", "0630", None),
+    ("c", "B", "0101", "0630", None),
+    ("d", "D", "0701", "1231", "routes"),
 )
 
 
@@ -451,7 +457,7 @@ def _static_job(spark: SparkSession, sf: str) -> DataFrame:
     """All static tables and the ledger after two runs over four archives."""
     landing, root = scratch_dir(spark, "archives"), scratch_dir(spark, "static")
     for name, mark, start, end, broken in STATIC_ARCHIVES:
-        A.land_static_archive(spark, sf, landing, name, mark, start, end, broken)
+        A.land_static_archives(spark, sf, landing, name, mark, start, end, broken)
     for _ in range(2):
         run_static(spark, landing, root)
     parts = []
@@ -478,9 +484,41 @@ def _static_job(spark: SparkSession, sf: str) -> DataFrame:
             F.concat_ws("|", name, "feed_version", "status").alias("contents"),
         )
     )
+    parts.append(_downloads(spark, landing, root))
     return reduce(DataFrame.unionAll, parts)
 
 
+def _downloads(spark: SparkSession, landing: str, root: str) -> DataFrame:
+    """Whether each version says when its archive was downloaded.
+
+    That is the second in which an archive with its mark and year landed.
+    """
+    name = F.substring_index("archive", "/", -1)
+    landed = read_archives(spark, landing).select(
+        F.upper(F.substring(F.regexp_replace(name, "^c", "b"), 1, 1)).alias("mark"),
+        F.regexp_extract(name, r"(\d{4})\.zip", 1).alias("year"),
+        F.date_trunc("second", "modified").alias("at"),
+    )
+    version = read_table(spark, root, STATIC["feed_info"]).select(
+        F.col("feed_version").alias("mark"),
+        F.substring("valid_from", 1, 4).alias("year"),
+        "valid_from",
+        "valid_to",
+        "downloaded_at",
+    ).distinct()
+    return (
+        version.join(landed, ["mark", "year"])
+        .groupBy("valid_from", "valid_to")
+        .agg(F.max(F.col("at") == F.col("downloaded_at")).alias("same"))
+        .select(
+            F.lit("downloaded_at").alias("table_name"),
+            "valid_from",
+            "valid_to",
+            F.col("same").cast("string").alias("contents"),
+        )
+    )
+
+
 def _feed_decode(spark: SparkSession, sf: str) -> DataFrame:
     payloads = A.event_payloads(spark, sf)
     entities = decode(payloads.withColumn("payload_id", F.lit("")))

@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from headway.adapters import STATIC_FROM, static_expressions
+from headway.adapters import (
+    STATIC_FROM,
+    STATIC_KEYS,
+    static_expressions,
+    year_of,
+)
 from headway.schemas import PROCESSED, RAW, SHOWN, STATIC, TableSpec
 
 # The adapter views as common table expressions, down to the column order.
@@ -166,29 +171,48 @@ def _static() -> str:
     parts = []
     for name, (source, _) in STATIC_FROM.items():
         types = {f.name: f.dataType.simpleString() for f in STATIC[name].data_schema}
-        for mark, start, end in (
-            ("B", "20240101", "20240630"),
-            ("D", "20240701", "20241231"),
-        ):
+        rows = f"(SELECT *, {year_of(source)} AS year FROM {source})"
+        if source == "region":
+            rows = "(SELECT r.*, y.year FROM region r, archive_years y)"
+        for mark, start, end in (("B", "0101", "0630"), ("D", "0701", "1231")):
             if (name, mark) == ("routes", "D"):
                 continue  # its header is bad
-            given = static_expressions(name, mark, start, end)
+            valid_from, valid_to = (
+                f"concat(CAST(year AS STRING), '{day}')" for day in (start, end)
+            )
+            given = static_expressions(name, mark, valid_from, valid_to)
             cells = ", ".join(
                 f"coalesce(CAST(CAST({e} AS {types[n]}) AS VARCHAR), '')"
                 for n, e in given.items()
             )
             parts.append(
-                f"SELECT '{name}' AS table_name, '{start}' AS valid_from, "
-                f"'{end}' AS valid_to, concat_ws('|', {cells}) AS contents "
-                f"FROM {source}"
+                f"SELECT '{name}' AS table_name, {valid_from} AS valid_from, "
+                f"{valid_to} AS valid_to, concat_ws('|', {cells}) AS contents "
+                f"FROM {rows}"
             )
+    # The newest archive is the one before only where there is one a year.
     parts.append(
-        "SELECT * FROM (VALUES "
-        "('load_ledger', '20240101', '20240630', 'a.zip|A|loaded'), "
-        "('load_ledger', '20240101', '20240630', 'b.zip|B|loaded'), "
-        "('load_ledger', NULL, NULL, 'c.zip|unchanged'))"
+        """
+        SELECT 'load_ledger' AS table_name,
+            CASE WHEN one AND mark = 'c' THEN NULL ELSE year || '0101' END AS valid_from,
+            CASE WHEN one AND mark = 'c' THEN NULL ELSE year || '0630' END AS valid_to,
+            mark || '-' || year || '.zip|' || CASE WHEN one AND mark = 'c' THEN 'unchanged'
+                ELSE version || '|loaded' END AS contents
+        FROM archive_years, (SELECT count(*) = 1 AS one FROM archive_years),
+            (VALUES ('a', 'A'), ('b', 'B'), ('c', 'B')) t(mark, version)
+        UNION ALL
+        SELECT 'downloaded_at', year || span[1], year || span[2], 'true'
+        FROM archive_years, (VALUES (['0101', '0630']), (['0701', '1231'])) t(span)
+        """
     )
-    return " UNION ALL ".join(parts)
+    keys = " UNION ALL ".join(
+        f"SELECT {year_of(source)} AS year FROM {source}" for source in STATIC_KEYS
+    )
+    return f"""
+        WITH archive_years AS (
+            SELECT unnest(range(2024, 1 + CAST(max(year) AS BIGINT))) AS year FROM ({keys})
+        )
+        {" UNION ALL ".join(parts)}"""
 
 
 def _after(view: str) -> str:

@@ -217,3 +217,38 @@ def test_transform_hook(spark, landing, root):
 def test_records_join_quoted_lines():
     lines = ["a,b\r\n", "\n", '"x\n', 'y",""\n', "last"]
     assert list(csv_records(lines)) == ["a,b", '"x\ny",""', "last"]
+
+
+def test_archives_of_key_ranges(spark, tmp_path, monkeypatch):
+    """Rows are spread by key; each archive has all files and its own year."""
+    import zipfile
+    from pathlib import Path
+
+    import pytest
+
+    from headway import adapters
+
+    sf = Path("/root/testdata/sf0.001")
+    if not sf.exists():
+        pytest.skip("no test tables")
+    monkeypatch.setattr(adapters, "ARCHIVE_KEYS", 600)
+    landing = str(tmp_path / "landing")
+    for name in ("a", "b"):
+        adapters.land_static_archives(spark, str(sf), landing, name, "A", "0101", "0630")
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey").collect()
+    years = sorted({2024 + key // 600 for (key,) in orders})
+    assert len(years) > 2
+    files = sorted(Path(landing).glob("*.zip"))
+    assert [f.name for f in files] == [f"{n}-{y}.zip" for n in "ab" for y in years]
+    trips = 0
+    for year in years:
+        archive = Path(landing) / f"a-{year}.zip"
+        assert archive.read_bytes() == (Path(landing) / f"b-{year}.zip").read_bytes()
+        with zipfile.ZipFile(archive) as opened:
+            names = opened.namelist()
+            assert sorted(names) == sorted(s.member for s in STATIC.values())
+            lines = opened.read("trips.txt").decode().splitlines()
+            assert lines[0] == ",".join(STATIC["trips"].data_schema.names)
+            trips += len(lines) - 1
+            assert f'"{year}0101","{year}0630"' in opened.read("feed_info.txt").decode()
+    assert trips == len(orders)
