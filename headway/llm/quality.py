@@ -99,7 +99,7 @@ def score(
     most ``rows`` labelled rows; without labels of both kinds it knows only
     their share, and without any everything is kept.
 
-    Null hosts and paths form sites of their own. All rows stay; existing
+    Null hosts and paths count as empty ones, which are sites like others. All rows stay; existing
     columns of the new names are replaced.
     """
     made = ["evidence", "site_p", "p_good", "kept"]

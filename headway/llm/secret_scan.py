@@ -143,9 +143,23 @@ def _end_word(value: str, count_tokens) -> bool:
 
 def random_spans(text: str, count_tokens, taken: list[Span]) -> Iterator[Span]:
     """Strings with few characters a token, outside of all other spans."""
+    # As stretches that do not overlap, candidates and spans are both in order,
+    # and each is looked at once or twice.
+    covered: list[list[int]] = []
+    for s, _, e in sorted(taken):
+        if covered and s <= covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], e)
+        else:
+            covered.append([s, e])
+    first = 0
     for m in _CANDIDATE.finditer(text):
         at, free = m.start(), []
-        for s, _, e in sorted(x for x in taken if x[0] < m.end() and x[2] > at):
+        while first < len(covered) and covered[first][1] <= at:
+            first += 1
+        for k in range(first, len(covered)):
+            s, e = covered[k]
+            if s >= m.end():
+                break
             free.append((at, s))
             at = max(at, e)
         for low, high in [*free, (at, m.end())]:
