@@ -8,6 +8,7 @@ made of column expressions only; the second takes a tenth of the time.
 from __future__ import annotations
 
 import base64
+import heapq
 import zlib
 from collections.abc import Iterator
 
@@ -31,6 +32,9 @@ BUCKETS = 1 << 16
 # Larger than any rank: a pair that cannot be merged.
 NO_RANK = 2**31 - 1
 PLACES = 2**31
+# Words of more bytes are merged one by one from a heap: rounds over arrays
+# would take time with the square of their length. Both give the same tokens.
+LONG_WORD = 256
 
 
 def read_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
@@ -175,8 +179,82 @@ class Pairs:
         return np.where(self._keys[at] == keys, self._merged[at], NO_RANK)
 
 
+def fold_long(data: np.ndarray, pairs: Pairs) -> np.ndarray:
+    """Token ids of one long word, in n log n time.
+
+    A heap holds (rank, place) of all pairs that can be merged, so that the
+    leftmost of the lowest rank comes first. An entry whose pair has changed
+    since is passed over: ``held`` has the present rank of each place.
+    """
+    coded = pairs.bytes[data]
+    n = len(coded)
+    first = pairs.rank(coded[:-1], coded[1:])
+    places = np.flatnonzero(first < NO_RANK)
+    # Sorted entries are a heap.
+    heap = np.sort(first[places] << 32 | places).tolist()
+    ids, held = coded.tolist(), [*first.tolist(), NO_RANK]
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    known: dict[tuple[int, int], int] = {}
+
+    def update(at: int) -> None:
+        """The rank of the pair that begins at ``at``, as it is now."""
+        right = after[at]
+        if right >= n:
+            held[at] = NO_RANK
+            return
+        pair = ids[at], ids[right]
+        if pair not in known:
+            known[pair] = int(pairs.rank(np.int64(pair[0]), np.int64(pair[1])))
+        held[at] = known[pair]
+        if held[at] < NO_RANK:
+            heapq.heappush(heap, held[at] << 32 | at)
+
+    while heap:
+        entry = heapq.heappop(heap)
+        rank, at = entry >> 32, entry & 0xFFFFFFFF
+        if held[at] != rank:
+            continue
+        gone = after[at]
+        ids[at], held[gone], after[at] = rank, NO_RANK, after[gone]
+        if after[at] < n:
+            before[after[at]] = at
+        update(at)
+        if before[at] >= 0:
+            update(before[at])
+    found, at = [], 0
+    while at < n:
+        found.append(ids[at])
+        at = after[at]
+    return np.array(found, np.int64)
+
+
 def fold_words(
     data: np.ndarray, offsets: np.ndarray, pairs: Pairs
+) -> tuple[np.ndarray, np.ndarray]:
+    """(token ids of all words, number of each word's)."""
+    sizes = np.diff(offsets)
+    long = np.flatnonzero(sizes > LONG_WORD)
+    if not len(long):
+        return _fold_short(data, offsets, pairs)
+    # The long words are left empty for the rounds, and filled in after.
+    short = np.where(sizes > LONG_WORD, 0, sizes)
+    ids, counts = _fold_short(
+        data[np.repeat(sizes <= LONG_WORD, sizes)],
+        np.concatenate([[0], np.cumsum(short)]),
+        pairs,
+    )
+    merged = [fold_long(data[offsets[w] : offsets[w + 1]], pairs) for w in long]
+    at = np.concatenate([[0], np.cumsum(counts)])[long]
+    counts[long] = [len(m) for m in merged]
+    parts = np.split(ids, at)
+    mended = [parts[0]]
+    for more, rest in zip(merged, parts[1:]):
+        mended += [more, rest]
+    return np.concatenate(mended), counts
+
+
+def _fold_short(
+    data: np.ndarray, offsets: np.ndarray, pairs: Pairs
 ) -> tuple[np.ndarray, np.ndarray]:
     """(token ids of all words, number of each word's).
 

@@ -41,13 +41,12 @@ def _moments(groups: DataFrame, around: Column, n: str, total: str) -> tuple:
     return row[0], row[1]
 
 
-def site_posteriors(spark: SparkSession, scored: DataFrame) -> tuple[DataFrame, float]:
-    """((host, path, site_p), global mean) of ``scored(host, path, p)``.
+def _site_sums(spark: SparkSession, scored: DataFrame) -> tuple[DataFrame, tuple]:
+    """((host, path, n, total, host_n, host_total), (global mean, strength of
+    the prior of hosts, strength of that of paths)) of ``scored``.
 
-    Grouped sums give each path and each host its mean evidence. A host is
-    shrunk towards the global mean and a path towards its host's posterior,
-    each as far as its prior's strength demands, so that sparse sites follow
-    the prior and large ones their own documents.
+    The table is written, so it is broadcast where it is small and else
+    joined by its keys. Without rows the mean is one half.
     """
     paths = keep(
         spark,
@@ -56,22 +55,46 @@ def site_posteriors(spark: SparkSession, scored: DataFrame) -> tuple[DataFrame,
         ),
         "paths",
     )
-    sums = paths.agg(F.sum("n"), F.sum("total")).first()
-    if not sums[0]:
-        return paths.select("host", "path", F.lit(0.5).alias("site_p")), 0.5
-    mean = min(max(sums[1] / sums[0], _EDGE), 1 - _EDGE)
     hosts = paths.groupBy("host").agg(
         F.sum("n").alias("host_n"), F.sum("total").alias("host_total")
     )
-    strength = _prior(mean, *_moments(hosts, F.lit(mean), "host_n", "host_total"))
-    host_p = (strength * mean + F.col("host_total")) / (strength + F.col("host_n"))
-    known = paths.join(
-        hosts.select("host", host_p.alias("host_p")), "host"
+    known = keep(spark, paths.join(hosts, "host"), "sites")
+    sums = paths.agg(F.sum("n"), F.sum("total")).first()
+    if not sums[0]:
+        return known, (0.5, LEAST_PRIOR, LEAST_PRIOR)
+    mean = min(max(sums[1] / sums[0], _EDGE), 1 - _EDGE)
+    outer = _prior(mean, *_moments(hosts, F.lit(mean), "host_n", "host_total"))
+    host_p = _shrunk(F.lit(mean), outer, F.col("host_n"), F.col("host_total"))
+    placed = known.withColumn("host_p", host_p)
+    inner = _prior(mean, *_moments(placed, F.col("host_p"), "n", "total"))
+    return known, (mean, outer, inner)
+
+
+def _shrunk(prior: Column, strength: float, n: Column, total: Column) -> Column:
+    """The mean of ``n`` values of sum ``total``, shrunk towards ``prior``."""
+    return (strength * prior + total) / (strength + n)
+
+
+def _site_p(priors: tuple, n: int = 0, p: Column | None = None) -> Column:
+    """A site's posterior, without ``n`` of its documents with evidence ``p``."""
+    mean, outer, inner = priors
+    out = F.lit(0.0) if p is None else p
+    host_p = _shrunk(
+        F.lit(mean), outer, F.col("host_n") - n, F.col("host_total") - out
     )
-    known = keep(spark, known, "hosts")
-    inner = _prior(mean, *_moments(known, F.col("host_p"), "n", "total"))
-    path_p = (inner * F.col("host_p") + F.col("total")) / (inner + F.col("n"))
-    return known.select("host", "path", path_p.alias("site_p")), mean
+    return _shrunk(host_p, inner, F.col("n") - n, F.col("total") - out)
+
+
+def site_posteriors(spark: SparkSession, scored: DataFrame) -> tuple[DataFrame, float]:
+    """((host, path, site_p), global mean) of ``scored(host, path, p)``.
+
+    Grouped sums give each path and each host its mean evidence. A host is
+    shrunk towards the global mean and a path towards its host's posterior,
+    each as far as its prior's strength demands, so that sparse sites follow
+    the prior and large ones their own documents.
+    """
+    known, priors = _site_sums(spark, scored)
+    return known.select("host", "path", _site_p(priors).alias("site_p")), priors[0]
 
 
 def good_labels(labels: DataFrame) -> DataFrame:
@@ -94,13 +117,17 @@ def score(
 
     ``evidence`` is the classifier's probability for the text alone, and
     ``site_p`` the posterior of the document's host and path, made from the
-    evidence of all documents. ``p_good`` adds to the evidence what the site
+    evidence of all other documents; only the global mean and the strengths of
+    the priors are of all. So no text counts twice, and the only document of
+    its host has the global mean. ``p_good`` adds to the evidence what the site
     says beyond the global mean, in log odds. The classifier is fitted on at
     most ``rows`` labelled rows; without labels of both kinds it knows only
-    their share, and without any everything is kept.
+    their share, and without any everything is kept. A ``p_good`` of exactly
+    ``THRESHOLD`` is kept.
 
-    Null hosts and paths count as empty ones, which are sites like others. All rows stay; existing
-    columns of the new names are replaced.
+    Null hosts and paths count as empty ones, which are sites like others, and
+    null texts as empty. All rows stay; existing columns of the new names are
+    replaced. An empty table gives an empty result.
     """
     made = ["evidence", "site_p", "p_good", "kept"]
     model = classifier.fit(
@@ -118,16 +145,15 @@ def score(
         site(host).alias("host"),
         site(path).alias("path"),
     )
-    sites, mean = site_posteriors(
+    sites, priors = _site_sums(
         spark, found.select("host", "path", F.col("evidence").alias("p"))
     )
-    # A written table: broadcast where it is small, else joined by its keys.
-    sites = keep(spark, sites, "sites")
     log_odds = (
-        _logit(F.col("evidence")) + _logit(F.col("site_p")) - _logit(F.lit(mean))
+        _logit(F.col("evidence")) + _logit(F.col("site_p")) - _logit(F.lit(priors[0]))
     )
     judged = (
         found.join(sites, ["host", "path"])
+        .withColumn("site_p", _site_p(priors, 1, F.col("evidence")))
         .withColumn("p_good", 1 / (1 + F.exp(-log_odds)))
         .withColumn("kept", F.col("p_good") >= THRESHOLD)
     )

@@ -1,5 +1,7 @@
 import random
+import time
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -60,6 +62,35 @@ def test_fold_equals_tiktoken_on_random_words(spark, coder):
     assert got == [coder._encode_single_piece(w.encode()) for w in words]
 
 
+@pytest.mark.parametrize("alphabet", ["ab", "abcdefghijklmnopqrstuvwxyz", "é日x"])
+def test_long_words_equal_tiktoken(spark, documents, coder, alphabet):
+    rng = random.Random(len(alphabet))
+    words = [
+        "".join(rng.choice(alphabet) for _ in range(n))
+        for n in (1, bpe.LONG_WORD - 1, bpe.LONG_WORD, bpe.LONG_WORD + 1, 3, 5000, 700)
+    ]
+    texts = [*words, " ".join(words), "a" * 3000, "", words[-1] + "\n" + words[-2]]
+    got = {r.doc_id: r.token_ids for r in bpe.encode(spark, documents(texts)).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == coder.encode_ordinary(text)
+
+
+def test_a_word_of_a_million_letters_takes_no_square_of_its_length(coder):
+    rng = random.Random(4)
+    pairs = bpe.Pairs(bpe.read_ranks())
+
+    def seconds(n):
+        word = "".join(rng.choice("etaoinshrdlu") for _ in range(n)).encode()
+        start = time.perf_counter()
+        ids = bpe.fold_long(np.frombuffer(word, np.uint8), pairs)
+        taken = time.perf_counter() - start
+        if n <= 100_000:
+            assert ids.tolist() == coder._encode_single_piece(word)
+        return taken
+
+    assert seconds(1_000_000) < 40 * max(seconds(100_000), 0.2)
+
+
 def test_decoding_is_a_round_trip(spark, documents):
     coded = bpe.encode(spark, documents(TEXTS))
     for row in bpe.decode(coded).collect():

@@ -52,6 +52,57 @@ def test_sparse_sites_are_shrunk_to_their_priors(spark):
     assert 0.1 < p["big", "c"] < 0.9
 
 
+def brute_posteriors(rows):
+    """p_good of (host, path, evidence) rows, one document at a time."""
+    def prior(mean, groups):
+        size = sum(n for n, _, _ in groups)
+        between = sum(n * (total / n - m) ** 2 for n, total, m in groups) / size
+        noise = sum(m * (1 - m) for _, _, m in groups) / size
+        real = max(between - noise, 1e-9)
+        return min(max(mean * (1 - mean) / real - 1, 1.0), 10_000.0)
+
+    def held(p):
+        p = min(max(p, 1e-6), 1 - 1e-6)
+        return np.log(p / (1 - p))
+
+    hosts, paths = {}, {}
+    for host, path, p in rows:
+        hosts.setdefault(host, []).append(p)
+        paths.setdefault((host, path), []).append(p)
+    mean = sum(r[2] for r in rows) / len(rows)
+    outer = prior(mean, [(len(h), sum(h), mean) for h in hosts.values()])
+
+    def shrunk(m, strength, values):
+        return (strength * m + sum(values)) / (strength + len(values))
+
+    whole = {h: shrunk(mean, outer, v) for h, v in hosts.items()}
+    inner = prior(mean, [(len(v), sum(v), whole[k[0]]) for k, v in paths.items()])
+    found = []
+    for i, (host, path, p) in enumerate(rows):
+        others = [r for j, r in enumerate(rows) if j != i and r[0] == host]
+        host_p = shrunk(mean, outer, [r[2] for r in others])
+        site_p = shrunk(host_p, inner, [r[2] for r in others if r[1] == path])
+        odds = held(p) + held(site_p) - held(mean)
+        found.append((site_p, 1 / (1 + np.exp(-odds))))
+    return found
+
+
+def test_posteriors_equal_brute_force_without_the_document_itself(spark, documents):
+    docs, labels = corpus(spark, documents)
+    docs = docs.withColumn(
+        "source", F.when(F.col("doc_id") % 11 == 0, None).when(
+            F.col("doc_id") == 5, "alone").otherwise(F.col("source"))
+    ).withColumn("lang", F.when(F.col("doc_id") % 3 == 0, "fr").otherwise(F.col("lang")))
+    got = quality.score(spark, docs, labels.where("doc_id < 160")).collect()
+    want = brute_posteriors([(r.source or "", r.lang or "", r.evidence) for r in got])
+    mean = sum(r.evidence for r in got) / len(got)
+    for r, (site_p, p_good) in zip(got, want):
+        assert abs(r.site_p - site_p) < 1e-9 and abs(r.p_good - p_good) < 1e-9
+        assert r.kept == (r.p_good >= quality.THRESHOLD)
+        # The only document of its host says nothing of the host.
+        assert r.doc_id != 5 or abs(r.site_p - mean) < 1e-9
+
+
 def test_quality_without_labels_rows_or_columns_filled(spark, documents):
     docs = documents(["the red house", None, ""])
     docs = docs.withColumn("source", F.lit(None).cast("string"))

@@ -159,6 +159,29 @@ def test_order_follows_rejection_per_cost_and_changes_nothing(spark, documents):
         assert kept == 10
 
 
+def test_cost_orders_rules_that_reject_alike(spark, documents):
+    docs = documents([prose(i, 300) for i in range(40)])
+    dear = F.size(F.array_distinct(F.split("text", "[0-9 ]+"))) < 0
+    rules = [
+        cascade.Rule("dear", dear | (F.col("doc_id") < 10)),
+        cascade.Rule("cheap", F.col("doc_id") < 10),
+    ]
+    order = [r.name for r in cascade.ordered(spark, docs.repartition(1), rules)]
+    assert order == ["cheap", "dear"]
+
+
+def test_the_sample_does_not_depend_on_where_rows_are(spark, documents):
+    docs = documents([prose(i, 20) for i in range(90)] + ["", None])
+    docs = docs.withColumn("c0", F.lit(1)).withColumn("_again", F.lit("x"))
+    ids = [
+        {r.doc_id for r in cascade.hashed_sample(d, rows=30).collect()}
+        for d in (docs, docs.repartition(7, "text"), docs.orderBy(F.desc("doc_id")))
+    ]
+    assert ids[0] == ids[1] == ids[2] and len(ids[0]) == 30
+    assert max(ids[0]) > 60 > 30 > min(ids[0])
+    assert cascade.judge(spark, docs).count() == 92
+
+
 # URL filter
 
 
