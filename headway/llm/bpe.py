@@ -23,10 +23,10 @@ from pyspark.sql import types as T
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 # Bytes of text whose distinct words are encoded together. A longer document
-# makes a group of its own.
-GROUP_BYTES = 4 << 20
+# makes a group of its own. Working arrays take some thirty times as much.
+GROUP_BYTES = 1 << 20
 # Tokens that are decoded together.
-GROUP_TOKENS = 1 << 20
+GROUP_TOKENS = 1 << 18
 # The rank map is split into this many small maps, found by checksum.
 BUCKETS = 1 << 16
 # Larger than any rank: a pair that cannot be merged.
@@ -341,13 +341,42 @@ def _groups(words: pa.Array) -> Iterator[tuple[int, int]]:
     return _runs(sizes, GROUP_BYTES)
 
 
-def _in_batches(kept: list[str], name: str, ranks: dict[bytes, int]):
-    """Token ids of documents, a group at a time."""
+def _vocabulary(ranks: dict[bytes, int]) -> list[bytes]:
+    """The piece of every id."""
+    pieces = [b""] * (max(ranks.values(), default=-1) + 1)
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+    return pieces
+
+
+def _join_pieces(coded: pa.ListArray, vocabulary: pa.Array) -> pa.Array:
+    """The bytes of each row's ids: the pieces, taken from the vocabulary side
+    by side, form one buffer of which each row has its part."""
+    ends = coded.offsets.to_numpy()
+    joined = vocabulary.take(coded.values.slice(ends[0], ends[-1] - ends[0]))
+    starts = np.frombuffer(joined.buffers()[1], np.int64)
+    return pa.Array.from_buffers(
+        pa.large_binary(),
+        len(coded),
+        [
+            None,
+            pa.py_buffer(starts[ends - ends[0]] - starts[0]),
+            joined.buffers()[2],
+        ],
+    ).cast(pa.binary())
+
+
+def _in_batches(
+    kept: list[str], names: list[str], ranks: dict[bytes, int], pieces: list[bytes]
+):
+    """Token ids of documents, a group at a time; with two ``names`` also the
+    bytes that the ids decode to."""
     pairs = Pairs(ranks)
 
     def encode_batches(
         batches: Iterator[pa.RecordBatch],
     ) -> Iterator[pa.RecordBatch]:
+        vocabulary = pa.array(pieces, pa.large_binary())
         for batch in batches:
             split = batch.column(len(kept))
             for low, high in _groups(split):
@@ -356,12 +385,12 @@ def _in_batches(kept: list[str], name: str, ranks: dict[bytes, int]):
                 ids = _encode_words(coded.dictionary, ranks, pairs).take(coded.indices)
                 ends = part.offsets.to_numpy()
                 tokens = ids.offsets.to_numpy()[ends - ends[0]]
+                made = [pa.ListArray.from_arrays(pa.array(tokens), ids.values)]
+                if len(names) > 1:
+                    made.append(_join_pieces(made[0], vocabulary))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        *[c.slice(low, high - low) for c in batch.columns[:-1]],
-                        pa.ListArray.from_arrays(pa.array(tokens), ids.values),
-                    ],
-                    [*kept, name],
+                    [*[c.slice(low, high - low) for c in batch.columns[:-1]], *made],
+                    [*kept, *names],
                 )
 
     return encode_batches
@@ -375,18 +404,25 @@ def encode(
     text: str = "text",
     ids: str = "token_ids",
     native: bool = False,
+    decoded: str | None = None,
 ) -> DataFrame:
     """``docs`` with the token ids of their texts in column ``ids``.
 
+    With ``decoded``, a column of this name has the bytes that the ids decode
+    to, as from ``decode``, but by the same worker as the ids: half as many
+    workers hold a vocabulary, and the ids pass to Python only once.
+
     The pattern splits each text, and each word is encoded by itself. Nothing
     is shuffled: documents of one partition are handled in groups, and each
     distinct word of a group is encoded once; with ``native`` each word is
-    encoded by column functions alone. A null or empty text has no tokens. All other columns, repeated rows included, stay as they are; an
-    existing column ``ids`` is replaced. ``pattern`` must cover all text, and
+    encoded by column functions alone. A null or empty text has no tokens, and
+    an empty table gives an empty result. Long words and texts take n log n
+    time. All other columns, repeated rows included, stay as they are; existing
+    columns of the new names are replaced. ``pattern`` must cover all text, and
     every single byte needs a rank.
     """
     ranks = read_ranks() if ranks is None else ranks
-    rest = [f for f in docs.schema.fields if f.name != ids]
+    rest = [f for f in docs.schema.fields if f.name not in (ids, decoded)]
     # Neutral names inside, so that columns may be called anything.
     kept = [f"c{i}" for i in range(len(rest))]
     named = docs.select(
@@ -395,6 +431,7 @@ def encode(
     )
     plain = [T.StructField(c, f.dataType) for f, c in zip(rest, kept)]
     tokens = T.StructField(ids, T.ArrayType(T.IntegerType()))
+    made = [tokens, *([T.StructField(decoded, T.BinaryType())] if decoded else [])]
     if native:
         each = F.transform(
             "_split", lambda w: encode_word(w.cast("binary"), F.col("_ranks"))
@@ -402,12 +439,17 @@ def encode(
         coded = named.withColumn("_ranks", rank_map(spark, ranks)).select(
             *kept, F.flatten(each).alias(ids)
         )
+        if decoded:
+            coded = decode(coded, ranks, ids, decoded)
     else:
+        new = [f.name for f in made]
         coded = named.mapInArrow(
-            _in_batches(kept, ids, ranks), T.StructType([*plain, tokens])
+            _in_batches(kept, new, ranks, _vocabulary(ranks) if decoded else []),
+            T.StructType([*plain, *made]),
         )
     return coded.select(
-        *[F.col(c).alias(f.name) for f, c in zip(rest, kept)], F.col(f"`{ids}`")
+        *[F.col(c).alias(f.name) for f, c in zip(rest, kept)],
+        *[F.col(f"`{f.name}`") for f in made],
     )
 
 
@@ -419,14 +461,11 @@ def decode(
 ) -> DataFrame:
     """``tokens`` with the decoded bytes in the binary column ``text``.
 
-    The pieces of the ids are concatenated: taken from the vocabulary side by
-    side, they form one buffer of which each row has its part. Null ids give
-    null, no ids empty bytes. An id outside the vocabulary is an error.
+    The pieces of the ids are concatenated. Null ids give null, no ids empty
+    bytes. An id outside the vocabulary is an error.
     """
     ranks = read_ranks() if ranks is None else ranks
-    pieces = [b""] * (max(ranks.values(), default=-1) + 1)
-    for piece, rank in ranks.items():
-        pieces[rank] = piece
+    pieces = _vocabulary(ranks)
     rest = [f for f in tokens.schema.fields if f.name != text]
     kept = [f"c{i}" for i in range(len(rest))]
     at = [f.name for f in rest].index(ids)
@@ -437,19 +476,7 @@ def decode(
             for low, high in _runs(whole.column(at).offsets.to_numpy(), GROUP_TOKENS):
                 batch = whole.slice(low, high - low)
                 coded = batch.column(at)
-                ends = coded.offsets.to_numpy()
-                ids = coded.values.slice(ends[0], ends[-1] - ends[0])
-                joined = vocabulary.take(ids)
-                starts = np.frombuffer(joined.buffers()[1], np.int64)
-                found = pa.Array.from_buffers(
-                    pa.large_binary(),
-                    len(coded),
-                    [
-                        None,
-                        pa.py_buffer(starts[ends - ends[0]] - starts[0]),
-                        joined.buffers()[2],
-                    ],
-                ).cast(pa.binary())
+                found = _join_pieces(coded, vocabulary)
                 if coded.null_count:
                     found = pc.if_else(coded.is_valid(), found, None)
                 yield pa.RecordBatch.from_arrays(
@@ -471,8 +498,7 @@ def decode(
 
 def digests(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Token count, and digests of the ids and of the decoded bytes."""
-    ranks = read_ranks()
-    coded = decode(encode(spark, docs.select("doc_id", "text"), ranks), ranks)
+    coded = encode(spark, docs.select("doc_id", "text"), decoded="decoded")
     spelled = F.concat_ws(" ", F.col("token_ids").cast("array<string>"))
     return coded.select(
         "doc_id",

@@ -17,8 +17,9 @@ from headway.session import scratch_dir
 SLICE_BYTES = 1 << 18
 
 # Rows of whole texts that pass to a Python worker at once. Spark's own 10,000
-# are tens of megabytes of text in the JVM and again in each worker.
-BATCH_ROWS = 1_000
+# are tens of megabytes of text in the JVM and again in each worker. Batches end
+# earlier where their rows have so many bytes; one longer row is a batch.
+BATCH_ROWS, BATCH_BYTES = 1_000, 2 << 20
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -31,6 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def bounded_batches(spark: SparkSession) -> None:
     """Let the session pass texts to Python in batches of bounded size."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def keep(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:

@@ -95,6 +95,14 @@ def test_decoding_is_a_round_trip(spark, documents):
     coded = bpe.encode(spark, documents(TEXTS))
     for row in bpe.decode(coded).collect():
         assert bytes(row.decoded) == (row.text or "").encode()
+    docs = documents(TEXTS).withColumn("back", F.lit(1)).withColumn("c0", F.lit(2))
+    for native in (False, True):
+        texts = docs.where("doc_id < 3") if native else docs
+        both = bpe.encode(spark, texts, native=native, decoded="back")
+        assert both.columns[-2:] == ["token_ids", "back"] and "c0" in both.columns
+        want = {r.doc_id: (r.token_ids, bytes(r.decoded)) for r in bpe.decode(coded).collect()}
+        for row in both.collect():
+            assert (row.token_ids, bytes(row.back)) == want[row.doc_id]
 
 
 def test_null_ids_decode_to_null(spark):
