@@ -63,8 +63,7 @@ def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids, and whether these decode to them."""
     _ready(spark)
-    ranks = bpe.read_ranks()
-    coded = bpe.decode(bpe.encode(spark, docs, ranks), ranks)
+    coded = bpe.encode(spark, docs, decoded="decoded")
     return coded.withColumn(
         "round_trip",
         F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary"),
