@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import ExitStack
 from functools import reduce
+from types import MappingProxyType
 
 import pyarrow as pa
 import pyarrow.fs
@@ -584,6 +585,24 @@ STATIC_FROM: dict[str, tuple[str, dict[str, str]]] = {
 }
 
 
+# Columns of static files as expressions that give cells they cannot hold.
+STATIC_SPOILED = {
+    ("stops", "location_type"): (
+        "concat(s_nationkey, CASE WHEN s_nationkey % 5 = 1 THEN '.5' ELSE '' END)"
+    ),
+    ("fare_attributes", "price"): (
+        "CASE WHEN p_size % 10 = 1 THEN 'free' ELSE CAST(p_retailprice AS STRING) END"
+    ),
+    ("frequencies", "headway_secs"): (
+        "concat(o_custkey, CASE WHEN o_custkey % 7 = 0 THEN ' s' ELSE '' END)"
+    ),
+    ("frequencies", "exact_times"): (
+        "CASE WHEN o_custkey % 21 = 0 THEN 'no' WHEN o_custkey % 2 = 0 THEN 'n/a' "
+        "ELSE '1' END"
+    ),
+}
+
+
 # The key of each source table, and how many keys an archive takes: the rows of
 # larger tables are spread over several, each with a validity of its own.
 STATIC_KEYS = {
@@ -615,6 +634,15 @@ def static_expressions(name: str, mark: str, start: str, end: str) -> dict[str,
     }
 
 
+def static_line(cells: Mapping[str, str]) -> str:
+    """The expression of a line of CSV text, all cells quoted."""
+    quoted = [
+        f"concat('\"', replace(coalesce(CAST({e} AS STRING), ''), '\"', '\"\"'), '\"')"
+        for e in cells.values()
+    ]
+    return f"concat_ws(',', {', '.join(quoted)})"
+
+
 def land_static_archives(
     spark: SparkSession,
     sf_dir: str,
@@ -624,9 +652,12 @@ def land_static_archives(
     start: str,
     end: str,
     broken: str | None = None,
+    spoiled: Mapping[tuple[str, str], str] = MappingProxyType({}),
 ) -> None:
     """Write archives of all thirteen files, one file with a bad header.
 
+    ``spoiled`` gives other expressions for some (table, column).
+
     Archive ``<name>-<year>.zip`` has the rows of a range of keys, and is valid
     from ``start`` to ``end`` (MMdd) of its year. Rows are sorted by Spark, and
     each task writes its archives member by member as the rows come, so none is
@@ -655,16 +686,14 @@ def land_static_archives(
         .select("year", "member", F.lit(0).alias("place"), "line")
     ]
     for file, (source, _) in STATIC_FROM.items():
-        cells = [
-            f"concat('\"', replace(coalesce(CAST({e} AS STRING), ''), '\"', '\"\"'), '\"')"
-            for e in static_expressions(file, mark, **validity).values()
-        ]
+        given = static_expressions(file, mark, **validity)
+        given |= {column: e for (f, column), e in spoiled.items() if f == file}
         parts.append(
             sources[source].select(
                 "year",
                 F.lit(STATIC[file].member).alias("member"),
                 F.lit(1).alias("place"),
-                F.expr(f"concat_ws(',', {', '.join(cells)})").alias("line"),
+                F.expr(static_line(given)).alias("line"),
             )
         )
 

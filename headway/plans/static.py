@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Iterable
+from collections.abc import Container, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.functions.times import utc_now
 from headway.schemas import STATIC, StaticSpec
-from headway.session import ship_package
+from headway.session import local_rows, ship_package
 from headway.sources.archive import (
+    HEADER_LINE,
     FeedInfo,
     extract_lines,
+    first_lines,
     header_problem,
     parse_lines,
     read_archives,
@@ -23,14 +27,15 @@ from headway.sources.archive import (
     stamp,
     typed,
 )
-from headway.sources.ledger import SUPERSEDED, UNCHANGED, Entry, Ledger
+from headway.sources.checked import checked_rows, rejected_cells, store_rejects
+from headway.sources.ledger import LOADED, SUPERSEDED, UNCHANGED, Entry, Ledger
 from headway.store import Store
 from headway.swap import STAGING
-from headway.tables import replace_version
+from headway.tables import Staged, drop_staged, place_versions, stage_versions
 
 log = logging.getLogger("headway.static")
 
-# Tables of one archive that are loaded side by side.
+# Tables that are written side by side.
 _AT_ONCE = 4
 
 
@@ -42,48 +47,169 @@ def prepare(
     return typed(rows.transform(spec.transform), spec)
 
 
-def load_table(
-    lines: DataFrame,
-    static_root: str,
-    spec: StaticSpec,
-    info: FeedInfo,
-    landed_at: int,
-) -> int:
-    """Replace the archive's version of one table; return its rows."""
-    problem = header_problem(lines, spec)
-    if problem:
-        raise ValueError(problem)
-    return replace_version(
-        prepare(lines, spec, info, landed_at),
-        static_root,
-        spec,
-        info.valid_from,
-        info.valid_to,
-    )
+@dataclass(frozen=True)
+class Landed:
+    """An archive that the ledger lacks; ``modified`` in microseconds since 1970."""
 
+    archive: str
+    modified: int
+    content_hash: str
+    info: FeedInfo | None = None
 
-def _load_archive(
-    lines: DataFrame,
-    static_root: str,
-    specs: dict[str, StaticSpec],
-    info: FeedInfo,
-    landed_at: int,
-) -> tuple[dict[str, int], bool]:
-    """Rows per file, and whether every table loaded."""
-
-    def load(spec: StaticSpec) -> tuple[str, int | None]:
-        try:
-            return spec.member, load_table(
-                lines, static_root, spec, info, landed_at
-            )
-        except Exception:
-            log.exception("Failed to load %s", spec.member)
-            return spec.member, None
+    @property
+    def validity(self) -> tuple[str, str]:
+        return self.info.valid_from, self.info.valid_to
+
+
+# Of an archive that is loaded in part, and of one without a validity; neither
+# is recorded, so the next run takes them again.
+FAILED, UNDATED = "failed", "undated"
+
+
+def settle(
+    landed: Sequence[Landed],
+    newest: tuple[int, str] | None,
+    loaded: Mapping[tuple[str, str], int],
+    faulty: Container[str],
+) -> list[tuple[Landed, str]]:
+    """What becomes of archives that are taken one after the other.
+
+    ``newest`` is (modified, hash) of the archive landed last among those
+    recorded, ``loaded`` when the archive of each version landed, and
+    ``faulty`` the hashes of contents of which some file cannot be loaded.
+    """
+    found, loaded = [], dict(loaded)
+    for one in landed:
+        if newest and one.content_hash == newest[1]:
+            status = UNCHANGED
+        elif one.info is None:
+            status = UNDATED
+        elif loaded.get(one.validity, one.modified) > one.modified:
+            status = SUPERSEDED
+        elif one.content_hash in faulty:
+            status = FAILED
+        else:
+            status = LOADED
+            loaded[one.validity] = one.modified
+        if status in (UNCHANGED, LOADED) and (not newest or one.modified >= newest[0]):
+            newest = (one.modified, one.content_hash)
+        found.append((one, status))
+    return found
+
+
+class _Load:
+    """One run over the archives that are new: a job a table, not an archive."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        lines: DataFrame,
+        specs: Mapping[str, StaticSpec],
+        landed: Sequence[Landed],
+        problems: dict[tuple[str, str], str],
+    ) -> None:
+        self.spark, self.root, self.lines, self.specs = spark, root, lines, specs
+        self.landed = landed
+        # By (content hash, member): equal contents have equal faults.
+        self.problems = problems
+        ledger = Ledger(spark, root)
+        self._newest = ledger.newest()
+        self._loaded = ledger.last_loaded(l.validity for l in landed if l.info)
+
+    def settled(self) -> list[tuple[Landed, str]]:
+        faulty = {content for content, _ in self.problems}
+        return settle(self.landed, self._newest, self._loaded, faulty)
+
+    def tried(self) -> list[Landed]:
+        return [one for one, status in self.settled() if status in (LOADED, FAILED)]
+
+    def sound(self, spec: StaticSpec) -> list[Landed]:
+        """Archives to load whose file is not known to be faulty."""
+        return [
+            one
+            for one in self.tried()
+            if (one.content_hash, spec.member) not in self.problems
+        ]
+
+    def last(self, spec: StaticSpec) -> dict[tuple[str, str], Landed]:
+        """The archive each version is taken from: the last that is sound."""
+        return {one.validity: one for one in self.sound(spec)}
+
+    def checked(self, spec: StaticSpec) -> DataFrame:
+        """Rows of a table from all sound archives, told which are stored."""
+        last = set(self.last(spec).values())
+        rows = [
+            (one.archive, *one.validity, one.modified, one in last)
+            for one in self.sound(spec)
+        ]
+        names = ["archive", "valid_from", "valid_to", "landed_at", "stored"]
+        return checked_rows(self.lines, spec, local_rows(self.spark, names, rows))
+
+    def stage(self, specs: Iterable[StaticSpec]) -> dict[str, Staged]:
+        """Write tables without showing them, some side by side.
+
+        One that cannot be written has a problem in all its archives.
+        """
+
+        def run(spec: StaticSpec) -> Staged | Exception:
+            try:
+                return stage_versions(
+                    self.checked(spec),
+                    self.root,
+                    spec,
+                    self.last(spec),
+                    F.size("_rejected") > 0,
+                    F.col("_stored"),
+                )
+            except Exception as error:
+                log.exception("Failed to write %s", spec.name)
+                return error
 
-    with ThreadPoolExecutor(_AT_ONCE) as pool:
-        results = list(pool.map(load, specs.values()))
-    rows = {member: n for member, n in results if n is not None}
-    return rows, len(rows) == len(specs)
+        todo = [spec for spec in specs if self.sound(spec)]
+        with ThreadPoolExecutor(_AT_ONCE) as pool:
+            results = dict(zip((s.name for s in todo), pool.map(run, todo)))
+        for spec in todo:
+            if isinstance(results[spec.name], Exception):
+                failed = results.pop(spec.name)
+                for one in self.sound(spec):
+                    self.problems[one.content_hash, spec.member] = f"{failed}"
+        return results
+
+    def quarantine(self, specs: Sequence[StaticSpec]) -> None:
+        """Store the rejected cells of some tables; their files are faulty."""
+        cells = reduce(
+            DataFrame.unionAll, [rejected_cells(self.checked(s), s) for s in specs]
+        )
+        names = ["archive", "modified", "content_hash"]
+        rows = [(l.archive, l.modified, l.content_hash) for l in self.tried()]
+        found = store_rejects(cells, local_rows(self.spark, names, rows), self.root)
+        hashes = {l.archive: l.content_hash for l in self.landed}
+        for (archive, member), problem in found.items():
+            self.problems[hashes[archive], member] = problem
+
+    def run(self) -> None:
+        specs = list(self.specs.values())
+        source = {s.name: self.last(s) for s in specs}
+        staged = self.stage(specs)
+        flagged = [s for s in specs if s.name in staged and staged[s.name].flagged]
+        if flagged:
+            self.quarantine(flagged)
+        # What is wrong can change which archive a version is taken from, also
+        # in other tables: one that repeats a faulty archive is not unchanged.
+        again = [s for s in specs if s.name in staged and self.last(s) != source[s.name]]
+        for spec in again:
+            drop_staged(self.spark, staged.pop(spec.name))
+        staged |= self.stage(again)
+        for spec in specs:
+            if spec.name not in staged:
+                continue
+            try:
+                place_versions(self.spark, staged[spec.name], spec)
+            except Exception as error:
+                log.exception("Failed to put %s in place", spec.name)
+                for one in self.sound(spec):
+                    self.problems[one.content_hash, spec.member] = f"{error}"
 
 
 def run_static(
@@ -93,14 +219,18 @@ def run_static(
     tables: Iterable[str] = STATIC,
     specs: dict[str, StaticSpec] | None = None,
 ) -> dict[str, dict[str, int]]:
-    """Load every landed archive that is new; rows per archive and file.
-
-    Archives are taken in the order they were landed. One already in the
-    ledger is skipped by name and time, one equal to the archive landed last of those
-    recorded by its hash. A table that fails leaves the others in place and the archive
-    out of the ledger, so the next run takes it again; but not once an archive
-    landed later has been loaded for the same validity, as old contents never
-    replace new ones.
+    """Load every landed archive that is new; records per archive and file.
+
+    Archives count in the order they were landed. One already in the ledger is
+    skipped by name and time, one equal to the archive landed last of those
+    recorded by its hash. A file with a wrong header, or with cells that its
+    columns cannot hold, is not loaded; all such cells are stored (see
+    ``headway.sources.checked.read_rejects``). It leaves the other files in
+    place and the archive out of the ledger, so the next run takes it again;
+    but not once an archive landed later has been loaded for the same validity,
+    as old contents never replace new ones. Where several archives of a run
+    have one validity, each table is taken from the last of them that is sound
+    in it, and that is the only one that is written.
     """
     ship_package(spark)
     specs = {name: (specs or STATIC)[name] for name in tables}
@@ -133,64 +263,65 @@ def run_static(
         .write.partitionBy("archive_key", "member")
         .parquet(staged)
     )
-    done: dict[str, dict[str, int]] = {}
     try:
-        all_lines = spark.read.schema(
+        lines = spark.read.schema(
             "archive string, line_no long, line string, "
             "archive_key string, member string"
         ).parquet(staged)
+        first = first_lines(lines)
+        landed, problems = [], {}
         for row in new:
-            name = row["archive"]
-            entry = Entry(name, row["modified"], row["content_hash"])
-            if row["content_hash"] == ledger.newest_hash():
-                log.info("%s is unchanged, skipped", name)
-                entry = Entry(
-                    name, row["modified"], row["content_hash"], status=UNCHANGED
-                )
-                ledger.record(entry, utc_now())
-                continue
-            lines = all_lines.where(
-                F.col("archive_key") == F.md5(F.lit(name))
-            )
+            one = Landed(row["archive"], row["modified"], row["content_hash"])
             try:
-                info = read_feed_info(lines, validity)
-            except (KeyError, ValueError):
-                log.exception("%s has no validity, skipped", name)
-                continue
-            if ledger.has_newer(info.valid_from, info.valid_to, row["modified"]):
-                log.info("%s: a later archive is loaded, skipped", name)
-                entry = Entry(
-                    name,
-                    row["modified"],
-                    row["content_hash"],
-                    info.valid_from,
-                    info.valid_to,
-                    info.version,
-                    SUPERSEDED,
-                )
-                ledger.record(entry, utc_now())
-                continue
-            done[name], complete = _load_archive(
-                lines, static_root, specs, info, row["modified"]
-            )
-            if complete:
-                entry = Entry(
-                    name,
-                    row["modified"],
-                    row["content_hash"],
-                    info.valid_from,
-                    info.valid_to,
-                    info.version,
-                )
-                ledger.record(entry, utc_now())
-            else:
-                log.warning("%s had errors and is left for the next run", name)
-            log.info(
-                "%s: %d files, %d rows",
-                name,
-                len(done[name]),
-                sum(done[name].values()),
-            )
+                info = read_feed_info(first.get((one.archive, validity.member), {}), validity)
+                one = replace(one, info=info)
+            except (KeyError, ValueError) as error:
+                log.error("%s has no validity, skipped: %s", one.archive, error)
+            landed.append(one)
+            for spec in specs.values():
+                problem = header_problem(first.get((one.archive, spec.member), {}), spec)
+                if problem:
+                    problems[one.content_hash, spec.member] = problem
+        load = _Load(spark, static_root, lines, specs, landed, problems)
+        load.run()
+        counts = {
+            (r["archive"], r["member"]): r["n"]
+            for r in lines.where(F.col("line_no") > HEADER_LINE)
+            .groupBy("archive", "member")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .collect()
+        }
     finally:
         store.delete(staged)
+    return _recorded(ledger, load, counts)
+
+
+def _recorded(
+    ledger: Ledger, load: _Load, counts: Mapping[tuple[str, str], int]
+) -> dict[str, dict[str, int]]:
+    """Write the ledger and the log; records per archive and file loaded."""
+    done: dict[str, dict[str, int]] = {}
+    entries = []
+    for one, status in load.settled():
+        name = one.archive
+        if status in (LOADED, FAILED):
+            done[name] = {}
+            for spec in load.specs.values():
+                problem = load.problems.get((one.content_hash, spec.member))
+                if problem:
+                    log.error("%s: %s is not loaded: %s", name, spec.member, problem)
+                else:
+                    done[name][spec.member] = counts.get((name, spec.member), 0)
+            log.info(
+                "%s: %d files, %d records", name, len(done[name]), sum(done[name].values())
+            )
+        if status == FAILED:
+            log.warning("%s had errors and is left for the next run", name)
+        elif status != UNDATED:
+            log.info("%s: %s", name, status)
+            about = (one.modified, one.content_hash)
+            if status != UNCHANGED:
+                about += (*one.validity, one.info.version)
+            entries.append(Entry(name, *about, status=status))
+    ledger.record(entries, utc_now())
     return done

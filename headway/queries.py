@@ -39,6 +39,7 @@ from headway.sources.archive import (
 )
 from headway.sources.feed import decode
 from headway.plans.static import prepare, run_static
+from headway.sources.checked import read_rejects
 from headway.sources.ledger import Ledger
 from headway.streaming.incremental import run_incremental
 from headway.streaming.layer import late_spec, run_layer
@@ -488,6 +489,20 @@ def _static_job(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+def _static_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells that their columns cannot hold, after two runs over the archives."""
+    landing, root = scratch_dir(spark, "archives"), scratch_dir(spark, "static")
+    A.land_static_archives(
+        spark, sf, landing, "q", "Q", "0101", "0630", spoiled=A.STATIC_SPOILED
+    )
+    for _ in range(2):
+        run_static(spark, landing, root)
+    name = F.substring_index("archive", "/", -1)
+    return read_rejects(spark, root).select(
+        name.alias("archive"), "member", "line_no", "column_name", "text", "reason"
+    )
+
+
 def _downloads(spark: SparkSession, landing: str, root: str) -> DataFrame:
     """Whether each version says when its archive was downloaded.
 
@@ -588,12 +603,22 @@ def _stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _batch_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """The same payloads as one backfill, run twice under one load id."""
+    """The same payloads as one backfill in slices, run twice under one load id.
+
+    A slice takes a fifth of the payloads, so there are four or so of those
+    that are kept.
+    """
     root = scratch_dir(spark, "batch")
     A.repeated_payloads(spark, sf, "hour").write.parquet(f"{root}/landing")
+    landed = spark.read.parquet(f"{root}/landing").count()
     for _ in range(2):
         ingest_landed(
-            spark, f"{root}/landing", f"{root}/raw", packed=True, load_id="backfill"
+            spark,
+            f"{root}/landing",
+            f"{root}/raw",
+            packed=True,
+            load_id="backfill",
+            max_payloads=landed // 5 + 1,
         )
     return _raw_in_one(spark, f"{root}/raw")
 
@@ -669,6 +694,7 @@ _QUERIES: dict[str, Query] = {
     "daily_job": _daily_job,
     "csv_static_load": _csv_static_load,
     "static_job": _static_job,
+    "static_rejects": _static_rejects,
     "feed_decode": _feed_decode,
     "stream_ingest": _stream_ingest,
     "batch_ingest": _batch_ingest,

@@ -7,7 +7,9 @@ from dataclasses import replace
 from headway.adapters import (
     STATIC_FROM,
     STATIC_KEYS,
+    STATIC_SPOILED,
     static_expressions,
+    static_line,
     year_of,
 )
 from headway.schemas import PROCESSED, RAW, SHOWN, STATIC, TableSpec
@@ -215,6 +217,34 @@ def _static() -> str:
         {" UNION ALL ".join(parts)}"""
 
 
+def _static_rejects() -> str:
+    """Spoiled cells that do not parse, at their places in the sorted files."""
+    parts = []
+    for (name, column), cell in STATIC_SPOILED.items():
+        source, _ = STATIC_FROM[name]
+        given = static_expressions(name, "Q", "''", "''")
+        given |= {c: e for (n, c), e in STATIC_SPOILED.items() if n == name}
+        kind = STATIC[name].data_schema[column].dataType.simpleString()
+        number = "TRY_CAST(cell AS DOUBLE)"
+        bad = f"{number} IS NULL"
+        if kind == "int":
+            bad = f"({bad} OR floor({number}) <> {number})"
+        parts.append(f"""
+            SELECT 'q-' || CAST(year AS VARCHAR) || '.zip' AS archive,
+                '{name}.txt' AS member, line_no, '{column}' AS column_name,
+                cell AS text, 'cannot read as {kind}' AS reason
+            FROM (
+                SELECT *, row_number() OVER (PARTITION BY year ORDER BY line) AS line_no
+                FROM (
+                    SELECT {year_of(source)} AS year, {cell} AS cell,
+                        {static_line(given)} AS line
+                    FROM {source}
+                )
+            )
+            WHERE cell <> '' AND cell <> 'n/a' AND {bad}""")
+    return " UNION ALL ".join(parts)
+
+
 def _after(view: str) -> str:
     """What retention leaves, seven days before 2024-01-16."""
     return f"(SELECT * FROM {view} WHERE start_date >= '20240109')"
@@ -457,6 +487,7 @@ ORACLES: dict[str, str] = {
             '20240101' AS valid_from, '20240630' AS valid_to
         FROM lineitem""",
     "static_job": _static(),
+    "static_rejects": _static_rejects(),
     "feed_decode": f"""
         WITH {_FRESH}
         SELECT hr AS poll_time, sec AS feed_timestamp, usr AS vehicle_id,

@@ -12,7 +12,8 @@ from contextlib import contextmanager
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 from headway.store import Store
 
@@ -79,6 +80,17 @@ def conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+def local_rows(
+    spark: SparkSession, names: Sequence[str], rows: Sequence[tuple]
+) -> DataFrame:
+    """Rows the driver holds as a table whose size Spark knows.
+
+    A list becomes a scan of unknown size, which a join would shuffle for.
+    """
+    columns = list(zip(*rows)) if rows else [[] for _ in names]
+    return spark.createDataFrame(pa.table(dict(zip(names, map(list, columns)))))
+
+
 # While a table is written; see ``headway.tables.write_clustered``.
 WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
 

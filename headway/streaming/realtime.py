@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
+from datetime import timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.operators.change import consecutive_skip
 from headway.operators.flatten import FLATTENERS
-from headway.operators.gather import keep_matching
 from headway.schemas import RAW
 from headway.session import ship_package
 from headway.sources.feed import (
@@ -22,7 +23,9 @@ from headway.sources.feed import (
     read_payloads,
     stream_payloads,
 )
+from headway.store import Store
 from headway.streaming.skip import changed_payloads
+from headway.swap import STAGING
 from headway.tables import append
 
 log = logging.getLogger("headway.realtime")
@@ -70,18 +73,24 @@ def append_entities(
 def _load_kept(
     spark: SparkSession, kept: DataFrame, packed: bool
 ) -> DataFrame | None:
-    """Payload rows of a micro-batch's kept payloads, None without any.
+    """Payload rows of some kept payloads, None without any.
 
-    Only files of this micro-batch are named, which its limit bounds.
+    Only the files that hold them are named: a micro-batch's or a slice's,
+    which its limits bound. Packed files are read where their statistics say
+    that they may hold polls of these times.
     """
     named = kept.select("source_file").distinct().toLocalIterator()
     files = [plain_path(r[0], packed) for r in named]
     if not files:
         return None
     rows = read_payloads(spark, files, packed)
-    if packed:
-        rows = keep_matching(rows, kept, ["payload_id"], kept.count())
-    return rows
+    if not packed:
+        return rows
+    low, high = kept.agg(F.min("poll_time"), F.max("poll_time")).first()
+    if low is not None:
+        times = [F.lit(t.astimezone(timezone.utc)) for t in (low, high)]
+        rows = rows.where(F.col("poll_time").isNull() | F.col("poll_time").between(*times))
+    return rows.join(kept.select("payload_id"), "payload_id", "left_semi")
 
 
 def run_realtime(
@@ -137,6 +146,92 @@ def run_realtime(
     return writer.start()
 
 
+# A backfill's slice: bytes of payloads, and payloads.
+SLICE_BYTES, SLICE_PAYLOADS = 8 << 30, 100_000
+# Parts of an hour over which its payloads are numbered.
+_HOUR_PARTS = 256
+_KEPT = (
+    "feed_id string, poll_time timestamp, payload_id string, "
+    "source_file string, slice long"
+)
+
+
+def slice_payloads(kept: DataFrame, max_bytes: int, max_payloads: int) -> DataFrame:
+    """``kept(poll_time, payload_id, n_bytes)`` with the number of its ``slice``.
+
+    Slices are in the order of hours, and none has more payloads or, but for
+    one that is larger by itself, more bytes than given. Equal rows give equal
+    slices. Payloads are numbered within parts of an hour; what comes before a
+    part is summed over one row for each, which the calendar bounds.
+    """
+    unit = max(1, max_bytes // max_payloads)
+    part = [
+        F.date_trunc("hour", "poll_time").alias("_hour"),
+        F.pmod(F.xxhash64("payload_id"), F.lit(_HOUR_PARTS)).alias("_part"),
+    ]
+    cost = F.greatest(F.lit(1), F.ceil(F.col("n_bytes") / unit)).cast("long")
+    priced = kept.select("*", *part, F.least(cost, F.lit(max_payloads)).alias("_cost"))
+    before = Window.orderBy(F.col("_hour").asc_nulls_first(), "_part").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    starts = (
+        priced.groupBy("_hour", "_part")
+        .agg(F.sum("_cost").alias("_sum"))
+        .select(
+            F.col("_hour").alias("_h"),
+            F.col("_part").alias("_p"),
+            F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"),
+        )
+    )
+    inside = (
+        Window.partitionBy("_hour", "_part")
+        .orderBy("poll_time", "payload_id")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    placed = priced.withColumn("_upto", F.sum("_cost").over(inside)).join(
+        starts, F.col("_hour").eqNullSafe(F.col("_h")) & (F.col("_part") == F.col("_p"))
+    )
+    # A slice begins with the payload whose cost passes a multiple.
+    number = F.floor((F.col("_start") + F.col("_upto") - 1) / max_payloads)
+    return placed.select(*kept.columns, number.cast("long").alias("slice"))
+
+
+def _write_slices(
+    rows: DataFrame, scratch: str, max_bytes: int, max_payloads: int
+) -> list[int]:
+    """Store the names of the payloads to be kept, by slice; their numbers.
+
+    Payloads are hashed where they are read; their bytes are not shuffled.
+    """
+    spark = rows.sparkSession
+    hashed = rows.select(
+        "feed_id",
+        "poll_time",
+        "payload_id",
+        "source_file",
+        F.length("content").cast("long").alias("n_bytes"),
+        F.md5("content").alias("md5"),
+    )
+    changed = consecutive_skip(
+        hashed,
+        "feed_id",
+        ["poll_time", "payload_id"],
+        "md5",
+        F.date_trunc("minute", F.col("poll_time")),
+    )
+    changed.write.parquet(f"{scratch}/changed")
+    kept = spark.read.schema(changed.schema).parquet(f"{scratch}/changed")
+    sliced = slice_payloads(kept, max_bytes, max_payloads)
+    (
+        sliced.select(*[part.split()[0] for part in _KEPT.split(", ")])
+        .repartition("slice")
+        .write.partitionBy("slice")
+        .parquet(f"{scratch}/kept")
+    )
+    made = spark.read.schema(_KEPT).parquet(f"{scratch}/kept")
+    return sorted(r["slice"] for r in made.select("slice").distinct().collect())
+
+
 def ingest_landed(
     spark: SparkSession,
     landing: str,
@@ -144,29 +239,34 @@ def ingest_landed(
     *,
     packed: bool = False,
     load_id: str | None = None,
+    max_bytes: int = SLICE_BYTES,
+    max_payloads: int = SLICE_PAYLOADS,
+    on_slice: Callable[[IngestCounts], None] | None = None,
 ) -> IngestCounts:
-    """The same as one batch over everything landed (a backfill).
+    """The same as one batch over everything landed (a backfill), in slices.
 
-    A backfill that may be run again after a failure passes the same
-    ``load_id`` again; each table then replaces what the first try wrote.
-    Payloads are read twice, once to be hashed and once to be decoded, rather
-    than shuffled through the comparison with their predecessor.
+    The comparison with the payload before is over everything; only names and
+    hashes take part in it. What is kept is then read, decoded and written in
+    slices of bounded size, so that no more than a slice is held at a time. A
+    backfill that may be run again over the same landing after a failure
+    passes the same ``load_id`` again; each slice then replaces what the first
+    try wrote.
     """
     ship_package(spark)
-    rows = read_payloads(spark, landing, packed)
-    hashed = rows.select(
-        "feed_id", "poll_time", "payload_id", F.md5("content").alias("md5")
-    ).persist(StorageLevel.DISK_ONLY)
-    kept = consecutive_skip(
-        hashed,
-        "feed_id",
-        ["poll_time", "payload_id"],
-        "md5",
-        F.date_trunc("minute", F.col("poll_time")),
-    ).persist(StorageLevel.DISK_ONLY)
+    scratch = f"{raw_root.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
+    load_id = load_id or f"load-{uuid.uuid4().hex}"
+    totals = [0, 0, 0]
     try:
-        wanted = keep_matching(rows, kept, ["payload_id"], kept.count())
-        return append_entities(decode(wanted), raw_root, load_id)
+        rows = read_payloads(spark, landing, packed)
+        for number in _write_slices(rows, scratch, max_bytes, max_payloads):
+            kept = spark.read.schema(_KEPT).parquet(f"{scratch}/kept")
+            # ``max_payloads`` names at most.
+            kept = F.broadcast(kept.where(F.col("slice") == number))
+            wanted = _load_kept(spark, kept, packed)
+            counts = append_entities(decode(wanted), raw_root, f"{load_id}-{number:06d}")
+            if on_slice:
+                on_slice(counts)
+            totals = [a + b for a, b in zip(totals, astuple(counts))]
     finally:
-        kept.unpersist()
-        hashed.unpersist()
+        Store(spark, raw_root).delete(scratch)
+    return IngestCounts(*totals)

@@ -1,7 +1,7 @@
 import logging
 import os
 import shutil
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from conftest import at
@@ -11,7 +11,7 @@ from headway.operators import flatten
 from headway.schemas import RAW
 from headway.sources.feed import decode, read_payloads
 from headway.sources.feed_message import feed_message_class
-from headway.streaming.realtime import ingest_landed, run_realtime
+from headway.streaming.realtime import ingest_landed, run_realtime, slice_payloads
 from headway.tables import read_table
 
 POLL = at("2026-01-02 10:30")
@@ -297,6 +297,53 @@ def test_a_backfill_run_again_replaces_itself(spark, tmp_path, raw):
         assert stored(spark, raw) == [(20, "v1")]
 
 
+def test_slices_are_bounded_and_repeat(spark):
+    rows = [
+        (POLL + timedelta(minutes=n // 7), f"p{n:03d}", 10 + 1000 * (n % 50 == 3))
+        for n in range(200)
+    ] + [(None, "untimed", 5)]
+    kept = spark.createDataFrame(rows, "poll_time timestamp, payload_id string, n_bytes long")
+    got = slice_payloads(kept, 700, 70).collect()
+    assert sorted(r.payload_id for r in got) == sorted(r[1] for r in rows)
+    assert got and {tuple(r) for r in got} == {
+        tuple(r) for r in slice_payloads(kept.orderBy(F.rand(3)), 700, 70).collect()
+    }
+    sizes = {}
+    for r in got:
+        sizes.setdefault(r.slice, []).append(r.n_bytes)
+    # At most one payload of a slice is larger than a slice by itself.
+    assert all(sum(s) - max(s) <= 700 and len(s) <= 70 for s in sizes.values())
+    assert len(sizes) > 3
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_a_backfill_in_slices(spark, tmp_path, raw, packed):
+    landing, whole = str(tmp_path / "landing"), str(tmp_path / "whole")
+    ids = [1, 1, 2, 3, 3, 1, 4, 4, 5]
+    if packed:
+        polls = [
+            ("f", datetime(2026, 1, 2, 10, 20 + m, tzinfo=timezone.utc), numbered(n))
+            for m, n in enumerate(ids)
+        ]
+        spark.createDataFrame(
+            polls, "feed_id string, poll_time timestamp, content binary"
+        ).repartition(2).write.parquet(landing)
+    else:
+        for minute, n in enumerate(ids, start=20):
+            land_file(landing, "f", minute, numbered(n))
+    want = ingest_landed(spark, landing, whole, packed=packed)
+    seen = []
+    for _ in range(2):
+        got = ingest_landed(
+            spark, landing, raw, packed=packed, load_id="again", max_payloads=2,
+            max_bytes=1 << 20, on_slice=seen.append,
+        )
+        assert got == want and want.vehicle_positions == 6
+        assert stored(spark, raw) == stored(spark, whole)
+    assert len(seen) == 6 and all(c.total <= 2 for c in seen)
+    assert not os.listdir(f"{raw}/_staging")
+
+
 def test_a_late_poll_is_kept_and_changes_no_state(spark, tmp_path, raw):
     landing, state = str(tmp_path / "landing"), str(tmp_path / "state")
     land_file(landing, "f", 20, numbered(1))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from headway.operators.change import consecutive_skip, first_by_value
 from headway.operators.dedupe import dedupe, latest_state
-from headway.operators.gather import keep_matching
 from headway.operators.merge import merge_stop_events
 from headway.operators.stale import is_fresh
 from headway.operators.versions import events_with_trip, version_as_of, version_by_date
@@ -184,15 +183,6 @@ def test_first_by_value(spark):
     assert got == {("a", 1), ("b", 2)}
 
 
-def test_keep_matching_either_way(spark):
-    rows, wanted = spark.range(100), spark.range(10, 20)
-    for limit in (100, 1):
-        got = keep_matching(rows, wanted, ["id"], 10, limit)
-        assert sorted(r.id for r in got.collect()) == list(range(10, 20))
-    plan = keep_matching(rows, wanted, ["id"], 10, 1)
-    assert "BroadcastHint" not in plan._jdf.queryExecution().analyzed().toString()
-
-
 def test_merge_sorts_nothing_before_the_exchange(spark):
     plan = merge_stop_events(frame(spark, STU, [stop()]))
     nodes = plan._jdf.queryExecution().executedPlan().toString().splitlines()

@@ -5,9 +5,10 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from headway.plans.static import run_static
+from headway.plans.static import Landed, run_static, settle
 from headway.schemas import STATIC, static_spec
-from headway.sources.archive import csv_records
+from headway.sources.archive import FeedInfo, csv_records
+from headway.sources.checked import read_rejects
 from headway.sources.ledger import Ledger
 from headway.store import Store
 from headway.tables import read_table
@@ -219,6 +220,98 @@ def test_records_join_quoted_lines():
     assert list(csv_records(lines)) == ["a,b", '"x\ny",""', "last"]
 
 
+def rejects(spark, root):
+    rows = read_rejects(spark, root).orderBy("archive", "line_no", "column_name")
+    return [
+        (os.path.basename(r.archive), r.line_no, r.column_name, r.text, r.reason)
+        for r in rows.collect()
+    ]
+
+
+def test_rejected_cells_are_stored_and_the_last_sound_file_stays(
+    spark, landing, root
+):
+    bad = (
+        ROUTES
+        + "7,A1,1,L,,bus,,,,x1,\n"
+        + "8,too,few\n"
+        + "9,A1,1,L,,2.5,,,,NULL,\n"
+        + "10,A1,1,L,,4.0,,,,,\n"
+    )
+    archive(landing, "a", routes=ROUTES.replace("0123", "OLD"))
+    archive(landing, "b", hour=1, routes=bad, feed_info=info(version="v2"))
+    for _ in range(2):  # the second try replaces what the first stored
+        assert run(spark, landing, root)["b.zip"] == {
+            "stop_times.txt": 2,
+            "feed_info.txt": 1,
+        }
+        assert rejects(spark, root) == [
+            ("b.zip", 2, "route_sort_order", "x1", "cannot read as int"),
+            ("b.zip", 2, "route_type", "bus", "cannot read as int"),
+            ("b.zip", 3, None, "8,too,few", "MALFORMED record"),
+            ("b.zip", 4, "route_type", "2.5", "cannot read as int"),
+        ]
+        assert [r.route_id for r in table(spark, root, "routes").collect()] == ["OLD"]
+        versions = table(spark, root, "feed_info").collect()
+        assert [r.feed_version for r in versions] == ["v2"]
+        assert statuses(spark, root) == [("a.zip", "loaded")]
+    archive(landing, "b", hour=2, feed_info=info(version="v2"))
+    assert len(run(spark, landing, root)["b.zip"]) == 3
+    assert [r.route_id for r in table(spark, root, "routes").collect()] == ["0123"]
+    assert len(rejects(spark, root)) == 4
+
+
+def test_a_repeated_faulty_archive_is_tried_and_wins(spark, landing, root):
+    """Equal to the one before, which is not recorded, so it is not unchanged."""
+    bad = ROUTES.replace(",3,", ",bus,")
+    archive(landing, "a", routes=bad)
+    archive(landing, "b", hour=1, routes=bad)
+    assert list(run(spark, landing, root)) == ["a.zip", "b.zip"]
+    (about,) = table(spark, root, "feed_info").select(
+        F.unix_seconds("downloaded_at").alias("s")
+    ).collect()
+    assert about.s == 1_767_225_600 + 3600
+    assert statuses(spark, root) == []
+
+
+def test_settle_takes_archives_one_after_the_other():
+    first, second = FeedInfo("1", "2", ""), FeedInfo("1", "3", "")
+    landed = [
+        Landed("a", 10, "x", first),
+        Landed("b", 20, "x", first),
+        Landed("c", 30, "y", None),
+        Landed("d", 40, "x", first),
+        Landed("e", 50, "z", second),
+        Landed("f", 60, "x", first),
+    ]
+
+    def got(newest=None, loaded=(), faulty=()):
+        return [s for _, s in settle(landed, newest, dict(loaded), faulty)]
+
+    assert got() == ["loaded", "unchanged", "undated", "unchanged", "loaded", "loaded"]
+    assert got(faulty={"x"}) == ["failed", "failed", "undated", "failed", "loaded", "failed"]
+    assert got(newest=(5, "x"))[:2] == ["unchanged", "unchanged"]
+    assert got(newest=(45, "w"), loaded={("1", "2"): 45}) == [
+        "superseded", "superseded", "undated", "superseded", "loaded", "loaded"
+    ]
+
+
+def test_jobs_do_not_grow_with_archives(spark, landing, root, tmp_path):
+    scheduler = spark._jsc.sc().dagScheduler()
+
+    def jobs(folder, static):
+        before = scheduler.numTotalJobs()
+        run(spark, folder, static)
+        return scheduler.numTotalJobs() - before
+
+    archive(landing, "a")
+    many = str(tmp_path / "many")
+    for n in range(1, 9):
+        archive(many, f"m{n}", hour=n, feed_info=info(end=f"2026070{n}"))
+    assert jobs(many, root) == jobs(landing, str(tmp_path / "other"))
+    assert table(spark, root, "routes").count() == 8
+
+
 def test_archives_of_key_ranges(spark, tmp_path, monkeypatch):
     """Rows are spread by key; each archive has all files and its own year."""
     import zipfile
