@@ -22,7 +22,7 @@ ANCHORS = (
 # Content words in a chain.
 CHAIN = 2
 # Ranges of document ids between which the order is stitched; a fixed number,
-# so their first rows are few at any size.
+# a power of two, so their first rows are few at any size.
 RANGES = 4096
 
 
@@ -183,31 +183,46 @@ def similar_pairs(
     )
 
 
-def with_next(spark: SparkSession, docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``docs`` with ``next``, a struct of ``columns`` of the next document.
+def descending_range(docs: DataFrame) -> Column:
+    """The range of a row's ``doc_id``, counting down as the ids do.
+
+    Bounds are approximate quantiles of the ids, a fixed number of them, so
+    that ranges hold about equally many rows wherever the ids lie; a row's
+    range is found by bisection. Rows without an id come last.
+    """
+    shares = ",".join(f"{i / RANGES!r}D" for i in range(1, RANGES))
+    bounds = docs.agg(
+        F.expr(f"percentile_approx(doc_id, array({shares}), {16 * RANGES})")
+    ).first()[0]
+    below = F.lit(0)
+    if bounds:
+        held = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
+        halves = F.array(*[F.lit(1 << k) for k in reversed(range(RANGES.bit_length() - 1))])
+        below = F.aggregate(
+            halves,
+            F.lit(0),
+            lambda n, step: n
+            + F.when(F.get(held, n + step - 1) <= F.col("doc_id"), step).otherwise(0),
+        )
+    return F.when(F.col("doc_id").isNull(), RANGES).otherwise(RANGES - 1 - below)
+
+
+def with_next(
+    spark: SparkSession, docs: DataFrame, text: str, **derived: Column
+) -> DataFrame:
+    """``docs`` with the ``derived`` columns and ``next``, a struct of ``text``
+    and these of the next document.
 
     The order is descending ``doc_id``, null last, then the text; after the
     last comes the first. Ids are cut into ranges; windows order each range
     by itself, and the first row of the range that follows, one of a fixed
-    number, is added to its end. ``columns`` begins with the text.
+    number, is added to its end. Columns are derived after that, once a row.
     """
-    bounds = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    low, high = (int(b) if b is not None else 0 for b in bounds)
-    width = max(1, -(-(high - low + 1) // RANGES))
-    # Ranges count down as the ids do; rows without an id come last.
-    range_ = F.coalesce(
-        F.floor((F.lit(high) - F.col("doc_id")) / width).cast("int"),
-        F.lit(RANGES),
-    )
-    placed = docs.select(*columns, *[c for c in docs.columns if c not in columns])
-    placed = placed.withColumn("_range", range_)
-    follow = F.struct(*columns)
+    placed = docs.withColumn("_range", descending_range(docs))
     # Ids first, so that texts are read only for the first row of each range.
     tops = keep(
         spark,
-        docs.select("doc_id", range_.alias("_range"))
-        .groupBy("_range")
-        .agg(F.max("doc_id").alias("top")),
+        placed.groupBy("_range").agg(F.max("doc_id").alias("top")),
         "tops",
     ).select("top")
     firsts = keep(
@@ -216,7 +231,7 @@ def with_next(spark: SparkSession, docs: DataFrame, columns: list[str]) -> DataF
             F.broadcast(tops), F.col("doc_id").eqNullSafe(F.col("top")), "left_semi"
         )
         .groupBy("_range")
-        .agg(F.min(follow).alias("_head")),
+        .agg(F.min(text).alias("_head")),
         "heads",
     )
     # At most RANGES + 1 rows: the one window over all of them is small.
@@ -225,19 +240,18 @@ def with_next(spark: SparkSession, docs: DataFrame, columns: list[str]) -> DataF
         around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     )
     closing = firsts.select(
-        "_range", F.coalesce(F.lead("_head").over(around), first).alias("_head")
-    ).select(
-        *[F.col("_head")[c].alias(c) for c in columns],
+        F.coalesce(F.lead("_head").over(around), first).alias(text),
         "_range",
         F.lit(1).alias("_closing"),
     )
     inside = Window.partitionBy("_range").orderBy(
-        "_closing", F.desc_nulls_last("doc_id"), F.col(columns[0]).asc_nulls_first()
+        "_closing", F.desc_nulls_last("doc_id"), F.col(text).asc_nulls_first()
     )
     return (
         placed.withColumn("_closing", F.lit(0))
         .unionByName(closing, allowMissingColumns=True)
-        .withColumn("next", F.lead(follow).over(inside))
+        .withColumns(derived)
+        .withColumn("next", F.lead(F.struct(text, *derived)).over(inside))
         .where("_closing = 0")
         .drop("_range", "_closing")
     )
@@ -258,13 +272,15 @@ def compare_edited(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     ``near_edited`` and ``near_next`` are the likeness of a document's
     fingerprint to its edited text's and to the next document's. Null texts
-    are empty; repeated rows follow each other in the order of their texts.
+    are empty; repeated rows follow each other in the order of their texts; a
+    single document follows itself, and an empty table stays empty. Texts are
+    taken whole, in linear time. Other columns of ``docs`` are left out.
     """
-    signed = docs.select(
+    plain = docs.select(
         F.col("doc_id").cast("long"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).withColumn("signs", signatures(F.col("text")))
-    followed = with_next(spark, signed, ["text", "signs"])
+    )
+    followed = with_next(spark, plain, "text", signs=signatures(F.col("text")))
     edited = followed.select(
         "doc_id",
         "text",

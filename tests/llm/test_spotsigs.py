@@ -66,6 +66,28 @@ def test_repeated_ids_null_ids_and_one_row(spark, documents):
     assert S.compare_edited(spark, documents([])).count() == 0
 
 
+def test_ranges_follow_the_ids_wherever_they_lie(spark, documents):
+    ids = [*range(2000), *range(10**12, 10**12 + 2000), 10**15, -5]
+    docs = documents([(i, f"text {i}") for i in ids]).repartition(3)
+    placed = docs.select("doc_id", S.descending_range(docs).alias("r")).collect()
+    order = [r.r for r in sorted(placed, key=lambda r: -r.doc_id)]
+    assert order == sorted(order)
+    assert max(order.count(r) for r in set(order)) <= 4
+    got = S.compare_edited(spark, docs.where("doc_id % 7 < 3")).collect()
+    kept = sorted((i for i in ids if i % 7 < 3 and i >= 0), reverse=True)
+    assert sorted(r.doc_id for r in got if r.doc_id >= 0) == sorted(kept)
+
+
+def test_a_very_long_text(spark, documents):
+    long = "the red house and a green tree " * 40_000
+    got = {r.doc_id: r for r in S.compare_edited(spark, documents([(2, long), (1, "a b")])).collect()}
+    assert got[2].n_chars == len(long) > 1_000_000
+    assert got[2].edited_sha256 == hashlib.sha256(
+        (long[: len(long) - len(long) // 2] + "a b").encode()
+    ).hexdigest()
+    assert got[1].edited_sha256 == hashlib.sha256(b"a t").hexdigest()
+
+
 def test_similar_pairs_equal_brute_force(spark, documents):
     base = ["the " + w for w in prose(3, 120).split()]
     texts = []
