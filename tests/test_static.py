@@ -345,3 +345,54 @@ def test_archives_of_key_ranges(spark, tmp_path, monkeypatch):
             trips += len(lines) - 1
             assert f'"{year}0101","{year}0630"' in opened.read("feed_info.txt").decode()
     assert trips == len(orders)
+
+
+def test_records_do_not_depend_on_blocks():
+    """Quoted line breaks, blank lines and all line ends, cut anywhere."""
+    import io
+
+    from headway.sources.archive import csv_blocks
+
+    text = 'h,i\n"a","b"\n\n"x\ny",""\r\n1,2\r3,"p""q\n\nr"\n\r\n"é",z\n"open\nend'
+    want = list(csv_records(io.StringIO(text, newline="")))
+    assert len(want) == 7
+    for size in range(1, len(text) + 2):
+        blocks = csv_blocks(io.StringIO(text, newline=""), size)
+        assert [line for block in blocks for line in block.to_pylist()] == want
+
+
+def test_lines_of_an_archive_are_sorted_by_many_tasks(spark, tmp_path, monkeypatch):
+    """No task of the sort has all lines, and texts are put together in order."""
+    import zipfile
+    from pathlib import Path
+
+    import pytest
+
+    from headway import adapters
+    from headway.session import conf
+
+    sf = Path("/root/testdata/sf0.001")
+    if not sf.exists():
+        pytest.skip("no test tables")
+    monkeypatch.setattr(adapters, "_TEXT_LINES", 7)
+    plain = adapters._joined_lines
+
+    def counted(batches):
+        from pyspark import TaskContext
+
+        for batch in plain(batches):
+            Path(f"{tmp_path}/task-{TaskContext.get().partitionId()}").touch()
+            yield batch
+
+    monkeypatch.setattr(adapters, "_joined_lines", counted)
+    landing = str(tmp_path / "landing")
+    # Adaptive execution would give lines as few as these to one task.
+    with conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        adapters.land_static_archives(spark, str(sf), landing, "a", "A", "0101", "0630")
+    assert len(list(tmp_path.glob("task-*"))) > 1
+    with zipfile.ZipFile(f"{landing}/a-2024.zip") as opened:
+        for member in opened.namelist():
+            texts = opened.read(member).decode().splitlines()[1:]
+            assert texts == sorted(texts)
+        lines = opened.read("stop_times.txt").decode().splitlines()
+    assert len(lines) - 1 == spark.read.parquet(f"{sf}/lineitem.parquet").count()
