@@ -18,7 +18,7 @@ import logging
 from collections.abc import Iterator
 from dataclasses import replace
 from datetime import datetime, timedelta, timezone
-from functools import reduce
+from functools import partial, reduce
 from zoneinfo import ZoneInfo
 
 import pandas as pd
@@ -34,7 +34,7 @@ from pyspark.sql.streaming import (
 from headway.functions.times import OPERATING_ZONE
 from headway.plans.daily import run_daily
 from headway.schemas import LOAD_ID, RAW, TableSpec
-from headway.session import conf, ship_package
+from headway.session import conf, ship_package, side_by_side
 from headway.store import Store
 from headway.tables import (
     MERGED_PREFIX,
@@ -60,6 +60,10 @@ ROCKSDB = {
     )
 }
 
+# The state is a row for each open date and table, however many rows there are;
+# every partition of it costs a store and a Python worker in each micro-batch.
+STATE_PARTITIONS = 4
+
 SEEN = (
     "table_name string, start_date string, load_id string, "
     "first_poll timestamp, last_poll timestamp, n_rows long"
@@ -246,17 +250,25 @@ def run_layer(
     def act(batch: DataFrame, batch_id: int) -> None:
         # A row for each date that closes, and for each late load.
         found = batch.collect()
-        session = batch.sparkSession
         late = [r for r in found if r["kind"] == LATE]
         dates = {r["start_date"] for r in found if r["kind"] == CLOSED}
+        # The session that was given, as that of the batch has the settings of
+        # the state. What the steps write does not depend on each other.
+        steps = []
         for table in RAW:
             mine = {(r["start_date"], r["load_id"]) for r in late if r["table_name"] == table}
             if mine:
-                _keep_late(session, raw_root, processed_root, table, mine)
+                steps.append(
+                    partial(_keep_late, spark, raw_root, processed_root, table, mine)
+                )
         if follow_late:
             dates |= {r["start_date"] for r in late}
         if dates:
-            run_daily(session, raw_root, processed_root, dates=dates)
+            steps.append(
+                partial(run_daily, spark, raw_root, processed_root, dates=dates)
+            )
+        if steps:
+            side_by_side(spark, steps)
         if found:
             log.info("batch %d: %s closed, %d loads late", batch_id, sorted(dates), len(late))
 
@@ -270,7 +282,9 @@ def run_layer(
     else:
         writer = writer.trigger(processingTime=interval)
     # The state of timers needs this store; a query keeps what it starts with.
-    with conf(spark, ROCKSDB):
+    partitions = min(STATE_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    state = {**ROCKSDB, "spark.sql.shuffle.partitions": str(partitions)}
+    with conf(spark, state):
         return writer.start()
 
 

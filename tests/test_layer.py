@@ -99,3 +99,22 @@ def test_what_compaction_rewrites_is_not_new(spark, raw, processed, tmp_path):
     land(spark, raw, "merged-1", [trip("a", "20260101", "2026-01-01 09:00")])
     drain()
     assert not table_exists(spark, processed, late_spec("trip_updates"))
+
+
+def test_state_does_not_grow_with_shuffle_partitions(spark, raw, processed, tmp_path):
+    """A store for each of a few partitions, and processing with the session's own."""
+    from headway.session import conf
+    from headway.streaming.layer import STATE_PARTITIONS
+
+    checkpoint = tmp_path / "checkpoint"
+    with conf(spark, {"spark.sql.shuffle.partitions": "9"}):
+        for n, poll in enumerate(("2026-01-01 09:00", "2026-01-03 09:00")):
+            date = poll[:10].replace("-", "")
+            land(spark, raw, str(n), [trip("a", date, poll)])
+            run_layer(
+                spark, raw, processed, str(checkpoint), zone="UTC", interval=None
+            ).awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "9"
+    assert trips_of(spark, processed) == {("20260101", "a", "01 09:00")}
+    stores = [d for d in (checkpoint / "state" / "0").iterdir() if d.name.isdecimal()]
+    assert len(stores) == STATE_PARTITIONS
