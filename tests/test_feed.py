@@ -354,3 +354,38 @@ def test_a_late_poll_is_kept_and_changes_no_state(spark, tmp_path, raw):
     land_file(landing, "f", 27, numbered(1))
     drain(spark, landing, raw, state)
     assert stored(spark, raw) == [(20, "v1"), (22, "v1"), (25, "v2"), (27, "v1")]
+
+
+def test_feeds_are_compared_by_themselves_within_a_group():
+    """A, A, B, A of each feed over two micro-batches, and a late poll."""
+    import pandas as pd
+
+    from headway.streaming.skip import _keep_changed
+
+    class State:
+        exists, value = False, None
+
+        @property
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.exists, self.value = True, value
+
+    def polls(*rows):
+        made = [(f, pd.Timestamp(2024, 1, 1, 0, m), f"{m}", "file", v) for f, m, v in rows]
+        names = ["feed_id", "poll_time", "payload_id", "source_file", "md5"]
+        return pd.DataFrame(made, columns=names)
+
+    def kept(state, *frames):
+        (out,) = _keep_changed((0,), iter(frames), state)
+        return list(zip(out["feed_id"], out["payload_id"]))
+
+    state = State()
+    first = [polls(("g", 3, "B"), ("f", 2, "A")), polls(("f", 1, "A"), ("g", 1, "A"))]
+    assert kept(state, *first) == [("f", "1"), ("g", "1"), ("g", "3")]
+    later = polls(("f", 4, "A"), ("g", 4, "B"), ("g", 2, "B"), ("f", 5, "B"), ("h", 1, "A"))
+    assert kept(state, later) == [("f", "5"), ("g", "2"), ("h", "1")]
+    feeds, md5s, newest = state.get
+    assert dict(zip(feeds, md5s)) == {"f": "B", "g": "B", "h": "A"}
+    assert len(newest) == 3
