@@ -331,6 +331,7 @@ _EMPTY_MESSAGE = b"\xf8\x7f\x01"
 
 # Ids of events that one feed reports.
 FEED_EVENTS = 20_000
+_PAYLOADS_PER_BATCH = 100
 
 
 def repeated_payloads(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
@@ -356,7 +357,14 @@ def repeated_payloads(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
         polled.alias("hour"),
         F.unix_seconds("second").alias("stamp"),
     )
-    once = rows.groupBy("feed_id", "hour").applyInArrow(_encode_group, _PACKED)
+    # There are as many payloads as feeds and hours, of few events each: they are
+    # told apart as the sorted rows come, without a call for each.
+    payload = ["feed_id", "hour"]
+    once = (
+        rows.repartition(*payload)
+        .sortWithinPartitions(*payload, "event_id")
+        .mapInArrow(_encode_sorted, _PACKED)
+    )
     minutes = F.explode(F.array(*[F.lit(m) for m in REPEATS])).alias("minutes")
     return once.select("*", minutes).select(
         "feed_id",
@@ -369,9 +377,29 @@ def repeated_payloads(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
     )
 
 
-def _encode_group(group: pa.Table) -> pa.Table:
-    batches = group.sort_by("event_id").combine_chunks().to_batches()
-    return pa.Table.from_batches(list(_encode(iter(batches))), _PACKED_ARROW)
+def _encode_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A payload for each run of rows with one feed and hour."""
+    message_class = feed_message_class()
+    key, message, out = None, None, []
+
+    def payload() -> dict:
+        content = message.SerializeToString(deterministic=True)
+        return {"feed_id": key[0], "poll_time": key[1], "content": content}
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            found = (row["feed_id"], row["hour"])
+            if found != key:
+                if message is not None:
+                    out.append(payload())
+                if len(out) >= _PAYLOADS_PER_BATCH:
+                    yield pa.RecordBatch.from_pylist(out, schema=_PACKED_ARROW)
+                    out = []
+                key, message = found, message_class()
+            _add_entities(message, row)
+    if message is not None:
+        out.append(payload())
+        yield pa.RecordBatch.from_pylist(out, schema=_PACKED_ARROW)
 
 
 def land_files(payloads: DataFrame, landing: str) -> None:

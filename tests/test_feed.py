@@ -389,3 +389,36 @@ def test_feeds_are_compared_by_themselves_within_a_group():
     feeds, md5s, newest = state.get
     assert dict(zip(feeds, md5s)) == {"f": "B", "g": "B", "h": "A"}
     assert len(newest) == 3
+
+
+def test_a_payload_is_a_run_of_rows_however_they_are_batched():
+    import pyarrow as pa
+
+    from headway.adapters import _encode_sorted
+    from headway.sources.feed_message import feed_message_class
+
+    rows = [
+        {
+            "event_id": n, "event_type": "view", "feed_id": feed, "user": "u",
+            "start_date": "20240101", "relationship": 0, "direction": 0,
+            "value": 1.0, "hour": at(f"2024-01-01 {hour:02d}:00"), "stamp": 1,
+        }
+        for n, (feed, hour) in enumerate(
+            [("a", 0)] * 5 + [("a", 1)] * 2 + [("b", 1)] * 3
+        )
+    ]
+    for size in (1, 2, 4, 100):
+        batches = [
+            pa.RecordBatch.from_pylist(rows[n : n + size]) for n in range(0, len(rows), size)
+        ]
+        made = [r for b in _encode_sorted(iter(batches)) for r in b.to_pylist()]
+        found = [
+            (
+                r["feed_id"],
+                r["poll_time"].hour,
+                len(feed_message_class().FromString(r["content"]).entity),
+            )
+            for r in made
+        ]
+        # Every event is a vehicle and a trip.
+        assert found == [("a", 0, 10), ("a", 1, 4), ("b", 1, 6)]
