@@ -21,43 +21,40 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     both = links.select("a", "b").unionAll(
         links.select(F.col("b").alias("a"), F.col("a").alias("b"))
     )
-    labels = keep(
-        spark,
-        both.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct(),
-        "labels",
-    )
-    between = keep(spark, both.where("a <> b").distinct(), "links")
+    labels, between = _round(spark, both)
     while not between.isEmpty():
-        hooks = between.groupBy("a").agg(F.min("b").alias("to"))
-        hooks = keep(
+        hooks, between = _round(spark, between)
+        labels = keep(spark, relabel(labels, "label", hooks), "labels")
+    return labels
+
+
+def _round(
+    spark: SparkSession, between: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """(node, label) after one round, and the links between unlike labels."""
+    hooks = between.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("to"))
+    hooks = keep(spark, hooks.select("node", F.least("node", "to").alias("label")), "hooks")
+    while True:
+        ahead = hooks.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        followed = keep(
             spark,
-            hooks.select(F.col("a").alias("old"), F.least("a", "to").alias("new")),
+            hooks.join(ahead, "label").select(
+                "node",
+                F.col("further").alias("label"),
+                (F.col("further") != F.col("label")).alias("moved"),
+            ),
             "hooks",
         )
-        while True:
-            ahead = hooks.select(
-                F.col("old").alias("new"), F.col("new").alias("further")
-            )
-            hooks = keep(
-                spark,
-                hooks.join(ahead, "new").select(
-                    "old",
-                    F.col("further").alias("new"),
-                    (F.col("further") != F.col("new")).alias("moved"),
-                ),
-                "hooks",
-            )
-            if hooks.where("moved").isEmpty():
-                break
-            hooks = hooks.drop("moved")
-        labels = keep(spark, _relabel(labels, "label", hooks), "labels")
-        moved = _relabel(_relabel(between, "a", hooks), "b", hooks)
-        between = keep(spark, moved.where("a <> b").distinct(), "links")
-    return labels
+        hooks = followed.drop("moved")
+        if followed.where("moved").isEmpty():
+            break
+    moved = relabel(relabel(between, "a", hooks), "b", hooks)
+    return hooks, keep(spark, moved.where("a <> b").distinct(), "links")
 
 
-def _relabel(rows: DataFrame, column: str, hooks: DataFrame) -> DataFrame:
-    named = hooks.select(F.col("old").alias(column), F.col("new").alias("_new"))
+def relabel(rows: DataFrame, column: str, labels: DataFrame) -> DataFrame:
+    """``rows`` with the labels of the nodes in ``column``, if they have any."""
+    named = labels.select(F.col("node").alias(column), F.col("label").alias("_new"))
     return rows.join(named, column, "left").select(
         *[
             F.coalesce("_new", column).alias(c) if c == column else F.col(c)

@@ -24,7 +24,7 @@ from headway.llm.common import (
     text_buffers,
     word_hashes,
 )
-from headway.llm.components import components
+from headway.llm.components import components, relabel
 
 # A pair at similarity 0.8 shares none of the bands with probability
 # (1 - 0.8**6)**48, below one in two million.
@@ -270,15 +270,20 @@ def grouped(
         .where("low < high")
         .select("bucket")
     )
-    members = placed.join(still_open, "bucket").select("rep", "label").distinct()
-    rest = prefix_pairs(sets.join(members, "rep"), percent)
-    found = keep(spark, _similar(spark, rest, sketches, sets, percent), "rest")
-    if not found.isEmpty():
-        labels = components(spark, links.unionAll(found))
-
-    linked = folded.join(
-        labels.withColumnRenamed("node", "rep"), "rep", "left"
-    ).select("digest", "doc_id", F.coalesce("label", "rep").alias("label"))
+    members = keep(
+        spark,
+        placed.join(still_open, "bucket").select("rep", "label").distinct(),
+        "members",
+    )
+    linked = folded.select("digest", "doc_id", F.col("rep").alias("label"))
+    linked = relabel(linked, "label", labels)
+    if not members.isEmpty():
+        rest = prefix_pairs(sets.join(members, "rep"), percent)
+        found = keep(spark, _similar(spark, rest, sketches, sets, percent), "rest")
+        if not found.isEmpty():
+            # What the stars have joined stays joined: only labels are linked.
+            between = relabel(relabel(found, "a", labels), "b", labels)
+            linked = relabel(linked, "label", components(spark, between))
     linked = keep(spark, linked, "linked")
     smallest = linked.groupBy("label").agg(F.min("doc_id").alias("component"))
     named = linked.join(keep(spark, smallest, "smallest"), "label").select(
@@ -341,19 +346,18 @@ def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     of them have.
     """
     each = sets.select("rep", "label", F.size("shingles").alias("n"), "shingles")
-    spread = each.select("rep", "n", F.explode("shingles").alias("shingle"))
+    spread = each.select("rep", "label", "n", F.explode("shingles").alias("shingle"))
     uses = spread.groupBy("shingle").agg(F.count(F.lit(1)).alias("uses"))
     ordered = (
         spread.join(uses, "shingle")
-        .groupBy("rep", "n")
+        .groupBy("rep", "label", "n")
         .agg(F.array_sort(F.collect_list(F.struct("uses", "shingle"))).alias("order"))
     )
-    labels = each.select("rep", "label").distinct()
     # With m at its least, n * percent / 100, k is that too.
     prefix = F.col("n") - F.ceil(F.col("n") * (percent / 100) - 1e-6) + 1
     # Neighbouring classes overlap a little, so that rounding loses none.
     ratio = math.log(100 / percent) + 1e-9
-    listed = ordered.join(labels, "rep").select(
+    listed = ordered.select(
         "rep",
         "label",
         "n",
@@ -362,6 +366,7 @@ def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
             "at", "shingle"
         ),
     )
+    listed = keep(sets.sparkSession, listed, "prefixes")
     open_ = (
         listed.groupBy("shingle")
         .agg(F.min("label").alias("least"), F.max("label").alias("most"))

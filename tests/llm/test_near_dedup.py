@@ -1,3 +1,4 @@
+import importlib
 import random
 
 import numpy as np
@@ -215,3 +216,47 @@ def test_components_of_a_path_a_star_and_a_ring(spark):
     assert len(got) == 41 + 50 + 9
     none = spark.createDataFrame([], "a long, b long")
     assert components(spark, none).count() == 0
+
+
+def written(monkeypatch, module):
+    """The labels of the tables that a module's steps keep from here on."""
+    labels, own = [], module.keep
+    monkeypatch.setattr(
+        module, "keep", lambda s, df, label: labels.append(label) or own(s, df, label)
+    )
+    return labels
+
+
+def test_components_of_stars_take_three_tables(spark, monkeypatch):
+    """The driver holds what each table's jobs need, however few the rows."""
+    links = [(10 * i, 10 * i + j) for i in range(5) for j in range(1, 6)] + [(77, 77)]
+    links = spark.createDataFrame(links, "a long, b long")
+    labels = written(monkeypatch, importlib.import_module("headway.llm.components"))
+    got = dict(components(spark, links).collect())
+    assert got == {77: 77} | {10 * i + j: 10 * i for i in range(5) for j in range(6)}
+    assert labels == ["hooks", "hooks", "links"]
+
+
+def test_prefixes_are_listed_once(spark, monkeypatch):
+    rows = [(1, 1, [1, 2, 3, 4, 5]), (2, 2, [1, 2, 3, 4, 5]), (3, 3, [6])]
+    sets = spark.createDataFrame(rows, "rep long, label long, shingles array<long>")
+    labels = written(monkeypatch, near_dedup)
+    pairs = near_dedup.prefix_pairs(sets, 80)
+    assert {tuple(r) for r in pairs.collect()} == {(1, 2)}
+    assert labels == ["prefixes"]
+    assert "shingles" not in pairs._jdf.queryExecution().toString()
+
+
+def test_groups_of_stars_that_prefixes_link(spark, documents):
+    """Labels of stars joined later equal those of all links at once."""
+    rng = random.Random(5)
+    texts = []
+    for seed in range(12):
+        words = prose(seed, 60).split()
+        for _ in range(9):
+            texts.append(" ".join(words))
+            words[rng.randrange(60)] = f"new{rng.random()}"
+    rng.shuffle(texts)
+    got = near_dedup.near_groups(spark, documents(texts), 2).collect()
+    found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in got)
+    assert found == sorted(brute_groups(list(enumerate(texts)), 2))
