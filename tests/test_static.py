@@ -5,6 +5,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from headway import adapters
 from headway.plans.static import Landed, run_static, settle
 from headway.schemas import STATIC, static_spec
 from headway.sources.archive import FeedInfo, csv_records
@@ -396,3 +397,10 @@ def test_lines_of_an_archive_are_sorted_by_many_tasks(spark, tmp_path, monkeypat
             assert texts == sorted(texts)
         lines = opened.read("stop_times.txt").decode().splitlines()
     assert len(lines) - 1 == spark.read.parquet(f"{sf}/lineitem.parquet").count()
+
+
+def test_each_archive_is_written_by_its_own_task(spark):
+    rows = spark.range(40).select((F.col("id") + 2024).cast("int").alias("year"))
+    dealt = adapters._dealt(rows, 2063).select("year", F.spark_partition_id().alias("task"))
+    assert len({r.task for r in dealt.collect()}) == 40
+    assert adapters._dealt(rows.where("year = 0"), None).count() == 0
