@@ -42,7 +42,9 @@ def merge_stop_events(stop_updates: DataFrame) -> DataFrame:
         *[F.max(c).alias(c) for c in numbers],
         *[max_where(confirmed(f.partition("_")[0]), f) for f in fields],
     )
-    merged = by_route.groupBy(*STOP_KEYS).agg(
+    # They are shuffled as they are: no two of a stop met before, and to look
+    # for some would sort all rows twice.
+    merged = by_route.repartition(*STOP_KEYS).groupBy(*STOP_KEYS).agg(
         *[F.max(c).alias(c) for c in ("route_id", *numbers, *fields)]
     )
     return merged.select(*PROCESSED["stop_time_events"].schema.names)

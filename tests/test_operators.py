@@ -192,6 +192,11 @@ def test_merge_sorts_nothing_before_the_exchange(spark):
     assert not any("SortAggregate" in line for line in nodes[exchanges[-1] - 1 :])
 
 
+def test_merge_sorts_once(spark):
+    plan = merge_stop_events(frame(spark, STU, [stop()]))
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Sort [") == 1
+
+
 def test_version_in_force(spark):
     versions = spark.createDataFrame(
         [
