@@ -380,15 +380,21 @@ def repeated_payloads(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
 def _encode_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A payload for each run of rows with one feed and hour."""
     message_class = feed_message_class()
-    key, message, out = None, None, []
+    key, message, polled, out = None, None, None, []
 
     def payload() -> dict:
         content = message.SerializeToString(deterministic=True)
-        return {"feed_id": key[0], "poll_time": key[1], "content": content}
+        return {"feed_id": key[0], "poll_time": polled, "content": content}
 
     for batch in batches:
-        for row in batch.to_pylist():
-            found = (row["feed_id"], row["hour"])
+        names = batch.schema.names
+        hours = batch.column("hour").cast(pa.int64()).to_pylist()
+        # Times become Python's once a payload, not once a row.
+        columns = [c.to_pylist() for c in batch.drop_columns(["hour"]).columns]
+        names.remove("hour")
+        for n, (hour, *cells) in enumerate(zip(hours, *columns)):
+            row = dict(zip(names, cells))
+            found = (row["feed_id"], hour)
             if found != key:
                 if message is not None:
                     out.append(payload())
@@ -396,6 +402,7 @@ def _encode_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                     yield pa.RecordBatch.from_pylist(out, schema=_PACKED_ARROW)
                     out = []
                 key, message = found, message_class()
+                polled = batch.column("hour")[n].as_py()
             _add_entities(message, row)
     if message is not None:
         out.append(payload())
@@ -421,35 +428,32 @@ def land_files(payloads: DataFrame, landing: str) -> None:
 
 
 def _add_entities(message, row: dict) -> None:
-    def describe(trip) -> None:
-        trip.trip_id = row["user"]
-        trip.start_date = row["start_date"]
-        trip.route_id = row["event_type"]
-        trip.direction_id = row["direction"]
-        trip.schedule_relationship = row["relationship"]
-
-    seen = message.entity.add(id=f"v{row['event_id']}")
-    describe(seen.vehicle.trip)
-    seen.vehicle.timestamp = row["stamp"]
-    seen.vehicle.vehicle.id = row["user"]
-    seen.vehicle.vehicle.label = str(row["event_id"])
-    seen.vehicle.position.latitude = row["value"]
-    seen.vehicle.position.longitude = -row["value"]
-
-    update = message.entity.add(id=f"t{row['event_id']}")
-    describe(update.trip_update.trip)
-    update.trip_update.timestamp = row["stamp"]
-    update.trip_update.vehicle.label = str(row["event_id"])
-    arrived = update.trip_update.stop_time_update.add(
-        stop_sequence=1, stop_id="first"
-    )
-    arrived.arrival.time = row["stamp"]
-    arrived.arrival.delay = row["direction"]
-    leaving = update.trip_update.stop_time_update.add(
-        stop_sequence=2, stop_id="second"
-    )
-    leaving.departure.time = row["stamp"] + 60
-    leaving.departure.uncertainty = 120
+    event, stamp, direction = str(row["event_id"]), row["stamp"], row["direction"]
+    seen = message.entity.add(id=f"v{event}").vehicle
+    trip = seen.trip
+    trip.trip_id = row["user"]
+    trip.start_date = row["start_date"]
+    trip.route_id = row["event_type"]
+    trip.direction_id = direction
+    trip.schedule_relationship = row["relationship"]
+    seen.timestamp = stamp
+    vehicle, position = seen.vehicle, seen.position
+    vehicle.id = row["user"]
+    vehicle.label = event
+    position.latitude = row["value"]
+    position.longitude = -row["value"]
+
+    update = message.entity.add(id=f"t{event}").trip_update
+    update.trip.CopyFrom(trip)
+    update.timestamp = stamp
+    update.vehicle.label = event
+    arrival = update.stop_time_update.add(stop_sequence=1, stop_id="first").arrival
+    arrival.time = stamp
+    arrival.delay = direction
+    leaving = update.stop_time_update.add(stop_sequence=2, stop_id="second")
+    departure = leaving.departure
+    departure.time = stamp + 60
+    departure.uncertainty = 120
 
 
 def stop_times_archives(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from itertools import accumulate
+from itertools import accumulate, chain
+from operator import attrgetter
 from urllib.parse import unquote
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -196,21 +198,30 @@ def decode(payload_rows: DataFrame) -> DataFrame:
 def _decode_batch(
     batch: pa.RecordBatch, schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:
-    """Entities of a batch of payloads, a bounded number at a time."""
+    """Entities of a batch of payloads, a bounded number at a time.
+
+    Payloads of the same bytes, as of a feed that returns to an earlier state,
+    are parsed once, and share one list of entities.
+    """
     message_class = feed_message_class()
     held: list[tuple[int, list]] = []
+    parsed: dict[bytes, list] = {}
     waiting = 0
     for row, content in enumerate(batch.column("content")):
-        try:
-            message = message_class.FromString(content.as_py())
-        except Exception as error:  # noqa: BLE001 - any bad payload is data
-            yield _failed(batch, row, error, schema)
-            continue
-        held.append((row, list(message.entity)))
-        waiting += len(message.entity)
+        content = content.as_py()
+        found = parsed.get(content)
+        if found is None:
+            try:
+                found = list(message_class.FromString(content).entity)
+            except Exception as error:  # noqa: BLE001 - any bad payload is data
+                yield _failed(batch, row, error, schema)
+                continue
+            parsed[content] = found
+        held.append((row, found))
+        waiting += len(found)
         if waiting >= _ENTITIES_PER_BATCH:
             yield from _build(batch, held, schema)
-            held, waiting = [], 0
+            held, parsed, waiting = [], {}, 0
     if held:
         yield from _build(batch, held, schema)
 
@@ -245,50 +256,78 @@ def _failed(
 def _entities(
     batch: pa.RecordBatch, held: list[tuple[int, list]], schema: pa.Schema
 ) -> pa.RecordBatch:
-    entities = [e for _, found in held for e in found]
-    rows = pa.array([row for row, found in held for _ in found], pa.int64())
+    starts: dict[int, int] = {}
+    entities: list = []
+    for _, found in held:
+        if id(found) not in starts:
+            starts[id(found)] = len(entities)
+            entities.extend(found)
+    lengths = [len(found) for _, found in held]
+    rows = pa.array(np.repeat([row for row, _ in held], lengths), pa.int64())
+    places = None
+    if len(starts) < len(held):
+        spans = [range(starts[id(found)], starts[id(found)] + len(found)) for _, found in held]
+        places = pa.array(list(chain.from_iterable(spans)), pa.int32())
     columns = []
     for field in schema:
         if field.name in ("vehicle", "trip_update"):
             column = _optional(entities, field)
-        elif field.name == "entity_id":
-            column = pa.array([e.id for e in entities], field.type)
-        elif field.name == "is_deleted":
-            column = _column(entities, field)
+        elif field.name in ("entity_id", "is_deleted"):
+            name = "id" if field.name == "entity_id" else field.name
+            column = pa.array(list(map(attrgetter(name), entities)), field.type)
         elif field.name == "decode_error":
-            column = pa.nulls(len(entities), field.type)
+            columns.append(pa.nulls(len(rows), field.type))
+            continue
         else:
-            column = batch.column(field.name).take(rows).cast(field.type)
-        columns.append(column)
+            columns.append(batch.column(field.name).take(rows).cast(field.type))
+            continue
+        columns.append(column if places is None else column.take(places))
     return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
 def _optional(entities: Sequence, field: pa.Field) -> pa.Array:
     """A nested message of those entities that have it, NULL for others."""
-    having = [e for e in entities if e.HasField(field.name)]
-    place = iter(range(len(having)))
-    places = [next(place) if e.HasField(field.name) else None for e in entities]
-    return _column(having, field).take(pa.array(places, pa.int32()))
+    having, places = [], []
+    for entity in entities:
+        has = entity.HasField(field.name)
+        places.append(len(having) if has else None)
+        if has:
+            having.append(getattr(entity, field.name))
+    return _struct_column(having, field.type).take(pa.array(places, pa.int32()))
+
+
+def _struct_column(messages: Sequence, kind: pa.StructType) -> pa.Array:
+    children = [_column(messages, child) for child in kind]
+    return pa.StructArray.from_arrays(children, fields=list(kind))
 
 
 def _column(messages: Sequence, field: pa.Field) -> pa.Array:
     """One field of many messages, nested as the schema says.
 
-    Reading an unset field gives its default, also inside unset messages.
+    Reading an unset field gives its default, also inside unset messages, of
+    which one is read for all.
     """
-    values = [getattr(m, field.name) for m in messages]
+    read = attrgetter(field.name)
     if pa.types.is_struct(field.type):
-        children = [_column(values, child) for child in field.type]
-        return pa.StructArray.from_arrays(children, fields=list(field.type))
+        having, places, unset = [], [], None
+        for message in messages:
+            if message.HasField(field.name):
+                places.append(len(having))
+                having.append(read(message))
+                continue
+            if unset is None:
+                unset = len(having)
+                having.append(read(message))
+            places.append(unset)
+        column = _struct_column(having, field.type)
+        return column if unset is None else column.take(pa.array(places, pa.int32()))
+    values = list(map(read, messages))
     if pa.types.is_list(field.type):
-        ends = accumulate((len(v) for v in values), initial=0)
-        items = [item for v in values for item in v]
+        ends = accumulate(map(len, values), initial=0)
+        items = list(chain.from_iterable(values))
         item_type = field.type.value_type
-        children = [_column(items, child) for child in item_type]
         return pa.ListArray.from_arrays(
-            pa.array(ends, pa.int32()),
-            pa.StructArray.from_arrays(children, fields=list(item_type)),
-            type=field.type,
+            pa.array(ends, pa.int32()), _struct_column(items, item_type), type=field.type
         )
     if field.name == "timestamp":
         # Unsigned in the feed; what does not fit is far from any poll.

@@ -3,12 +3,15 @@ import os
 import shutil
 from datetime import datetime, timedelta, timezone
 
+import pyarrow as pa
 import pytest
 from conftest import at
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from headway.operators import flatten
 from headway.schemas import RAW
+from headway.sources import feed
 from headway.sources.feed import decode, read_payloads
 from headway.sources.feed_message import feed_message_class
 from headway.streaming.realtime import ingest_landed, run_realtime, slice_payloads
@@ -422,3 +425,40 @@ def test_a_payload_is_a_run_of_rows_however_they_are_batched():
         ]
         # Every event is a vehicle and a trip.
         assert found == [("a", 0, 10), ("a", 1, 4), ("b", 1, 6)]
+
+
+def test_equal_payloads_are_parsed_once(monkeypatch):
+    parses = []
+
+    class Counted:
+        @staticmethod
+        def FromString(content):
+            parses.append(content)
+            return feed_message_class().FromString(content)
+
+    state, other = message(full_vehicle, trip), message(bare_vehicle)
+    contents = [state, other, b"\xff", state, b"", state, other]
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "feed_id": ["feed"] * len(contents),
+            "poll_time": pa.array([POLL] * len(contents), pa.timestamp("us", tz="UTC")),
+            "payload_id": [f"p{n}" for n in range(len(contents))],
+            "content": pa.array(contents, pa.binary()),
+        }
+    )
+    schema = to_arrow_schema(feed.ENTITY)
+    alone = [
+        row
+        for n in range(len(contents))
+        for found in feed._decode_batch(batch.slice(n, 1), schema)
+        for row in found.to_pylist()
+    ]
+    monkeypatch.setattr(feed, "feed_message_class", lambda: Counted)
+    together = [r for b in feed._decode_batch(batch, schema) for r in b.to_pylist()]
+
+    def named(rows):
+        return sorted(rows, key=lambda r: (r["payload_id"], r["entity_id"] or ""))
+
+    assert named(together) == named(alone)
+    assert len(together) == 3 * 2 + 2 + 1
+    assert sorted(parses) == sorted([state, other, b"\xff", b""])
