@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from headway.operators.stale import STALE_MINUTES
 from headway.sources.feed_message import feed_message_class
 
 PAYLOAD_COLUMNS = (
@@ -178,17 +179,19 @@ def _listed(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def decode(payload_rows: DataFrame) -> DataFrame:
+def decode(payload_rows: DataFrame, fresh_only: bool = False) -> DataFrame:
     """Payload rows to entity rows (``ENTITY``).
 
     A payload that does not parse yields one row with ``decode_error`` and is
-    otherwise lost, as it is when polled: it is not tried again.
+    otherwise lost, as it is when polled: it is not tried again. With
+    ``fresh_only`` an entity of which neither part is fresh is left out, as the
+    raw tables take nothing of it, before any other field of it is read.
     """
     arrow_schema = to_arrow_schema(ENTITY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from _decode_batch(batch, arrow_schema)
+            yield from _decode_batch(batch, arrow_schema, fresh_only)
 
     return payload_rows.select(
         "feed_id", "poll_time", "payload_id", "content"
@@ -196,7 +199,7 @@ def decode(payload_rows: DataFrame) -> DataFrame:
 
 
 def _decode_batch(
-    batch: pa.RecordBatch, schema: pa.Schema
+    batch: pa.RecordBatch, schema: pa.Schema, fresh_only: bool = False
 ) -> Iterator[pa.RecordBatch]:
     """Entities of a batch of payloads, a bounded number at a time.
 
@@ -206,7 +209,9 @@ def _decode_batch(
     message_class = feed_message_class()
     held: list[tuple[int, list]] = []
     parsed: dict[bytes, list] = {}
+    clocks: dict[bytes, list] = {}
     waiting = 0
+    polls = _seconds(batch.column("poll_time")) if fresh_only else None
     for row, content in enumerate(batch.column("content")):
         content = content.as_py()
         found = parsed.get(content)
@@ -217,15 +222,48 @@ def _decode_batch(
                 yield _failed(batch, row, error, schema)
                 continue
             parsed[content] = found
-        held.append((row, found))
+            if fresh_only:
+                clocks[content] = list(map(_clocks, found))
         waiting += len(found)
+        if fresh_only:
+            found = _fresh(found, clocks[content], polls[row])
+        if found:
+            held.append((row, found))
         if waiting >= _ENTITIES_PER_BATCH:
             yield from _build(batch, held, schema)
-            held, parsed, waiting = [], {}, 0
+            held, parsed, clocks, waiting = [], {}, {}, 0
     if held:
         yield from _build(batch, held, schema)
 
 
+# The clock of a part that an entity lacks, far from every poll.
+_NEVER = float("-inf")
+
+
+def _seconds(times: pa.Array) -> list[int | None]:
+    micros = times.cast(pa.timestamp("us", "UTC")).cast(pa.int64()).to_pylist()
+    return [None if m is None else m // 1_000_000 for m in micros]
+
+
+def _clocks(entity) -> tuple[float, float]:
+    return (
+        entity.vehicle.timestamp if entity.HasField("vehicle") else _NEVER,
+        entity.trip_update.timestamp if entity.HasField("trip_update") else _NEVER,
+    )
+
+
+def _fresh(found: list, clocks: list, poll: int | None) -> list:
+    """Entities with a part that ``is_fresh`` keeps; none of an unknown time."""
+    if poll is None:
+        return []
+    low, high = poll - STALE_MINUTES * 60, poll + STALE_MINUTES * 60
+    return [
+        entity
+        for entity, (vehicle, trip) in zip(found, clocks)
+        if low <= vehicle <= high or low <= trip <= high
+    ]
+
+
 def _build(
     batch: pa.RecordBatch, held: list[tuple[int, list]], schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:

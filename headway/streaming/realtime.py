@@ -9,7 +9,7 @@ from dataclasses import astuple, dataclass
 from datetime import timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -70,8 +70,35 @@ def append_entities(
     return counts
 
 
+def _row() -> Column:
+    """A packed payload's row in its file, which its name ends in."""
+    return F.substring_index("payload_id", "#", -1).cast("long")
+
+
+def _places(kept: DataFrame, packed: bool) -> DataFrame:
+    """The files of kept payloads; of packed files 64 rows each, as bits.
+
+    The names of all of a micro-batch's packed payloads are too many to be sent
+    to where its files are read. Its payloads would be shuffled to the names
+    instead, and torn from those of equal bytes, which are parsed together.
+    """
+    if not packed:
+        return kept.select("source_file").distinct()
+    bit = F.expr("shiftleft(1L, cast(_row & 63 as int))")
+    return (
+        kept.withColumn("_row", _row())
+        .groupBy("source_file", F.shiftright("_row", 6).alias("_block"))
+        .agg(
+            F.bit_or(bit).alias("_rows"),
+            F.min("poll_time").alias("_low"),
+            F.max("poll_time").alias("_high"),
+        )
+        .withColumnRenamed("source_file", "_file")
+    )
+
+
 def _load_kept(
-    spark: SparkSession, kept: DataFrame, packed: bool
+    spark: SparkSession, places: DataFrame, packed: bool
 ) -> DataFrame | None:
     """Payload rows of some kept payloads, None without any.
 
@@ -79,18 +106,22 @@ def _load_kept(
     which its limits bound. Packed files are read where their statistics say
     that they may hold polls of these times.
     """
-    named = kept.select("source_file").distinct().toLocalIterator()
+    named = places.select("_file" if packed else "source_file").distinct().collect()
     files = [plain_path(r[0], packed) for r in named]
     if not files:
         return None
     rows = read_payloads(spark, files, packed)
     if not packed:
         return rows
-    low, high = kept.agg(F.min("poll_time"), F.max("poll_time")).first()
+    low, high = places.agg(F.min("_low"), F.max("_high")).first()
     if low is not None:
         times = [F.lit(t.astimezone(timezone.utc)) for t in (low, high)]
         rows = rows.where(F.col("poll_time").isNull() | F.col("poll_time").between(*times))
-    return rows.join(kept.select("payload_id"), "payload_id", "left_semi")
+    here = (F.col("source_file") == F.col("_file")) & (
+        F.shiftright(_row(), 6) == F.col("_block")
+    )
+    kept = F.getbit("_rows", _row().bitwiseAND(63)) == 1
+    return rows.join(places.drop("_low", "_high"), here & kept, "left_semi")
 
 
 def run_realtime(
@@ -121,16 +152,17 @@ def run_realtime(
         )
         if query is None:
             raise RuntimeError("not called by a streaming query")
-        batch = batch.persist()
+        # Once these are held, Spark knows how few they are and sends them.
+        places = _places(batch, packed).persist()
         try:
-            rows = _load_kept(spark, batch, packed)
+            rows = _load_kept(spark, places, packed)
             if rows is None:
                 log.info("batch %d: feed unchanged, skipped", batch_id)
                 return
             load_id = f"poll-{query}-{batch_id:012d}"
-            counts = append_entities(decode(rows), raw_root, load_id)
+            counts = append_entities(decode(rows, fresh_only=True), raw_root, load_id)
         finally:
-            batch.unpersist()
+            places.unpersist()
         if on_batch:
             on_batch(counts)
 
@@ -261,9 +293,10 @@ def ingest_landed(
         for number in _write_slices(rows, scratch, max_bytes, max_payloads):
             kept = spark.read.schema(_KEPT).parquet(f"{scratch}/kept")
             # ``max_payloads`` names at most.
-            kept = F.broadcast(kept.where(F.col("slice") == number))
-            wanted = _load_kept(spark, kept, packed)
-            counts = append_entities(decode(wanted), raw_root, f"{load_id}-{number:06d}")
+            places = _places(kept.where(F.col("slice") == number), packed)
+            wanted = _load_kept(spark, F.broadcast(places), packed)
+            entities = decode(wanted, fresh_only=True)
+            counts = append_entities(entities, raw_root, f"{load_id}-{number:06d}")
             if on_slice:
                 on_slice(counts)
             totals = [a + b for a, b in zip(totals, astuple(counts))]

@@ -14,7 +14,13 @@ from headway.schemas import RAW
 from headway.sources import feed
 from headway.sources.feed import decode, read_payloads
 from headway.sources.feed_message import feed_message_class
-from headway.streaming.realtime import ingest_landed, run_realtime, slice_payloads
+from headway.streaming.realtime import (
+    _load_kept,
+    _places,
+    ingest_landed,
+    run_realtime,
+    slice_payloads,
+)
 from headway.tables import read_table
 
 POLL = at("2026-01-02 10:30")
@@ -462,3 +468,79 @@ def test_equal_payloads_are_parsed_once(monkeypatch):
     assert named(together) == named(alone)
     assert len(together) == 3 * 2 + 2 + 1
     assert sorted(parses) == sorted([state, other, b"\xff", b""])
+
+
+def test_stale_entities_are_left_out_when_decoding(spark):
+    def both(entity, vehicle, trips):
+        entity.vehicle.timestamp = STAMP + vehicle
+        trip(entity, stamp=STAMP + trips)
+
+    def too_large(entity):
+        trip(entity, stamp=STAMP + 901)
+        entity.trip_update.stop_time_update[0].stop_sequence = 2**31
+
+    offsets = [-STAMP, -901, -900, 0, 900, 901]
+    contents = [
+        message(*[lambda e, o=o: trip(e, stamp=STAMP + o) for o in offsets]),
+        message(*[lambda e, o=o, p=p: both(e, o, p) for o in offsets for p in offsets]),
+        message(bare_vehicle, lambda e: None),
+        b"\xff\xff not a feed",
+        message(),
+    ]
+    rows = payload_rows(spark, *contents)
+    later = F.col("poll_time") + F.expr("INTERVAL 1800 SECONDS")
+    unknown = rows.withColumn("poll_time", F.lit(None).cast("timestamp"))
+    polls = rows.unionAll(rows.withColumn("poll_time", later)).unionAll(unknown).coalesce(1)
+    fresh, every = decode(polls, fresh_only=True), decode(polls)
+    for flatten_one in flatten.FLATTENERS.values():
+        got, want = (sorted(map(repr, flatten_one(e).collect())) for e in (fresh, every))
+        assert got == want and got
+    kept = fresh.where("decode_error IS NULL")
+    # At the first poll 3, 27 and 1 of the three feeds; later 2, 20 and none.
+    assert kept.count() == 31 + 22
+    assert fresh.where("decode_error IS NOT NULL").count() == 3
+    # A stale entity's other fields are not read, so they reject nothing.
+    payload = payload_rows(spark, message(bare_vehicle, too_large))
+    assert flatten.vehicle_positions(decode(payload, fresh_only=True)).count() == 1
+
+
+def test_packed_payloads_stay_where_they_are_read(spark, tmp_path):
+    rows = [("feed", POLL + timedelta(seconds=n), b"%d" % n) for n in range(4_000)]
+    landing = str(tmp_path / "landing")
+    packed = spark.createDataFrame(rows, feed._PACKED).repartition(2)
+    packed.write.parquet(landing)
+    landed = read_payloads(spark, landing, packed=True)
+    kept = landed.where("CAST(CAST(content AS string) AS int) % 3 <> 0").select("payload_id", "source_file", "poll_time")
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    # The names of these payloads are ten times as long.
+    spark.conf.set(limit, "50000")
+    places = _places(kept, True).persist()
+    try:
+        found = _load_kept(spark, places, True)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = sorted(bytes(r.content) for r in found.collect())
+    finally:
+        places.unpersist()
+        spark.conf.set(limit, before)
+    assert got == sorted(b"%d" % n for n in range(4_000) if n % 3)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_an_event_leaves_nothing_in_the_next():
+    from headway.adapters import _event_encoder
+
+    encode = _event_encoder()
+    events = [
+        (7, "view", "user", "20240101", 3, 1, 2.5, STAMP),
+        (8, "", "", "", 0, 0, 0.0, 0),
+    ]
+    together = b"".join(encode(*event) for event in events)
+    assert together == b"".join(_event_encoder()(*event) for event in events)
+    entities = feed_message_class().FromString(together).entity
+    assert [e.id for e in entities] == ["v7", "t7", "v8", "t8"]
+    assert entities[0].vehicle.trip == entities[1].trip_update.trip
+    assert entities[3].trip_update.trip.trip_id == ""
+    first, second = entities[1].trip_update.stop_time_update
+    assert (first.arrival.time, first.arrival.delay) == (STAMP, 1)
+    assert (second.departure.time, second.departure.uncertainty) == (STAMP + 60, 120)
