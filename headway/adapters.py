@@ -329,11 +329,32 @@ _PAYLOADS_PER_BATCH = 100
 
 
 def repeated_payloads(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
+    """The payloads of feeds as they are polled: A, A, B, A, ten minutes apart.
+
+    The second is to be skipped; B has no entities.
+    """
+    return repeated(feed_payloads(spark, sf_dir, unit))
+
+
+def repeated(once: DataFrame) -> DataFrame:
+    """Payloads polled four times; see ``repeated_payloads``."""
+    minutes = F.explode(F.array(*[F.lit(m) for m in REPEATS])).alias("minutes")
+    return once.select("*", minutes).select(
+        "feed_id",
+        F.timestamp_seconds(
+            F.unix_seconds("poll_time") + 60 * F.col("minutes")
+        ).alias("poll_time"),
+        F.when(F.col("minutes") == _NO_ENTITIES, F.lit(_EMPTY_MESSAGE))
+        .otherwise(F.col("content"))
+        .alias("content"),
+    )
+
+
+def feed_payloads(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
     """Events encoded as one payload for each feed and hour or day.
 
     A feed is the events of a type whose ids are in one range, so a payload is
-    bounded however busy its type is. A day's payload is polled at noon. Every payload comes as A, A, B, A, ten
-    minutes apart, of which the second is to be skipped; B has no entities.
+    bounded however busy its type is. A day's payload is polled at noon.
     """
     polled = F.col("hour")
     if unit == "day":
@@ -354,21 +375,11 @@ def repeated_payloads(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
     # There are as many payloads as feeds and hours, of few events each: they are
     # told apart as the sorted rows come, without a call for each.
     payload = ["feed_id", "hour"]
-    once = (
+    return (
         rows.repartition(*payload)
         .sortWithinPartitions(*payload, "event_id")
         .mapInArrow(_encode_sorted, _PACKED)
     )
-    minutes = F.explode(F.array(*[F.lit(m) for m in REPEATS])).alias("minutes")
-    return once.select("*", minutes).select(
-        "feed_id",
-        F.timestamp_seconds(
-            F.unix_seconds("poll_time") + 60 * F.col("minutes")
-        ).alias("poll_time"),
-        F.when(F.col("minutes") == _NO_ENTITIES, F.lit(_EMPTY_MESSAGE))
-        .otherwise(F.col("content"))
-        .alias("content"),
-    )
 
 
 def _encode_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,8 +392,8 @@ def _encode_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     for batch in batches:
         # Times become Python's once a payload, not once a row.
-        hours = batch.column("hour").cast(pa.int64()).to_pylist()
-        feeds = batch.column("feed_id").to_pylist()
+        hours = _cells(batch.column("hour").cast(pa.int64()))
+        feeds = _cells(batch.column("feed_id"))
         rows = zip(feeds, hours, *_event_columns(batch))
         for n, (feed, hour, *event) in enumerate(rows):
             if (feed, hour) != key:
@@ -431,7 +442,14 @@ _EVENT = (
 
 
 def _event_columns(batch: pa.RecordBatch) -> list[list]:
-    return [batch.column(name).to_pylist() for name in _EVENT]
+    return [_cells(batch.column(name)) for name in _EVENT]
+
+
+def _cells(column: pa.Array) -> list:
+    """Its values as Python's, by numpy where no NULL is lost by it."""
+    if column.null_count:
+        return column.to_pylist()
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 def _event_encoder() -> Callable[..., bytes]:

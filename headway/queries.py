@@ -584,8 +584,8 @@ def _raw_in_one(spark: SparkSession, root: str) -> DataFrame:
 def _stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Repeating payloads streamed, in time order, into the three raw tables."""
     root = scratch_dir(spark, "stream")
-    made = A.repeated_payloads(spark, sf, "hour")
-    made.write.parquet(f"{root}/made")
+    once = A.feed_payloads(spark, sf, "hour")
+    once.write.parquet(f"{root}/made")
 
     def drain() -> None:
         run_realtime(
@@ -597,7 +597,7 @@ def _stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
             interval=None,
         ).awaitTermination()
 
-    payloads = spark.read.schema(made.schema).parquet(f"{root}/made")
+    payloads = A.repeated(spark.read.schema(once.schema).parquet(f"{root}/made"))
     _land_in_order(payloads, "poll_time", f"{root}/landing", drain)
     return _raw_in_one(spark, f"{root}/raw")
 

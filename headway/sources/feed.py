@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from itertools import accumulate, chain
-from operator import attrgetter
+from itertools import accumulate, chain, compress
+from operator import attrgetter, methodcaller
 from urllib.parse import unquote
 
 import numpy as np
@@ -236,8 +236,8 @@ def _decode_batch(
         yield from _build(batch, held, schema)
 
 
-# The clock of a part that an entity lacks, far from every poll.
-_NEVER = float("-inf")
+# The clocks of an entity's parts; 0 for one that it lacks, far from any poll.
+_clocks = attrgetter("vehicle.timestamp", "trip_update.timestamp")
 
 
 def _seconds(times: pa.Array) -> list[int | None]:
@@ -245,13 +245,6 @@ def _seconds(times: pa.Array) -> list[int | None]:
     return [None if m is None else m // 1_000_000 for m in micros]
 
 
-def _clocks(entity) -> tuple[float, float]:
-    return (
-        entity.vehicle.timestamp if entity.HasField("vehicle") else _NEVER,
-        entity.trip_update.timestamp if entity.HasField("trip_update") else _NEVER,
-    )
-
-
 def _fresh(found: list, clocks: list, poll: int | None) -> list:
     """Entities with a part that ``is_fresh`` keeps; none of an unknown time."""
     if poll is None:
@@ -323,15 +316,17 @@ def _entities(
     return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
+def _has(messages: Sequence, name: str) -> np.ndarray:
+    found = map(methodcaller("HasField", name), messages)
+    return np.fromiter(found, bool, len(messages))
+
+
 def _optional(entities: Sequence, field: pa.Field) -> pa.Array:
     """A nested message of those entities that have it, NULL for others."""
-    having, places = [], []
-    for entity in entities:
-        has = entity.HasField(field.name)
-        places.append(len(having) if has else None)
-        if has:
-            having.append(getattr(entity, field.name))
-    return _struct_column(having, field.type).take(pa.array(places, pa.int32()))
+    has = _has(entities, field.name)
+    having = map(attrgetter(field.name), compress(entities, has.tolist()))
+    column = _struct_column(list(having), field.type)
+    return column.take(pa.array(np.cumsum(has) - 1, pa.int32(), mask=~has))
 
 
 def _struct_column(messages: Sequence, kind: pa.StructType) -> pa.Array:
@@ -347,18 +342,13 @@ def _column(messages: Sequence, field: pa.Field) -> pa.Array:
     """
     read = attrgetter(field.name)
     if pa.types.is_struct(field.type):
-        having, places, unset = [], [], None
-        for message in messages:
-            if message.HasField(field.name):
-                places.append(len(having))
-                having.append(read(message))
-                continue
-            if unset is None:
-                unset = len(having)
-                having.append(read(message))
-            places.append(unset)
-        column = _struct_column(having, field.type)
-        return column if unset is None else column.take(pa.array(places, pa.int32()))
+        has = _has(messages, field.name)
+        if has.all():
+            return _struct_column(list(map(read, messages)), field.type)
+        having = list(map(read, compress(messages, has.tolist())))
+        places = np.where(has, np.cumsum(has) - 1, len(having))
+        having.append(read(messages[int(np.argmin(has))]))
+        return _struct_column(having, field.type).take(pa.array(places, pa.int32()))
     values = list(map(read, messages))
     if pa.types.is_list(field.type):
         ends = accumulate(map(len, values), initial=0)
