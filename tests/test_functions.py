@@ -11,7 +11,7 @@ from headway.functions.normalise import (
     or_zero,
     zero_to_null,
 )
-from headway.functions.strict import strict_cast
+from headway.functions.strict import lenient_cast, strict_cast
 from headway.functions.times import (
     epoch_to_timestamp,
     retention_cutoff,
@@ -110,3 +110,28 @@ def test_strict_cast_refuses(spark, text, to):
 
 def test_naive_now_is_not_needed():
     assert isinstance(target_date(datetime.now(timezone.utc)), str)
+
+
+@pytest.mark.parametrize("to", [T.DoubleType(), T.IntegerType()])
+def test_text_that_is_not_tried_is_no_number(spark, to):
+    """Text is told from numbers before it is cast; no number is lost by it."""
+    texts = (
+        "1 -1 +1 .5 -.5 5. 1e5 1E-3 1d 1F 1.5D 0x1p3 0x1.8P1 inf -INF Infinity +infinity "
+        "+NaN 4.0 2.5 free no 12s 1e e1 ff + - : ;5 5; 9999999999 1e400 ² ٣ bus x1 1_0 --1"
+    ).split()
+    texts += ["\t12", "12\n", "\x0012\x7f", " 7 ", "1 s", "1 2", "12\u00a0", "n o", "\tinf\t", "5d\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    value, bad = lenient_cast(F.col("v"), to)
+    number = F.trim("v").try_cast("double")
+    if isinstance(to, T.IntegerType):
+        whole = (F.floor(number) == number) & (F.abs(number) < 2**31)
+        number = F.coalesce(F.trim("v").try_cast("int"), F.when(whole, number.try_cast("int")))
+    for row in df.select("v", value.alias("got"), number.alias("want"), bad.alias("bad")).collect():
+        assert (repr(row.got), row.bad) == (repr(row.want), row.want is None), row.v
+
+
+def test_words_are_not_cast(spark):
+    """Every cast that fails costs an exception; those of words are left out."""
+    value, _ = lenient_cast(F.col("v"), T.DoubleType())
+    plan = spark.sql("SELECT 'free' AS v").select(value)._jdf.queryExecution().analyzed()
+    assert "RLIKE" in plan.toString()
