@@ -2,13 +2,14 @@ import logging
 import os
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from headway import adapters
 from headway.plans.static import Landed, run_static, settle
 from headway.schemas import STATIC, static_spec
-from headway.sources.archive import FeedInfo, csv_records
+from headway.sources.archive import FeedInfo, csv_records, plain_cells
 from headway.sources.checked import read_rejects
 from headway.sources.ledger import Ledger
 from headway.store import Store
@@ -404,3 +405,51 @@ def test_each_archive_is_written_by_its_own_task(spark):
     dealt = adapters._dealt(rows, 2063).select("year", F.spark_partition_id().alias("task"))
     assert len({r.task for r in dealt.collect()}) == 40
     assert adapters._dealt(rows.where("year = 0"), None).count() == 0
+
+
+def test_plain_records_are_split_as_the_csv_reader_does(spark):
+    """Cells that are plain to see need no parser; the others are left to it."""
+    plain = ['"a","b"', "a,b", ",", '"",""', '"",b', '"é, x","b"', " a, b ", "a\\,b", "'a',#"]
+    odd = ['"a""x","b"', '"a","b","c"', "a", '"', '","', '"a\nx","b"', "a\tb,c", '"a" ,b', ""]
+    lines = pa.array(plain + odd)
+    found, left = {}, []
+    for rows, cells in plain_cells(lines, 2):
+        mine = (lines if rows is None else lines.filter(rows)).to_pylist()
+        if cells:
+            found |= dict(zip(mine, zip(*(c.to_pylist() for c in cells))))
+        else:
+            left += mine
+    assert sorted(found) == sorted(set(plain) - {'"",b'})
+    assert sorted(left) == sorted([*odd, '"",b'])
+    options = {"columnNameOfCorruptRecord": "bad", "multiLine": "true", "escape": '"'}
+    frame = spark.createDataFrame([(line,) for line in found], "line string")
+    parsed = F.from_csv("line", "x string, y string, bad string", options)
+    for row in frame.select("line", parsed.alias("r")).collect():
+        assert (row.r.bad, (row.r.x, row.r.y)) == (None, found[row.line])
+    (whole,) = plain_cells(pa.array(["1,2", "3,"]), 2)
+    assert whole[0] is None and [c.to_pylist() for c in whole[1]] == [["1", "3"], ["2", None]]
+    assert all(not cells for _, cells in plain_cells(pa.array(["a", '"a"', " "]), 1))
+
+
+def test_plain_and_odd_records_of_a_file_load_alike(spark, landing, root):
+    records = ['t,1:00:00,,s,1,"x ""y""",,,,', "t,2:00:00,,s,2,,,,0.5,", '"t","3:00:00"' + ',""' * 8]
+    head = STOP_TIMES.partition("\n")[0]
+    archive(landing, "a", stop_times="\n".join([head, *records * 2]) + "\n")
+    assert run(spark, landing, root)["a.zip"]["stop_times.txt"] == 6
+    rows = table(spark, root, "stop_times").collect()
+    got = [(r.arrival_time, r.stop_sequence, r.stop_headsign, r.shape_dist_traveled) for r in rows]
+    assert sorted(got, key=str) == sorted(
+        [("1:00:00", 1, 'x "y"', None), ("2:00:00", 2, None, 0.5), ("3:00:00", None, None, None)] * 2,
+        key=str,
+    )
+
+
+def test_files_of_all_years_have_codes_in_their_order(spark):
+    """Codes are as long as another and sort as (year, place) do."""
+    files = len(adapters.STATIC_FROM)
+    rows = spark.range(700 * files).selectExpr(
+        f"CAST(2024 + id DIV {files} AS INT) AS year", f"CAST(id % {files} AS INT) AS n", "id"
+    )
+    codes = rows.select("id", adapters._file_code("n", 2723).alias("code")).orderBy("id")
+    texts = [r.code.encode() for r in codes.collect()]
+    assert texts == sorted(set(texts)) and {len(t) for t in texts} == {3}
